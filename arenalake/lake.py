@@ -18,6 +18,8 @@ TABLES = {
     "room_champion_xy": "gold",
 }
 
+GOLD_TABLES = [table for table, database in TABLES.items() if database == "gold"]
+
 
 @dataclass(frozen=True)
 class Lake:

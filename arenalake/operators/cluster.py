@@ -5,6 +5,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from arenalake.schema import FEATURES, MODEL_COLUMNS, PREDICTION
 
@@ -20,10 +21,15 @@ def assembler() -> VectorAssembler:
 def fit_clusters(rows: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
     """Assembler and K-Means as one pipeline. Only x and y are read.
 
-    K-Means caches its vectors itself and keeps only k centres on the driver.
+    Equal positions are first added up to one weighted point: the centres are
+    the same weighted means, and each iteration goes over the distinct positions
+    of the map instead of over all events.
     """
-    kmeans = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol=PREDICTION)
-    return Pipeline(stages=[assembler(), kmeans]).fit(rows.select(*POSITION))
+    points = rows.groupBy(*POSITION).agg(F.count("*").cast("double").alias("weight"))
+    kmeans = KMeans(
+        k=k, seed=seed, featuresCol=FEATURES, predictionCol=PREDICTION, weightCol="weight"
+    )
+    return Pipeline(stages=[assembler(), kmeans]).fit(points)
 
 
 def predict(model: PipelineModel, rows: DataFrame, keep_features: bool = False) -> DataFrame:

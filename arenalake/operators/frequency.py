@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arenalake.operators.slices import HOT_GROUP_ROWS, SLICE_ROWS, positions
+from arenalake.sinks.scratch import checkpointed
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
@@ -22,16 +23,15 @@ def value_ranks(
     """(by..., field, value, rank) of every non-NULL value, and its size in bytes.
 
     Rank 0 is the most frequent value; ties go in alphabetical order. One scan
-    counts all columns; the counts are kept, since their size decides how they
+    counts all columns; the counts are stored, since their size decides how they
     are ranked and joined.
     """
-    counts = (
+    counts = checkpointed(
         rows.select(*by, *columns)
         .unpivot(by, columns, "field", "value")
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "field", "value")
         .agg(F.count("*").alias("n"))
-        .persist()
     )
     size = (
         counts.groupBy(*by, "field")

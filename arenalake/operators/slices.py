@@ -50,11 +50,11 @@ def previous_values(
     """
     order = order + [c for c in rows.columns if c not in group and c not in order]
     sizes = rows.groupBy(*group).agg(F.count("*").alias("_rows"))
-    hot_keys = sizes.filter(F.col("_rows") > hot_rows).persist()
-    hot_total = hot_keys.agg(F.sum("_rows")).first()[0]
+    hot_sizes = sizes.filter(F.col("_rows") > hot_rows)
+    hot_total = hot_sizes.agg(F.sum("_rows")).first()[0]
     if not hot_total:
-        hot_keys.unpersist()
         return _lag(rows, group, order, values)
+    hot_keys = checkpointed(hot_sizes)
     cold = join_small(rows, hot_keys, group, "left_anti")
     hot = join_small(rows, hot_keys, group, "left_semi")
     n_slices = -(-hot_total // slice_rows)

@@ -16,7 +16,7 @@ from arenalake.functions.features import (
     step_distance,
     x_plus_y,
 )
-from arenalake.lake import Lake
+from arenalake.lake import GOLD_TABLES, Lake
 from arenalake.operators.bronze import (
     invalid_rows,
     mask_identity,
@@ -28,7 +28,7 @@ from arenalake.operators.bronze import (
 )
 from arenalake.operators.cluster import assembler, fit_clusters, predict, silhouette
 from arenalake.operators.frequency import frequency_index
-from arenalake.operators.gold import gold_from_events, gold_tables, summarise
+from arenalake.operators.gold import gold_from_events, summarise
 from arenalake.operators.silver import (
     analysis_rows,
     fill_movement,
@@ -586,7 +586,7 @@ def job_gold_day(spark, sf_dir):
     lake = new_lake(spark, analysis_playerlogs=silver_table(spark, sf_dir))
     jobs.gold_days(spark, lake, FIRST_DAY, LAST_DAY)
     result = None
-    for name in gold_tables():
+    for name in GOLD_TABLES:
         rows = spark.table(lake.name(name)).withColumn("table_name", F.lit(name))
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
     return rounded(result, "average_deaths", "average_game_time", "stddev_x", "stddev_y")
@@ -614,7 +614,7 @@ def job_run_day(spark, sf_dir):
     """All daily jobs over all days, then the refit: rows per table and day."""
     lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
     jobs.run_days(spark, lake, FIRST_DAY, LAST_DAY)
-    tables = ["analysis_playerlogs", "train_playerlogs", "delta_playerlogs", *gold_tables()]
+    tables = ["analysis_playerlogs", "train_playerlogs", "delta_playerlogs", *GOLD_TABLES]
     return _row_counts(spark, lake, tables)
 
 
