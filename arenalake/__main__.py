@@ -14,7 +14,6 @@ from pyspark.sql import SparkSession
 
 from arenalake.lake import Lake
 from arenalake.plans import jobs
-from arenalake.schema import BRONZE_SCHEMA
 from arenalake.sinks.models import load_model
 from arenalake.sources.messages import kafka_messages
 from arenalake.streaming import ingest
@@ -67,7 +66,7 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
         _, score = jobs.refit(spark, lake, args.first, args.last)
         print(f"silhouette: {score}")
     elif args.job == "archive":
-        print(jobs.archive_month(spark, lake, args.day, BRONZE_SCHEMA, args.base))
+        print(jobs.archive_month(spark, lake, args.day, args.base))
     else:
         lake.create_databases(spark)
         DAY_JOBS[args.job](spark, lake, args.first, args.last)

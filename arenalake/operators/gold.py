@@ -97,7 +97,7 @@ def gold_tables() -> dict[str, GoldTable]:
         "champion_death_count": GoldTable(
             ("room_id", "champion", DAY),
             (F.col("deaths_max").alias("death_count"),),
-            order=("room_id",),
+            order=(DAY, "room_id"),
         ),
         "key_used_per": GoldTable(
             ("champion", DAY),

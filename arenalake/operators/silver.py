@@ -30,13 +30,23 @@ def analysis_rows(bronze: DataFrame, keep: str = "any") -> DataFrame:
     return present_rows(bronze, keep).withColumns({"x+y": x_plus_y(), "buy": buy_flag()})
 
 
+ROOM_TIME = [DAY, "room_id", "current_time"]
+
+
 def sort_room_time(rows: DataFrame) -> DataFrame:
-    """Global order by day, room and time.
+    """Global order by day, room and time, for a reader of the result itself."""
+    return rows.orderBy(*ROOM_TIME)
+
+
+def files_by_room_time(rows: DataFrame) -> DataFrame:
+    """The same order inside every written file.
 
-    A range shuffle: each day becomes consecutive files, and a day or a room
-    with many rows is spread over several tasks.
+    A global order would not outlast the write, and it costs a second pass over
+    the input to choose its ranges. Rebalancing groups the rows by day, and
+    adaptive execution splits a large day by size, not by key, so neither a room
+    nor a run of equal rows can overload a task.
     """
-    return rows.orderBy(DAY, "room_id", "current_time", "datetime")
+    return rows.hint("rebalance", DAY).sortWithinPartitions(*ROOM_TIME)
 
 
 def labelled_rows(bronze: DataFrame, by_day: bool = True, handle_null: str = "error") -> DataFrame:

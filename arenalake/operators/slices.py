@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from arenalake.sinks.scratch import checkpointed
 
-HOT_GROUP_ROWS = 5_000_000
+HOT_GROUP_ROWS = 2_000_000
 SLICE_ROWS = 1_000_000
 COPIES_PER_TASK = 1_000_000
 

@@ -4,20 +4,25 @@ Every job takes one day, or a first and a last day: a range is one Spark job
 that gives the tables a run per day would give.
 """
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from arenalake.lake import Lake
 from arenalake.operators.cluster import fit_clusters, silhouette
-from arenalake.operators.gold import gold_tables, player_summaries
+from arenalake.operators.gold import PLAYER_KEYS, gold_tables, player_summaries
 from arenalake.operators.silver import (
     analysis_rows,
+    files_by_room_time,
     movement_rows,
-    sort_room_time,
     train_indexed_rows,
 )
+from arenalake.schema import SCORED_SCHEMA
 from arenalake.sinks.models import save_model
 from arenalake.sinks.tables import append_days, month_to_parquet, replace_days
 from arenalake.sources.archive import json_month, month_text
@@ -44,7 +49,7 @@ def silver_analysis(
     spark: SparkSession, lake: Lake, first: Day, last: Day | None = None, keep: str = "any"
 ) -> None:
     bronze = table_days(spark, lake.name("playerlogs"), first, last)
-    _replace(lake, "analysis_playerlogs", sort_room_time(analysis_rows(bronze, keep)))
+    _replace(lake, "analysis_playerlogs", files_by_room_time(analysis_rows(bronze, keep)))
 
 
 def silver_train_indexed(
@@ -80,14 +85,23 @@ def gold_days(spark: SparkSession, lake: Lake, first: Day, last: Day | None = No
     """All gold tables from one pass over the analysis table.
 
     What is kept between the writes is the summary per room, player and
-    champion, not the events.
+    champion, not the events. The table with those keys is written first, which
+    fills the cache; the others then run side by side.
     """
     silver = table_days(spark, lake.name("analysis_playerlogs"), first, last)
     summaries = player_summaries(silver).persist()
+    tables = gold_tables()
+
+    def write(name):
+        table = tables[name]
+        rebalance = _many(first, last) and not table.order
+        _replace(lake, name, table.from_summaries(summaries), rebalance)
+
     try:
-        for name, table in gold_tables().items():
-            rows = table.from_summaries(summaries)
-            _replace(lake, name, rows, rebalance=_many(first, last) and not table.order)
+        finest = [name for name, table in tables.items() if table.keys == PLAYER_KEYS]
+        for name in finest:
+            write(name)
+        _together([partial(write, name) for name in tables if name not in finest])
     finally:
         summaries.unpersist()
 
@@ -104,7 +118,13 @@ def refit(
     return model, score
 
 
-def archive_month(spark: SparkSession, lake: Lake, day: Day, schema, base: str | None = None) -> str:
+def archive_month(
+    spark: SparkSession,
+    lake: Lake,
+    day: Day,
+    base: str | None = None,
+    schema: StructType = SCORED_SCHEMA,
+) -> str:
     """The day's month of JSON bronze files to one Parquet folder; returns its path."""
     target = f"{lake.archive_path}/{month_text(day)}"
     rows = json_month(spark, base or lake.path("playerlogs"), day, schema)
@@ -115,20 +135,36 @@ def archive_month(spark: SparkSession, lake: Lake, day: Day, schema, base: str |
 def run_days(
     spark: SparkSession, lake: Lake, first: Day, last: Day | None = None
 ) -> tuple[PipelineModel, float] | None:
-    """Silver, gold and training tables; then a refit if a month begins in the range.
+    """Analysis then gold tables, beside them the training tables, then maybe a refit.
 
-    The refit reads the whole movement table.
+    The refit runs if a month begins in the range, and reads the whole movement
+    table.
     """
     lake.create_databases(spark)
-    silver_analysis(spark, lake, first, last)
-    gold_days(spark, lake, first, last)
-    silver_train_indexed(spark, lake, first, last)
-    silver_train_movement(spark, lake, first, last)
+
+    def analysis_then_gold():
+        silver_analysis(spark, lake, first, last)
+        gold_days(spark, lake, first, last)
+
+    _together(
+        [
+            analysis_then_gold,
+            partial(silver_train_indexed, spark, lake, first, last),
+            partial(silver_train_movement, spark, lake, first, last),
+        ]
+    )
     if _month_begins(first, last):
         return refit(spark, lake)
     return None
 
 
+def _together(actions: list[Callable[[], None]]) -> None:
+    """Run independent writes at the same time; raise the first failure."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        for future in [pool.submit(action) for action in actions]:
+            future.result()
+
+
 def _replace(lake: Lake, table: str, rows: DataFrame, rebalance: bool = False) -> None:
     replace_days(rows, lake.name(table), lake.path(table), lake.fmt, rebalance)
 

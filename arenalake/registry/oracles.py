@@ -160,7 +160,7 @@ ORACLES = {
     "src_table_day": f"{BRONZE_ROWS} where create_room_date = date '{ONE_DAY}'",
     "src_table_day_sql": f"""with {SILVER} select * from silver
         where create_room_date = date '{ONE_DAY}'""",
-    "src_table_full": BRONZE_ROWS,
+    "src_table_full": f"with {MOVED} select {FILLED} from moved",
     "src_model_load": AGREEMENT,
     "sink_stream_parquet_table": BRONZE_ROWS,
     "sink_stream_quarantine_table": QUARANTINE_ROWS,
@@ -234,6 +234,8 @@ ORACLES = {
         cast("datetime" as date) as create_room_date from train""",
     "ml_assemble": f"""with {BRONZE} select room_id, cast(x as double) as v0,
         cast(y as double) as v1 from bronze""",
+    "ml_predict_nearest": f"""with {BRONZE} select count(*) as "rows",
+        cast(0 as bigint) as away from bronze""",
     "ml_score_stream": AGREEMENT,
     "stream_checkpoint": BRONZE_ROWS,
     "stream_fanout": f"""with {BRONZE}, refused as (
@@ -263,6 +265,8 @@ ORACLES = {
     ),
     "message_rate": """select date_trunc('minute', ts) as window_start, count(*) as messages
         from events group by 1""",
+    "message_rate_per_second": """select date_trunc('second', ts) as window_start,
+        count(*) as messages from events group by 1""",
 }
 
 # Every day of the test data is in the range the job queries run over.

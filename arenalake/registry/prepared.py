@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arenalake.lake import Lake
 from arenalake.operators.bronze import bronze_rows
 from arenalake.operators.cluster import fit_clusters
-from arenalake.plans.jobs import bronze_batch, silver_analysis
+from arenalake.plans.jobs import bronze_batch, silver_analysis, silver_train_movement
 from arenalake.sinks.scratch import scratch_path
 from arenalake.sources.playerlogs import raw_playerlogs, to_messages
 
@@ -70,6 +70,19 @@ def _silver_table(application: str, sf_dir: str) -> str:
     return lake.name("analysis_playerlogs")
 
 
+def movement_table(spark: SparkSession, sf_dir: str) -> str:
+    """Name of a movement training table of all days."""
+    return _movement_table(_application(spark), sf_dir)
+
+
+@cache
+def _movement_table(application: str, sf_dir: str) -> str:
+    spark = _SESSIONS[application]
+    lake = new_lake(spark, playerlogs=_bronze_table(application, sf_dir))
+    silver_train_movement(spark, lake, FIRST_DAY, LAST_DAY)
+    return lake.name("delta_playerlogs")
+
+
 def fitted_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return _fitted_model(_application(spark), sf_dir)
 

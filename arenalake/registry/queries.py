@@ -46,6 +46,7 @@ from arenalake.registry.prepared import (
     bronze_table,
     fitted_model,
     landed_messages,
+    movement_table,
     new_lake,
     raw,
     silver_table,
@@ -107,7 +108,7 @@ def src_kafka_stream(spark, sf_dir):
 
 def _json_days(spark, sf_dir):
     path = scratch_path(spark, "json")
-    bronze(spark, sf_dir).write.partitionBy(DAY).json(path)
+    bronze(spark, sf_dir).hint("rebalance", DAY).write.partitionBy(DAY).json(path)
     return path
 
 
@@ -128,7 +129,8 @@ def src_table_day_sql(spark, sf_dir):
 
 @query
 def src_table_full(spark, sf_dir):
-    return plain(spark.table(bronze_table(spark, sf_dir)))
+    """The training table a refit reads."""
+    return plain(spark.table(movement_table(spark, sf_dir)))
 
 
 def _disagreements(rows, first, second):
@@ -210,7 +212,7 @@ def sink_full_overwrite(spark, sf_dir):
 def _archived(spark, sf_dir):
     lake = new_lake(spark)
     base = _json_days(spark, sf_dir)
-    return jobs.archive_month(spark, lake, ONE_DAY, BRONZE_SCHEMA, base)
+    return jobs.archive_month(spark, lake, ONE_DAY, base, BRONZE_SCHEMA)
 
 
 @query
@@ -502,6 +504,20 @@ def ml_predict_batch(spark, sf_dir):
     return plain(predict(fitted_model(spark, sf_dir), bronze(spark, sf_dir)))
 
 
+@query
+def ml_predict_nearest(spark, sf_dir):
+    """(rows, away): how many predictions are not the nearest centre."""
+    model = fitted_model(spark, sf_dir)
+    centres = model.stages[-1].clusterCenters()
+    squares = [
+        (F.col("x") - float(x)) ** 2 + (F.col("y") - float(y)) ** 2 for x, y in centres
+    ]
+    chosen = F.element_at(F.array(*squares), F.col(PREDICTION) + 1)
+    return predict(model, bronze(spark, sf_dir)).agg(
+        F.count("*").alias("rows"), F.count_if(chosen > F.least(*squares)).alias("away")
+    )
+
+
 @query
 def ml_silhouette(spark, sf_dir):
     score = silhouette(fitted_model(spark, sf_dir), bronze(spark, sf_dir))
@@ -594,9 +610,8 @@ def job_gold_day(spark, sf_dir):
 
 @query
 def job_refit(spark, sf_dir):
-    lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
-    jobs.silver_train_movement(spark, lake, FIRST_DAY, LAST_DAY)
-    model, score = jobs.refit(spark, lake)
+    lake = new_lake(spark, delta_playerlogs=movement_table(spark, sf_dir))
+    _, score = jobs.refit(spark, lake)
     stored = load_model(lake.model_path)
     rows = predict(stored, spark.table(lake.name("delta_playerlogs")))
     return rows.groupBy(PREDICTION).agg(
@@ -621,3 +636,8 @@ def job_run_day(spark, sf_dir):
 @query_named("message_rate")
 def message_rate_per_minute(spark, sf_dir):
     return plain(message_rate(read_table(spark, sf_dir, "events"), "ts"))
+
+
+@query
+def message_rate_per_second(spark, sf_dir):
+    return plain(message_rate(read_table(spark, sf_dir, "events"), "ts", "1 second"))

@@ -52,6 +52,8 @@ PREDICTION = "prediction"
 FEATURES = "features_vector"
 MODEL_COLUMNS = (FEATURES, PREDICTION)
 
+SCORED_SCHEMA = StructType([*BRONZE_SCHEMA.fields, StructField(PREDICTION, IntegerType())])
+
 TRAIN_COLUMNS = (
     "cahmpion_indexed",  # spelled as in the published table
     "datetime",

@@ -13,7 +13,7 @@ def scratch_root(spark: SparkSession) -> str:
     cluster session is an error, since its executors do not share one.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)

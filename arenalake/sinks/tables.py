@@ -1,23 +1,39 @@
 """Writers of day-partitioned catalog tables."""
 
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from arenalake.schema import DAY
+from arenalake.sources.tables import written_by_stream
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+_mode_lock = Lock()
+_mode_users = 0
+_mode_before = None
 
 
 @contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str):
-    """insertInto takes the mode from the session only, not from a write option."""
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, mode)
+def _dynamic_overwrite(spark: SparkSession):
+    """insertInto takes the mode from the session only, not from a write option.
+
+    The setting is put back when the last of several concurrent writers leaves;
+    a writer left with the static mode would replace the whole table.
+    """
+    global _mode_users, _mode_before
+    with _mode_lock:
+        if _mode_users == 0:
+            _mode_before = spark.conf.get(_MODE)
+            spark.conf.set(_MODE, "dynamic")
+        _mode_users += 1
     try:
         yield
     finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        with _mode_lock:
+            _mode_users -= 1
+            if _mode_users == 0:
+                spark.conf.set(_MODE, _mode_before)
 
 
 def create_table(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
@@ -52,17 +68,29 @@ def replace_days(
             .saveAsTable(table)
         )
         return
+    _check_batch_table(rows.sparkSession, path)
     create_table(rows, table, path, fmt)
-    with _overwrite_mode(rows.sparkSession, "dynamic"):
+    with _dynamic_overwrite(rows.sparkSession):
         _in_table_order(rows, table).write.mode("overwrite").insertInto(table)
 
 
 def append_days(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
     """Append, a few files of even size per day."""
+    _check_batch_table(rows.sparkSession, path)
     create_table(rows, table, path, fmt)
     _in_table_order(rows, table).hint("rebalance", DAY).write.insertInto(table)
 
 
+def _check_batch_table(spark: SparkSession, path: str) -> None:
+    """Refuse a folder a stream writes to.
+
+    Readers of such a folder go by the stream's log and would not see files of a
+    batch, without any error.
+    """
+    if written_by_stream(spark, path):
+        raise ValueError(f"{path} belongs to a stream; write batches to another table")
+
+
 def _in_table_order(rows: DataFrame, table: str) -> DataFrame:
     """insertInto goes by position."""
     return rows.select(*[f"`{name}`" for name in rows.sparkSession.table(table).columns])
@@ -70,14 +98,14 @@ def _in_table_order(rows: DataFrame, table: str) -> DataFrame:
 
 def replace_table(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
     """Replace the whole table."""
-    with _overwrite_mode(rows.sparkSession, "static"):
-        (
-            rows.write.format(fmt)
-            .mode("overwrite")
-            .option("path", path)
-            .partitionBy(DAY)
-            .saveAsTable(table)
-        )
+    (
+        rows.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("path", path)
+        .partitionBy(DAY)
+        .saveAsTable(table)
+    )
 
 
 def month_to_parquet(rows: DataFrame, path: str) -> None:

@@ -3,10 +3,12 @@
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from arenalake.functions.casts import month_of
 from arenalake.schema import DAY
-from arenalake.sources.tables import as_date
+from arenalake.sources.tables import as_date, written_by_stream
 
 
 def month_text(day: date | str) -> str:
@@ -18,7 +20,13 @@ def json_month(spark: SparkSession, base: str, day: date | str, schema: StructTy
 
     ``basePath`` keeps the day column, which a plain glob would lose. The schema
     is given; inferring it would read the whole month a second time.
+
+    Files of a stream are taken by its log: a folder may also hold files of a
+    failed attempt, which a glob would read twice.
     """
+    if written_by_stream(spark, base):
+        rows = spark.read.schema(schema).json(base)
+        return rows.filter(month_of(DAY) == F.lit(month_text(day)))
     return (
         spark.read.schema(schema)
         .option("basePath", base)

@@ -33,3 +33,9 @@ def table_days(
 def table_day_where(spark: SparkSession, table: str, day: date | str) -> DataFrame:
     """The same scan with the predicate as SQL text."""
     return spark.table(table).where(f"{DAY} = DATE'{as_date(day).isoformat()}'")
+
+
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Whether the folder has the log of a streaming file sink."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)

@@ -17,8 +17,8 @@ from arenalake.operators.cluster import fit_clusters, silhouette  # noqa: E402
 from arenalake.operators.gold import gold_from_events  # noqa: E402
 from arenalake.operators.silver import (  # noqa: E402
     analysis_rows,
+    files_by_room_time,
     movement_rows,
-    sort_room_time,
     train_indexed_rows,
 )
 from arenalake.lake import GOLD_TABLES  # noqa: E402
@@ -64,7 +64,7 @@ def workloads(spark, sf_dir):
     work = {
         "parse_valid": lambda: consume(bronze_rows(parse_messages(spark.read.text(landed)))),
         "parse_invalid": lambda: consume(quarantine_rows(parse_messages(spark.read.text(landed)))),
-        "silver_analysis": lambda: consume(sort_room_time(analysis_rows(bronze()))),
+        "silver_analysis": lambda: consume(files_by_room_time(analysis_rows(bronze()))),
         "train_table_indexed": lambda: consume(train_indexed_rows(bronze())),
         "movement_features": lambda: consume(movement_rows(bronze())),
         "message_rate": lambda: consume(message_rate(read_table(spark, sf_dir, "events"), "ts")),

@@ -106,7 +106,8 @@ def test_gold_average_equals_avg(spark):
 
 def test_champion_deaths_are_ordered_by_room(spark):
     silver = analysis_rows(bronze(spark, SF))
-    rooms = [r.room_id or "" for r in gold_from_events(silver, "champion_death_count").collect()]
+    rows = gold_from_events(silver, "champion_death_count").collect()
+    rooms = [(r[DAY], r.room_id or "") for r in rows]
     assert rooms == sorted(rooms)
 
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from arenalake.operators.bronze import parse_messages, split_rows
 from arenalake.operators.cluster import predict
+from arenalake.plans.jobs import archive_month
 from arenalake.registry.prepared import bronze, fitted_model, landed_messages, new_lake, raw
 from arenalake.schema import RAW_SCHEMA
 from arenalake.sinks.scratch import scratch_path
+from arenalake.sinks.tables import append_days, replace_days
 from arenalake.sources.messages import text_messages
 from arenalake.sources.playerlogs import read_table, to_messages
 from arenalake.streaming import ingest
@@ -31,6 +33,13 @@ def test_tables_equal_the_batch_and_a_restart_adds_nothing(spark, lake):
         assert bag(spark.table(lake.name("invalid_data"))) == bag(refused)
 
 
+def test_a_batch_cannot_write_into_a_stream_table(spark, lake):
+    start(spark, lake)
+    for write in (append_days, replace_days):
+        with pytest.raises(ValueError, match="belongs to a stream"):
+            write(bronze(spark, SF), lake.name("playerlogs"), lake.path("playerlogs"))
+
+
 def test_new_files_are_picked_up_where_it_stopped(spark, lake):
     path = scratch_path(spark, "landing")
     rows = to_messages(raw(spark, SF))
@@ -65,6 +74,17 @@ def test_scored_stream(spark, lake):
     assert bag(scored) == bag(predict(model, bronze(spark, SF)))
 
 
+def test_archive_of_a_scored_json_stream(spark, lake):
+    """Keeps the prediction, and leaves out files the stream's log does not know."""
+    model = fitted_model(spark, SF)
+    start(spark, lake, model=model, starter=ingest.start_json_ingest)
+    scored = predict(model, bronze(spark, SF))
+    stray = f"{lake.path('playerlogs')}/create_room_date=2024-01-05"
+    scored.drop("create_room_date").limit(5).write.mode("append").json(stray)
+    archived = spark.read.parquet(archive_month(spark, lake, "2024-01-31"))
+    assert bag(archived) == bag(scored)
+
+
 def test_broken_messages_reach_the_quarantine(spark, lake):
     path = scratch_path(spark, "landing")
     spark.createDataFrame([("{broken",), ("",)], "value string").write.text(path)
