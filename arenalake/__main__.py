@@ -38,6 +38,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("servers")
     stream.add_argument("topic")
     stream.add_argument("--model", help="stored pipeline to score with")
+    stream.add_argument(
+        "--option", action="append", default=[], metavar="KEY=VALUE", help="Kafka source option"
+    )
     stream.add_argument("--json", action="store_true", help="write JSON files, no tables")
 
     for name in DAY_JOBS:
@@ -61,7 +64,9 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
     if args.job == "ingest":
         start = ingest.start_json_ingest if args.json else ingest.start_table_ingest
         model = load_model(args.model) if args.model else None
-        ingest.run_all(start(kafka_messages(spark, args.servers, args.topic), lake, model))
+        options = dict(option.split("=", 1) for option in args.option)
+        messages = kafka_messages(spark, args.servers, args.topic, **options)
+        ingest.run_all(start(messages, lake, model))
     elif args.job == "refit":
         _, score = jobs.refit(spark, lake, args.first, args.last)
         print(f"silhouette: {score}")

@@ -23,15 +23,16 @@ def value_ranks(
     """(by..., field, value, rank) of every non-NULL value, and its size in bytes.
 
     Rank 0 is the most frequent value; ties go in alphabetical order. One scan
-    counts all columns; the counts are stored, since their size decides how they
-    are ranked and joined.
+    counts the combinations of all columns, and their counts are added up per
+    column. The result is stored, since its size decides how the values are
+    ranked and joined.
     """
+    combinations = rows.groupBy(*by, *columns).agg(F.count("*").alias("n"))
     counts = checkpointed(
-        rows.select(*by, *columns)
-        .unpivot(by, columns, "field", "value")
+        combinations.unpivot([*by, "n"], columns, "field", "value")
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "field", "value")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     size = (
         counts.groupBy(*by, "field")

@@ -142,6 +142,10 @@ QUARANTINE_ROWS = f"""with {RAW} select *, try_cast("createRoomDate" as date) as
   from raw where not {OK}"""
 AGREEMENT = f"""with {BRONZE} select count(*) as "rows", cast(0 as bigint) as differing
   from bronze"""
+INDEXED = f"""with {BRONZE} select b.champion, c.rank as champion_indexed,
+    b.inputkey, k.rank as inputkey_indexed from bronze b
+    join {_ranks("champion")} c on b.champion = c.champion
+    join {_ranks("inputkey")} k on b.inputkey = k.inputkey"""
 PREVIOUS = f"with {MOVED} select * from moved"
 ARCHIVED = f"with {BRONZE} select * from bronze where strftime(create_room_date, '%Y-%m') = '2024-01'"
 
@@ -225,10 +229,8 @@ ORACLES = {
     "movement_features": f"with {MOVED} select {FILLED} from moved",
     "sort_room_time": f"with {SILVER} select * from silver",
     "sort_room": f"with {SILVER} {GOLD['champion_death_count']}",
-    "ml_string_index": f"""with {BRONZE} select b.champion, c.rank as champion_indexed,
-        b.inputkey, k.rank as inputkey_indexed from bronze b
-        join {_ranks("champion")} c on b.champion = c.champion
-        join {_ranks("inputkey")} k on b.inputkey = k.inputkey""",
+    "ml_string_index": INDEXED,
+    "ml_string_index_shuffled": INDEXED,
     "train_table_indexed": f"""with {TRAIN} select cahmpion_indexed, "datetime",
         encrypted_account, inputkey_indexed, x, y, label,
         cast("datetime" as date) as create_room_date from train""",

@@ -474,6 +474,16 @@ def ml_string_index(spark, sf_dir):
     return indexed.select("champion", "champion_indexed", "inputkey", "inputkey_indexed")
 
 
+@query
+def ml_string_index_shuffled(spark, sf_dir):
+    """The same with the joins and ranks used beyond the broadcast bound."""
+    outputs = {"champion": "champion_indexed", "inputkey": "inputkey_indexed"}
+    indexed = frequency_index(
+        bronze(spark, sf_dir), outputs, broadcast_bytes=0, hot_rows=5, slice_rows=5
+    )
+    return indexed.select("champion", "champion_indexed", "inputkey", "inputkey_indexed")
+
+
 @query
 def train_table_indexed(spark, sf_dir):
     return plain(train_indexed_rows(bronze(spark, sf_dir)))
