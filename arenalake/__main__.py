@@ -41,12 +41,18 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument(
         "--option", action="append", default=[], metavar="KEY=VALUE", help="Kafka source option"
     )
+    stream.add_argument("--every", default="1 minute", help="time between micro-batches")
     stream.add_argument("--json", action="store_true", help="write JSON files, no tables")
 
     for name in DAY_JOBS:
         day = job.add_parser(name)
         day.add_argument("first", help="yyyy-mm-dd")
         day.add_argument("last", nargs="?", help="last day of a range")
+        if name == "silver-train":
+            day.add_argument(
+                "--null", choices=["error", "skip", "keep"], default="error",
+                help="what to do with rows that have no champion or key",
+            )
 
     refit = job.add_parser("refit")
     refit.add_argument("first", nargs="?")
@@ -66,7 +72,7 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
         model = load_model(args.model) if args.model else None
         options = dict(option.split("=", 1) for option in args.option)
         messages = kafka_messages(spark, args.servers, args.topic, **options)
-        ingest.run_all(start(messages, lake, model))
+        ingest.run_all(start(messages, lake, model, {"processingTime": args.every}))
     elif args.job == "refit":
         _, score = jobs.refit(spark, lake, args.first, args.last)
         print(f"silhouette: {score}")
@@ -74,7 +80,8 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
         print(jobs.archive_month(spark, lake, args.day, args.base))
     else:
         lake.create_databases(spark)
-        DAY_JOBS[args.job](spark, lake, args.first, args.last)
+        options = {"handle_null": args.null} if args.job == "silver-train" else {}
+        DAY_JOBS[args.job](spark, lake, args.first, args.last, **options)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arenalake.operators.slices import HOT_GROUP_ROWS, SLICE_ROWS, positions
-from arenalake.sinks.scratch import checkpointed
+from arenalake.sinks.scratch import stored
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
@@ -28,7 +28,7 @@ def value_ranks(
     ranked and joined.
     """
     combinations = rows.groupBy(*by, *columns).agg(F.count("*").alias("n"))
-    counts = checkpointed(
+    counts = stored(
         combinations.unpivot([*by, "n"], columns, "field", "value")
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "field", "value")

@@ -7,9 +7,9 @@ group may span many slices. Work inside a slice is an ordinary window; what
 crosses a slice border is one small row per border.
 
 The slice number comes from the range partitioner, whose borders are chosen by
-sampling in the job that writes the shuffle. It is therefore stored with the
-rows by ``checkpoint()`` before anything is derived from it, so a lost executor
-cannot give the same row another number.
+sampling in the job that writes the shuffle. It is therefore written with the
+rows, next to their position in the order, before anything is derived from it,
+so a lost executor cannot give the same row another number.
 """
 
 from functools import reduce
@@ -18,11 +18,12 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenalake.sinks.scratch import checkpointed
+from arenalake.sinks.scratch import stored
 
 HOT_GROUP_ROWS = 2_000_000
 SLICE_ROWS = 1_000_000
 COPIES_PER_TASK = 1_000_000
+UNEVEN = 4  # a slice this many times its intended size holds a pile of equal rows
 
 
 def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -54,11 +55,10 @@ def previous_values(
     hot_total = hot_sizes.agg(F.sum("_rows")).first()[0]
     if not hot_total:
         return _lag(rows, group, order, values)
-    hot_keys = checkpointed(hot_sizes)
+    hot_keys = stored(hot_sizes)
     cold = join_small(rows, hot_keys, group, "left_anti")
     hot = join_small(rows, hot_keys, group, "left_semi")
-    n_slices = -(-hot_total // slice_rows)
-    sliced = _lag_in_slices(hot, group, order, values, n_slices)
+    sliced = _lag_in_slices(hot, group, order, values, hot_total, slice_rows)
     return _lag(cold, group, order, values).unionByName(sliced)
 
 
@@ -67,35 +67,52 @@ def _lag(rows, group, order, values):
     return rows.withColumns({new: F.lag(old).over(window) for new, old in values.items()})
 
 
-def _lag_in_slices(rows, group, order, values, n_slices):
-    # Rows equal in every column cannot be told apart by any order: keep one
-    # row with its number of copies and expand it at the end.
-    distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    sliced = _slices(distinct, group + order, n_slices)
-    lagged = _lag(sliced, group + ["_slice"], order, values)
-
-    old = list(values.values())
-    tails = sliced.groupBy(*group, "_slice").agg(
-        F.max_by(F.struct(*old), F.struct(*order)).alias("_carry")
+def _lag_in_slices(rows, group, order, values, total, slice_rows):
+    n_slices = -(-total // slice_rows)
+    sliced = _slices(rows.withColumn("_copies", F.lit(1)), group, order, n_slices)
+    largest = sliced.groupBy("_slice").count().agg(F.max("count")).first()[0]
+    piled = largest > UNEVEN * slice_rows
+    if piled:
+        # Only rows equal in every column cannot be parted by the order: keep
+        # one row with its number of copies and expand it at the end.
+        distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+        sliced = _slices(distinct, group, order, n_slices)
+
+    slices = [*group, "_slice"]
+    lagged = _lag(sliced, slices, ["_position"], values | {"_before": "_position"})
+    ends = sliced.groupBy(*slices).agg(F.max("_position").alias("_position"))
+    tails = join_small(
+        sliced.select(*slices, "_position", F.struct(*values.values()).alias("_carry")),
+        ends.select("_position"),
+        ["_position"],
+        "left_semi",
     )
-    carry = _carried(tails, group)
-    first = Window.partitionBy(*group, "_slice").orderBy(*order)
-    lagged = lagged.withColumn("_first", F.row_number().over(first) == 1)
-    joined = join_small(lagged, carry, group + ["_slice"], "left")
+    carry = _carried(tails.select(*slices, "_carry"), group)
+    joined = join_small(lagged, carry, slices, "left")
     filled = joined.select(
         *rows.columns,
         "_copies",
         *[
-            F.when(F.col("_first"), F.col("_carry")[name]).otherwise(F.col(new)).alias(new)
+            F.when(F.col("_before").isNull(), F.col("_carry")[name])
+            .otherwise(F.col(new))
+            .alias(new)
             for new, name in values.items()
         ],
     )
+    if not piled:
+        return filled.drop("_copies")
     return _expand_copies(filled, sliced, rows.columns, values)
 
 
-def _slices(rows, keys, n_slices):
-    ranged = rows.repartitionByRange(int(n_slices), *keys)
-    return checkpointed(ranged.withColumn("_slice", F.spark_partition_id()))
+def _slices(rows, group, order, n_slices):
+    """Store the rows with ``_slice`` and ``_position``, which ascends in the order."""
+    keys = [*group, *order]
+    ranged = rows.repartitionByRange(int(n_slices), *keys).sortWithinPartitions(*keys)
+    return stored(
+        ranged.withColumns(
+            {"_slice": F.spark_partition_id(), "_position": F.monotonically_increasing_id()}
+        )
+    )
 
 
 def _carried(per_slice, group):
@@ -114,8 +131,6 @@ def _carried(per_slice, group):
 def _expand_copies(rows, sliced, columns, values):
     """Repeat each row ``_copies`` times; every copy but the first follows its twin."""
     most = sliced.agg(F.max("_copies")).first()[0]
-    if most == 1:
-        return rows.drop("_copies")
     blocks = F.floor((F.col("_copies") - 1) / F.lit(COPIES_PER_TASK)).cast("bigint")
     rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
     if most > COPIES_PER_TASK:
@@ -150,7 +165,7 @@ def positions(
     if largest <= hot_rows:
         window = Window.partitionBy(*group).orderBy(*order)
         return rows.withColumn(alias, F.row_number().over(window) - 1)
-    sliced = _slices(rows, [F.col(c) for c in group] + order, -(-total // slice_rows))
+    sliced = _slices(rows, group, order, -(-total // slice_rows))
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
@@ -158,7 +173,7 @@ def positions(
     carry = sizes.withColumn("_carry", F.sum("_size").over(before)).filter(
         F.col("_carry").isNotNull()
     )
-    window = Window.partitionBy(*group, "_slice").orderBy(*order)
+    window = Window.partitionBy(*group, "_slice").orderBy("_position")
     local = sliced.withColumn(alias, F.row_number().over(window) - 1)
     joined = join_small(local, carry.drop("_size"), group + ["_slice"], "left")
     return joined.select(

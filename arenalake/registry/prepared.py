@@ -1,19 +1,19 @@
 """Tables several queries start from, built once per application and data folder."""
 
+from datetime import date
 from functools import cache
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arenalake.lake import Lake
 from arenalake.operators.bronze import bronze_rows
 from arenalake.operators.cluster import fit_clusters
 from arenalake.plans.jobs import bronze_batch, silver_analysis, silver_train_movement
 from arenalake.sinks.scratch import scratch_path
-from arenalake.sources.playerlogs import raw_playerlogs, to_messages
-
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"  # the days of the test data
+from arenalake.sources.playerlogs import raw_playerlogs, read_table, to_messages
 
 _SESSIONS: dict[str, SparkSession] = {}
 
@@ -31,6 +31,17 @@ def _application(spark: SparkSession) -> str:
     return application
 
 
+def day_range(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last day of the events."""
+    return _day_range(_application(spark), sf_dir)
+
+
+@cache
+def _day_range(application: str, sf_dir: str) -> tuple[date, date]:
+    events = read_table(_SESSIONS[application], sf_dir, "events")
+    return tuple(events.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first())
+
+
 def landed_messages(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the JSON message of every event, one per line."""
     return _landed_messages(_application(spark), sf_dir)
@@ -66,7 +77,7 @@ def silver_table(spark: SparkSession, sf_dir: str) -> str:
 def _silver_table(application: str, sf_dir: str) -> str:
     spark = _SESSIONS[application]
     lake = new_lake(spark, playerlogs=_bronze_table(application, sf_dir))
-    silver_analysis(spark, lake, FIRST_DAY, LAST_DAY)
+    silver_analysis(spark, lake, *_day_range(application, sf_dir))
     return lake.name("analysis_playerlogs")
 
 
@@ -79,7 +90,7 @@ def movement_table(spark: SparkSession, sf_dir: str) -> str:
 def _movement_table(application: str, sf_dir: str) -> str:
     spark = _SESSIONS[application]
     lake = new_lake(spark, playerlogs=_bronze_table(application, sf_dir))
-    silver_train_movement(spark, lake, FIRST_DAY, LAST_DAY)
+    silver_train_movement(spark, lake, *_day_range(application, sf_dir))
     return lake.name("delta_playerlogs")
 
 

@@ -40,10 +40,9 @@ from arenalake.operators.silver import (
 )
 from arenalake.plans import jobs
 from arenalake.registry.prepared import (
-    FIRST_DAY,
-    LAST_DAY,
     bronze,
     bronze_table,
+    day_range,
     fitted_model,
     landed_messages,
     movement_table,
@@ -51,7 +50,7 @@ from arenalake.registry.prepared import (
     raw,
     silver_table,
 )
-from arenalake.schema import BRONZE_SCHEMA, DAY, FEATURES, PREDICTION, RAW_FIELDS, RAW_SCHEMA
+from arenalake.schema import BRONZE_SCHEMA, DAY, FEATURES, PREDICTION, RAW_SCHEMA
 from arenalake.sinks.models import load_model, save_model
 from arenalake.sinks.scratch import scratch_path
 from arenalake.sinks.tables import replace_days, replace_table
@@ -588,21 +587,21 @@ def job_bronze_ingest(spark, sf_dir):
 @query
 def job_silver_analysis(spark, sf_dir):
     lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
-    jobs.silver_analysis(spark, lake, FIRST_DAY, LAST_DAY)
+    jobs.silver_analysis(spark, lake, *day_range(spark, sf_dir))
     return plain(spark.table(lake.name("analysis_playerlogs")))
 
 
 @query
 def job_silver_train_indexed(spark, sf_dir):
     lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
-    jobs.silver_train_indexed(spark, lake, FIRST_DAY, LAST_DAY)
+    jobs.silver_train_indexed(spark, lake, *day_range(spark, sf_dir))
     return plain(spark.table(lake.name("train_playerlogs")))
 
 
 @query
 def job_silver_train_movement(spark, sf_dir):
     lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
-    jobs.silver_train_movement(spark, lake, FIRST_DAY, LAST_DAY)
+    jobs.silver_train_movement(spark, lake, *day_range(spark, sf_dir))
     return plain(spark.table(lake.name("delta_playerlogs")))
 
 
@@ -610,7 +609,7 @@ def job_silver_train_movement(spark, sf_dir):
 def job_gold_day(spark, sf_dir):
     """All gold tables in one frame, columns a table lacks being NULL."""
     lake = new_lake(spark, analysis_playerlogs=silver_table(spark, sf_dir))
-    jobs.gold_days(spark, lake, FIRST_DAY, LAST_DAY)
+    jobs.gold_days(spark, lake, *day_range(spark, sf_dir))
     result = None
     for name in GOLD_TABLES:
         rows = spark.table(lake.name(name)).withColumn("table_name", F.lit(name))
@@ -638,7 +637,7 @@ def job_month_archive(spark, sf_dir):
 def job_run_day(spark, sf_dir):
     """All daily jobs over all days, then the refit: rows per table and day."""
     lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
-    jobs.run_days(spark, lake, FIRST_DAY, LAST_DAY)
+    jobs.run_days(spark, lake, *day_range(spark, sf_dir))
     tables = ["analysis_playerlogs", "train_playerlogs", "delta_playerlogs", *GOLD_TABLES]
     return _row_counts(spark, lake, tables)
 

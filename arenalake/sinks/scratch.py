@@ -30,7 +30,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/arenalake/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """Store the rows in the shared folder and cut their lineage."""
-    scratch_root(rows.sparkSession)
-    return rows.checkpoint(eager=True)
+def stored(rows: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them back, cutting their lineage.
+
+    Parquet rather than ``checkpoint()``, so that later steps read only the
+    columns they need.
+    """
+    path = scratch_path(rows.sparkSession, "stored")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

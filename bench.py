@@ -12,6 +12,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from arenalake.lake import GOLD_TABLES  # noqa: E402
 from arenalake.operators.bronze import bronze_rows, parse_messages, quarantine_rows  # noqa: E402
 from arenalake.operators.cluster import fit_clusters, silhouette  # noqa: E402
 from arenalake.operators.gold import gold_from_events  # noqa: E402
@@ -21,7 +22,6 @@ from arenalake.operators.silver import (  # noqa: E402
     movement_rows,
     train_indexed_rows,
 )
-from arenalake.lake import GOLD_TABLES  # noqa: E402
 from arenalake.plans import jobs  # noqa: E402
 from arenalake.registry import prepared  # noqa: E402
 from arenalake.registry.queries import DRAIN  # noqa: E402
@@ -43,7 +43,7 @@ def workloads(spark, sf_dir):
     landed = prepared.landed_messages(spark, sf_dir)
     bronze_name = prepared.bronze_table(spark, sf_dir)
     silver_name = prepared.silver_table(spark, sf_dir)
-    first, last = prepared.FIRST_DAY, prepared.LAST_DAY
+    first, last = prepared.day_range(spark, sf_dir)
 
     def bronze():
         return spark.table(bronze_name)

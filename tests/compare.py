@@ -77,7 +77,8 @@ def main():
             print(columns, want_columns)
             print(" only in Spark:", list((got - want).items())[:3])
             print(" only in SQL:  ", list((want - got).items())[:3])
-        print(f"{name}: {'ok' if same else 'DIFFERS'} {got.total()}/{want.total()} {took:.1f}s", flush=True)
+        verdict = "ok" if same else "DIFFERS"
+        print(f"{name}: {verdict} {got.total()}/{want.total()} {took:.1f}s", flush=True)
     print("all equal" if not bad else f"bad: {bad}")
 
 

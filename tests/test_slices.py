@@ -32,7 +32,8 @@ def one_window(rows):
 @pytest.mark.parametrize("hot_rows, slice_rows", [(10, 7), (100, 50), (900, 400), (1, 1000)])
 def test_sliced_lag(spark, hot_rows, slice_rows):
     rows = skewed(spark)
-    got = previous_values(rows, ["account"], ["room", "t", "x"], {"prev_x": "x"}, hot_rows, slice_rows)
+    order = ["room", "t", "x"]
+    got = previous_values(rows, ["account"], order, {"prev_x": "x"}, hot_rows, slice_rows)
     assert bag(got) == bag(one_window(rows))
 
 

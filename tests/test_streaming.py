@@ -96,12 +96,15 @@ def test_broken_messages_reach_the_quarantine(spark, lake):
 def test_one_failure_stops_all(spark):
     lake = new_lake(spark)
     messages = text_messages(spark, landed_messages(spark, SF))
-    failing = parse_messages(messages).select(F.raise_error(F.lit("broken sink")).cast("string").alias("c"))
+    failure = F.raise_error(F.lit("broken sink")).cast("string")
+    failing = parse_messages(messages).select(failure.alias("c"))
     good = parse_messages(messages)
     forever = {"processingTime": "1 hour"}
     queries = [
         ingest.to_files(
-            ingest.append_stream(rows, f"{lake.root}/{name}-c", name, partition=None, trigger=forever),
+            ingest.append_stream(
+                rows, f"{lake.root}/{name}-c", name, partition=None, trigger=forever
+            ),
             f"{lake.root}/{name}",
         )
         for rows, name in ((good, "good"), (failing, "failing"))
