@@ -23,14 +23,22 @@ from arenalake.sinks.scratch import stored
 HOT_GROUP_ROWS = 2_000_000
 SLICE_ROWS = 1_000_000
 COPIES_PER_TASK = 1_000_000
+BROADCAST_ROWS = 400_000  # of keys and positions, some 150 bytes each
 UNEVEN = 4  # a slice this many times its intended size holds a pile of equal rows
 
 
-def join_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Null-safe broadcast join on ``keys``; the callers bound the size of ``small``."""
+def join_keys(
+    rows: DataFrame, small: DataFrame, keys: list[str], how: str, at_most: int
+) -> DataFrame:
+    """Null-safe join on ``keys`` with ``small``, which has ``at_most`` so many rows.
+
+    Broadcast while that bound is small.
+    """
     renamed = small.withColumnsRenamed({c: f"_{c}_of_small" for c in keys})
+    if at_most <= BROADCAST_ROWS:
+        renamed = F.broadcast(renamed)
     match = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}_of_small")) for c in keys])
-    joined = rows.join(F.broadcast(renamed), match, how)
+    joined = rows.join(renamed, match, how)
     return joined.drop(*[f"_{c}_of_small" for c in keys])
 
 
@@ -46,19 +54,18 @@ def previous_values(
 
     Every remaining column extends the order, so the result does not depend on
     how rows happen to be laid out. Groups above ``hot_rows`` rows go through
-    slices. The keys of those groups are at most rows / hot_rows many, which is
-    what bounds the broadcasts below.
+    slices.
     """
     order = order + [c for c in rows.columns if c not in group and c not in order]
     sizes = rows.groupBy(*group).agg(F.count("*").alias("_rows"))
     hot_sizes = sizes.filter(F.col("_rows") > hot_rows)
-    hot_total = hot_sizes.agg(F.sum("_rows")).first()[0]
-    if not hot_total:
+    n_hot, hot_total = hot_sizes.agg(F.count("*"), F.sum("_rows")).first()
+    if not n_hot:
         return _lag(rows, group, order, values)
     hot_keys = stored(hot_sizes)
-    cold = join_small(rows, hot_keys, group, "left_anti")
-    hot = join_small(rows, hot_keys, group, "left_semi")
-    sliced = _lag_in_slices(hot, group, order, values, hot_total, slice_rows)
+    cold = join_keys(rows, hot_keys, group, "left_anti", n_hot)
+    hot = join_keys(rows, hot_keys, group, "left_semi", n_hot)
+    sliced = _lag_in_slices(hot, group, order, values, n_hot, hot_total, slice_rows)
     return _lag(cold, group, order, values).unionByName(sliced)
 
 
@@ -67,7 +74,7 @@ def _lag(rows, group, order, values):
     return rows.withColumns({new: F.lag(old).over(window) for new, old in values.items()})
 
 
-def _lag_in_slices(rows, group, order, values, total, slice_rows):
+def _lag_in_slices(rows, group, order, values, n_groups, total, slice_rows):
     n_slices = -(-total // slice_rows)
     sliced = _slices(rows.withColumn("_copies", F.lit(1)), group, order, n_slices)
     largest = sliced.groupBy("_slice").count().agg(F.max("count")).first()[0]
@@ -81,14 +88,15 @@ def _lag_in_slices(rows, group, order, values, total, slice_rows):
     slices = [*group, "_slice"]
     lagged = _lag(sliced, slices, ["_position"], values | {"_before": "_position"})
     ends = sliced.groupBy(*slices).agg(F.max("_position").alias("_position"))
-    tails = join_small(
+    tails = join_keys(
         sliced.select(*slices, "_position", F.struct(*values.values()).alias("_carry")),
         ends.select("_position"),
         ["_position"],
         "left_semi",
+        n_groups + n_slices,
     )
     carry = _carried(tails.select(*slices, "_carry"), group)
-    joined = join_small(lagged, carry, slices, "left")
+    joined = join_keys(lagged, carry, slices, "left", n_slices)
     filled = joined.select(
         *rows.columns,
         "_copies",
@@ -165,7 +173,8 @@ def positions(
     if largest <= hot_rows:
         window = Window.partitionBy(*group).orderBy(*order)
         return rows.withColumn(alias, F.row_number().over(window) - 1)
-    sliced = _slices(rows, group, order, -(-total // slice_rows))
+    n_slices = -(-total // slice_rows)
+    sliced = _slices(rows, group, order, n_slices)
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
@@ -175,7 +184,7 @@ def positions(
     )
     window = Window.partitionBy(*group, "_slice").orderBy("_position")
     local = sliced.withColumn(alias, F.row_number().over(window) - 1)
-    joined = join_small(local, carry.drop("_size"), group + ["_slice"], "left")
+    joined = join_keys(local, carry.drop("_size"), group + ["_slice"], "left", n_slices)
     return joined.select(
         *rows.columns,
         (F.col(alias) + F.coalesce("_carry", F.lit(0))).alias(alias),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from arenalake.__main__ import parser, run
 from arenalake.lake import GOLD_TABLES, TABLES, Lake
 from arenalake.operators.gold import gold_tables
-from arenalake.operators.silver import movement_rows
+from arenalake.operators.silver import analysis_rows, files_by_room_time, movement_rows
 from arenalake.plans import jobs
 from arenalake.registry.prepared import bronze, bronze_table, new_lake, silver_table
 from arenalake.schema import BRONZE_SCHEMA, DAY
@@ -110,6 +110,23 @@ def test_files_are_sorted_by_room_and_time(spark):
     assert per_file and all(order == sorted(order) for order in per_file.values())
 
 
+def test_a_large_day_of_one_room_is_split(spark, lake):
+    rows = spark.table(bronze_table(spark, SF)).withColumns(
+        {DAY: F.lit("2024-01-05").cast("date"), "room_id": F.lit("r")}
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "16KB")
+    try:
+        silver = files_by_room_time(analysis_rows(rows.repartition(8)))
+        name = lake.name("analysis_playerlogs")
+        replace_days(silver, name, lake.path("analysis_playerlogs"))
+    finally:
+        spark.conf.unset(size)
+    written = spark.table(name)
+    assert written.select(F.input_file_name()).distinct().count() > 1
+    assert bag(written) == bag(analysis_rows(rows))
+
+
 def test_replace_table_replaces_all(spark, lake):
     name, path = lake.name("playerlogs"), lake.path("playerlogs")
     replace_table(days(spark, (1, "2024-01-01"), (2, "2024-01-02")), name, path)

@@ -37,6 +37,13 @@ def test_sliced_lag(spark, hot_rows, slice_rows):
     assert bag(got) == bag(one_window(rows))
 
 
+def test_sliced_lag_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(slices, "BROADCAST_ROWS", 0)
+    rows = skewed(spark)
+    got = previous_values(rows, ["account"], ["room", "t", "x"], {"prev_x": "x"}, 10, 400)
+    assert bag(got) == bag(one_window(rows))
+
+
 def test_copies_are_kept(spark, monkeypatch):
     monkeypatch.setattr(slices, "COPIES_PER_TASK", 100)
     rows = spark.range(1000).select(
