@@ -85,6 +85,7 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
 
 
 if __name__ == "__main__":
+    parser().parse_args()  # usage errors come before a session is started
     session = SparkSession.builder.appName("arenalake").enableHiveSupport().getOrCreate()
     run(session, sys.argv[1:])
     session.stop()
