@@ -4,10 +4,12 @@ import functools
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arenalake.llm.fingerprints import neighbours
 from arenalake.llm.packing import pack
+from arenalake.llm.secret_scan import find_secrets, train
 from arenalake.llm.store import shared_folder, ship
 from arenalake.llm.token_files import read_token_files, write_token_files
 
@@ -56,3 +58,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"))
     rows = read_token_files(spark, folder)
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document; the models learn from all documents."""
+    documents = table(spark, sf_dir, "documents")
+    rows = find_secrets(documents, train(documents))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    return rows.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        count("random").alias("n_random"),
+    )
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, against its edited text and the next document."""
+    return neighbours(table(spark, sf_dir, "documents"))

@@ -64,19 +64,23 @@ def text_slices(texts: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[in
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of all words; a word never crosses the border of a text."""
-    inside = ~IS_SPACE[data]
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of true values; a run never crosses the border of a text."""
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
     borders = offsets[1:-1]
-    borders = borders[(borders > 0) & (borders < len(data))]
+    borders = borders[(borders > 0) & (borders < len(inside))]
     opens[borders] |= inside[borders]
     closes[borders - 1] |= inside[borders - 1]
     return np.flatnonzero(opens), np.flatnonzero(closes) + 1
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words."""
+    return runs(~IS_SPACE[data], offsets)
+
+
 def text_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each text, how many of the sorted positions lie before it; one entry more at the end."""
     return np.searchsorted(starts, offsets, "left")
