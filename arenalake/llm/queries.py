@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arenalake.llm import toxicity
 from arenalake.llm.fingerprints import neighbours
+from arenalake.llm.language import identify, learned
 from arenalake.llm.packing import pack
 from arenalake.llm.secret_scan import find_secrets, train
 from arenalake.llm.store import shared_folder, ship
@@ -86,3 +88,35 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, against its edited text and the next document."""
     return neighbours(table(spark, sf_dir, "documents"))
+
+
+def fold(folds: int) -> Column:
+    """The part a document belongs to, by the checksum of its id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(4) == 2, F.lit(False))
+    samples = learned(documents.where(~held_out))
+    return identify(documents, samples, held_out.alias("held_out"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned from two thirds of the labels."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    rows = toxicity.score(documents, model, held_out.alias("held_out"))
+    return rows.select(
+        "doc_id",
+        "held_out",
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.array_join(
+            F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ","
+        ).alias("spans"),
+    )

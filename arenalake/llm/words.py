@@ -89,3 +89,13 @@ def text_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def lowered(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case, all other bytes as they are."""
     return data + IS_CAPITAL[data]
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """Lower case of UTF-8 bytes for ASCII and the accented letters of Latin-1; lengths stay."""
+    out = lowered(data)
+    second = np.zeros(len(data), bool)
+    second[1:] = data[:-1] == 0xC3
+    capital = second & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    out[capital] += 0x20
+    return out
