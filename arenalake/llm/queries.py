@@ -1,6 +1,7 @@
 """One query for each operator, over the whole of its table."""
 
 import functools
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -13,6 +14,8 @@ from arenalake.llm.language import identify, learned
 from arenalake.llm.packing import pack
 from arenalake.llm.secret_scan import find_secrets, train
 from arenalake.llm.store import shared_folder, ship
+from arenalake.llm.substring_dedup import remove_repeated_passages
+from arenalake.llm.suffix_dedup import remove_repeated_strings
 from arenalake.llm.token_files import read_token_files, write_token_files
 
 #: SQL of the same results, where SQL can express them.
@@ -120,3 +123,33 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ","
         ).alias("spans"),
     )
+
+
+def sha256(content: bytes) -> str:
+    return hashlib.sha256(content).hexdigest()
+
+
+def removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without those of strings of 100 bytes that start earlier."""
+    rows = remove_repeated_strings(table(spark, sf_dir, "documents"), kept=sha256, kept_type="string")
+    return rows.select(
+        "doc_id",
+        F.col("n").alias("n_bytes"),
+        removed().alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.col("kept").alias("kept_sha256"),
+    )
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without those of windows of 50 words that an earlier document holds."""
+    rows = remove_repeated_passages(table(spark, sf_dir, "documents"), kept=sha256, kept_type="string")
+    return rows.select(
+        "doc_id", F.col("n").alias("n_words"), removed().alias("n_removed"), F.col("kept").alias("kept_sha256")
+    )
