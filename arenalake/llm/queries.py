@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from arenalake.llm import toxicity
 from arenalake.llm.fingerprints import neighbours
+from arenalake.llm.jaccard_join import similar
 from arenalake.llm.language import identify, learned
 from arenalake.llm.packing import pack
 from arenalake.llm.secret_scan import find_secrets, train
@@ -153,3 +154,32 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", F.col("n").alias("n_words"), removed().alias("n_removed"), F.col("kept").alias("kept_sha256")
     )
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of 5-word shingles and its component of documents alike to 0.8 and more."""
+    return similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+ORACLES["op4_jaccard_join"] = f"""
+with recursive words as (select doc_id, {_WORDS} as w from documents),
+shingles as (
+  select doc_id, unnest(list_distinct(case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as s
+  from words),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as common
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * common >= 80 * (p.n + q.n - common)),
+edges as (select x, y from links union all select y, x from links),
+reach as (select doc_id as x, doc_id as y from documents union select r.x, e.y from reach r join edges e on r.y = e.x)
+select d.doc_id, coalesce(any_value(sizes.n), 0) as n_shingles, min(reach.y) as component_id
+from documents d left join sizes on sizes.doc_id = d.doc_id left join reach on reach.x = d.doc_id
+group by d.doc_id
+"""
