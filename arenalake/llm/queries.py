@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arenalake.llm import toxicity
+from arenalake.llm.decontaminate import contaminated
 from arenalake.llm.fingerprints import neighbours
 from arenalake.llm.jaccard_join import similar
 from arenalake.llm.language import identify, learned
@@ -183,3 +184,9 @@ select d.doc_id, coalesce(any_value(sizes.n), 0) as n_shingles, min(reach.y) as
 from documents d left join sizes on sizes.doc_id = d.doc_id left join reach on reach.x = d.doc_id
 group by d.doc_id
 """
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, with its numbers, names and units changed or not."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
