@@ -162,4 +162,4 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least_share: float
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All rows and columns of ``documents`` but those with a benchmark item; rows without an id stay."""
     found = contaminated(documents, benchmark).select(F.col("doc_id").alias("found_id")).distinct()
-    return documents.join(found, F.col("doc_id").cast("long") == F.col("found_id"), "left_anti")
+    return documents.join(found, documents["doc_id"].cast("long") == found["found_id"], "left_anti")

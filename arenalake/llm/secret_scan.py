@@ -40,6 +40,7 @@ LEARN_LEAST = 12
 MARGIN = 0.7
 #: Share of each model that is spread evenly over all characters.
 RANDOM_FLOOR, USUAL_FLOOR = 0.25, 0.01
+BACK_OFF = 8.0
 
 _ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(_ALPHABET) + 1  # and the place before the first character
@@ -138,7 +139,9 @@ def train(labelled: DataFrame) -> Model:
 
     def logarithms(table: np.ndarray, floor: float) -> np.ndarray:
         seen = table.sum(1, keepdims=True)
-        share = np.divide(table, seen, out=np.full_like(table, 1 / SIZE), where=seen > 0)
+        alone = table.sum(0) / table.sum() if table.any() else np.full(SIZE, 1 / SIZE)
+        # After a character seldom seen, the next one's own frequency counts for more.
+        share = (table + BACK_OFF * alone) / (seen + BACK_OFF)
         return np.log((1 - floor) * share + floor / SIZE)
 
     return Model(logarithms(random, RANDOM_FLOOR) - logarithms(usual, USUAL_FLOOR))

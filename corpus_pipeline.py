@@ -41,7 +41,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     ship(spark)
     copies = similar(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.join(stored(copies), F.col("doc_id").cast("long") == F.col("copy_id"), "left_anti")
+    copies = stored(copies)
+    return docs.join(copies, docs["doc_id"].cast("long") == copies["copy_id"], "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
