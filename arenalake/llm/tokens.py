@@ -52,7 +52,8 @@ class PieceTokenizer:
             return "" if first.get("add_prefix_space") else "pieces"
         steps = first.get("pretokenizers") or [{}]
         drops = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
-        return "words" if drops and "[^\\s" in str(steps[0].get("pattern")) else ""
+        pattern = (steps[0].get("pattern") or {}).get("Regex", "")
+        return "words" if drops and "[^\\s" in pattern and "\\s" not in pattern.replace("[^\\s", "") else ""
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
