@@ -17,6 +17,7 @@ from arenalake.plans import jobs
 from arenalake.sinks.models import load_model
 from arenalake.sources.messages import kafka_messages
 from arenalake.streaming import ingest
+from arenalake.streaming.rate import start_rate_stream
 
 DAY_JOBS = {
     "silver-analysis": jobs.silver_analysis,
@@ -43,16 +44,45 @@ def parser() -> argparse.ArgumentParser:
     )
     stream.add_argument("--every", default="1 minute", help="time between micro-batches")
     stream.add_argument("--json", action="store_true", help="write JSON files, no tables")
+    stream.add_argument("--salt", help="added to the account before it is hashed")
+    stream.add_argument("--legacy-int", action="store_true", help="truncate fractional numbers")
+    stream.add_argument("--clear", action="store_true", help="keep refused messages as they came")
+    stream.add_argument("--keep-text", action="store_true", help="with --clear, keep their text")
+    stream.add_argument(
+        "--strict-day", action="store_true", help="refuse messages with a malformed room date"
+    )
+
+    rate = job.add_parser("message-rate", help="messages per time window, as a stream")
+    rate.add_argument("servers")
+    rate.add_argument("topic")
+    rate.add_argument("--width", default="1 minute")
+    rate.add_argument("--late", default="10 minutes")
+    rate.add_argument("--every", default="1 minute", help="time between micro-batches")
 
     for name in DAY_JOBS:
         day = job.add_parser(name)
         day.add_argument("first", help="yyyy-mm-dd")
         day.add_argument("last", nargs="?", help="last day of a range")
-        if name == "silver-train":
+        if name in ("silver-analysis", "run-day"):
+            day.add_argument(
+                "--keep", choices=["any", "all"], default="any",
+                help="drop rows without any identity, or rows with any gap",
+            )
+        if name in ("silver-train", "run-day"):
             day.add_argument(
-                "--null", choices=["error", "skip", "keep"], default="error",
+                "--null", choices=["error", "skip", "keep"], dest="handle_null",
+                default="skip" if name == "run-day" else "error",
                 help="what to do with rows that have no champion or key",
             )
+            day.add_argument(
+                "--event-day", action="store_true", help="partition by the day of the event"
+            )
+        if name in ("silver-movement", "run-day"):
+            day.add_argument(
+                "--per-room", action="store_true", help="start anew in each room"
+            )
+        if name == "run-day":
+            day.add_argument("--refit-from", help="first day a monthly refit reads")
 
     refit = job.add_parser("refit")
     refit.add_argument("first", nargs="?")
@@ -70,9 +100,15 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
     if args.job == "ingest":
         start = ingest.start_json_ingest if args.json else ingest.start_table_ingest
         model = load_model(args.model) if args.model else None
-        options = dict(option.split("=", 1) for option in args.option)
-        messages = kafka_messages(spark, args.servers, args.topic, **options)
-        ingest.run_all(start(messages, lake, model, {"processingTime": args.every}))
+        option = dict(option.split("=", 1) for option in args.option)
+        messages = kafka_messages(spark, args.servers, args.topic, **option)
+        names = ("salt", "legacy_int", "clear", "keep_text", "strict_day")
+        options = {name: getattr(args, name) for name in names}
+        ingest.run_all(start(messages, lake, model, {"processingTime": args.every}, **options))
+    elif args.job == "message-rate":
+        messages = kafka_messages(spark, args.servers, args.topic)
+        every = {"processingTime": args.every}
+        ingest.run_all([start_rate_stream(messages, lake, "timestamp", args.width, args.late, every)])
     elif args.job == "refit":
         _, score = jobs.refit(spark, lake, args.first, args.last)
         print(f"silhouette: {score}")
@@ -80,8 +116,13 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
         print(jobs.archive_month(spark, lake, args.day, args.base))
     else:
         lake.create_databases(spark)
-        options = {"handle_null": args.null} if args.job == "silver-train" else {}
-        DAY_JOBS[args.job](spark, lake, args.first, args.last, **options)
+        names = ("keep", "handle_null", "event_day", "per_room", "refit_from")
+        options = {name: getattr(args, name) for name in names if hasattr(args, name)}
+        report = DAY_JOBS[args.job](spark, lake, args.first, args.last, **options)
+        if isinstance(report, jobs.RunReport):
+            print(f"skipped rows: {report.skipped}")
+            if report.silhouette is not None:
+                print(f"silhouette: {report.silhouette}")
 
 
 if __name__ == "__main__":

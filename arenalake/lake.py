@@ -42,7 +42,10 @@ class Lake:
         return f"{self.root}/{TABLES[table]}/{table}"
 
     def checkpoint(self, table: str) -> str:
-        return f"{self.root}/checkpoint/{TABLES[table]}/{table}"
+        return self.checkpoint_of(f"{TABLES[table]}/{table}")
+
+    def checkpoint_of(self, query: str) -> str:
+        return f"{self.root}/checkpoint/{query}"
 
     @property
     def model_path(self) -> str:

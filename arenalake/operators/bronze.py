@@ -32,20 +32,24 @@ def parse_messages(messages: DataFrame, keep_text: bool = False) -> DataFrame:
     return message_text(messages).select(*kept, parsed)
 
 
-def is_valid(legacy_int: bool = False) -> Column:
-    """The acceptance test of a raw row. Never NULL, so ``~is_valid()`` is its complement."""
-    present = [F.col("createRoomDate").isNotNull()]
+def is_valid(legacy_int: bool = False, strict_day: bool = False) -> Column:
+    """The acceptance test of a raw row. Never NULL, so ``~is_valid()`` is its complement.
+
+    ``strict_day`` also refuses a room date that is present but malformed.
+    """
+    day = F.col("createRoomDate")
+    present = [(to_day("createRoomDate") if strict_day else day).isNotNull()]
     present += [to_int(c, legacy_int).isNotNull() for c in ("ingametime", "x", "y")]
     present += [to_int(c, legacy_int) >= 0 for c in ("deathCount", "status")]
     return F.coalesce(reduce(and_, present), F.lit(False))
 
 
-def valid_rows(raw: DataFrame, legacy_int: bool = False) -> DataFrame:
-    return raw.filter(is_valid(legacy_int))
+def valid_rows(raw: DataFrame, legacy_int: bool = False, strict_day: bool = False) -> DataFrame:
+    return raw.filter(is_valid(legacy_int, strict_day))
 
 
-def invalid_rows(raw: DataFrame, legacy_int: bool = False) -> DataFrame:
-    return raw.filter(~is_valid(legacy_int))
+def invalid_rows(raw: DataFrame, legacy_int: bool = False, strict_day: bool = False) -> DataFrame:
+    return raw.filter(~is_valid(legacy_int, strict_day))
 
 
 def typed_rows(valid: DataFrame, legacy_int: bool = False) -> DataFrame:
@@ -72,13 +76,20 @@ def mask_identity(rows: DataFrame, salt: str | None = None) -> DataFrame:
     return rows.withColumn("encrypted_account", pseudonym("account", salt)).drop("account", "ip")
 
 
-def bronze_rows(raw: DataFrame, salt: str | None = None, legacy_int: bool = False) -> DataFrame:
+def bronze_rows(
+    raw: DataFrame, salt: str | None = None, legacy_int: bool = False, strict_day: bool = False
+) -> DataFrame:
     """Raw rows to the bronze table: accept, type, mask."""
-    return mask_identity(typed_rows(valid_rows(raw, legacy_int), legacy_int), salt)
+    valid = valid_rows(raw, legacy_int, strict_day)
+    return mask_identity(typed_rows(valid, legacy_int), salt)
 
 
 def quarantine_rows(
-    raw: DataFrame, clear: bool = False, salt: str | None = None, legacy_int: bool = False
+    raw: DataFrame,
+    clear: bool = False,
+    salt: str | None = None,
+    legacy_int: bool = False,
+    strict_day: bool = False,
 ) -> DataFrame:
     """Refused rows with the day they belong to.
 
@@ -86,7 +97,7 @@ def quarantine_rows(
     the 13 fields as they came. A kept message text holds both in clear, so it
     stays only with ``clear``.
     """
-    refused = invalid_rows(raw, legacy_int).withColumn(DAY, to_day("createRoomDate"))
+    refused = invalid_rows(raw, legacy_int, strict_day).withColumn(DAY, to_day("createRoomDate"))
     if clear:
         return refused
     return mask_identity(refused, salt).drop(MESSAGE_TEXT)
@@ -97,9 +108,11 @@ def split_rows(
     salt: str | None = None,
     clear: bool = False,
     legacy_int: bool = False,
+    strict_day: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(bronze, quarantine) branches of the same raw rows."""
-    return bronze_rows(raw, salt, legacy_int), quarantine_rows(raw, clear, salt, legacy_int)
+    bronze = bronze_rows(raw, salt, legacy_int, strict_day)
+    return bronze, quarantine_rows(raw, clear, salt, legacy_int, strict_day)
 
 
 def raw_fields(raw: DataFrame) -> DataFrame:

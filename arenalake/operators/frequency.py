@@ -9,45 +9,35 @@ from pyspark.sql import functions as F
 from arenalake.operators.slices import HOT_GROUP_ROWS, SLICE_ROWS, positions
 from arenalake.sinks.scratch import stored
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_OVERHEAD_BYTES = 64
-
-
 def value_ranks(
     rows: DataFrame,
     columns: list[str],
     by: list[str],
     hot_rows: int = HOT_GROUP_ROWS,
     slice_rows: int = SLICE_ROWS,
-) -> tuple[DataFrame, int]:
-    """(by..., field, value, rank) of every non-NULL value, and its size in bytes.
+    scratch: str | None = None,
+) -> DataFrame:
+    """(by..., field, value, rank) of every non-NULL value.
 
     Rank 0 is the most frequent value; ties go in alphabetical order. One scan
     counts the combinations of all columns, and their counts are added up per
-    column. The result is stored, since its size decides how the values are
-    ranked and joined.
+    column. The counts are stored below ``scratch``, since their number decides
+    how the values are ranked: calling this runs a job.
     """
     combinations = rows.groupBy(*by, *columns).agg(F.count("*").alias("n"))
     counts = stored(
         combinations.unpivot([*by, "n"], columns, "field", "value")
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "field", "value")
-        .agg(F.sum("n").alias("n"))
-    )
-    size = (
-        counts.groupBy(*by, "field")
-        .agg(
-            F.count("*").alias("values"),
-            F.sum(F.octet_length("value") + ROW_OVERHEAD_BYTES).alias("bytes"),
-        )
-        .agg(F.max("values"), F.sum("values"), F.sum("bytes"))
-        .first()
+        .agg(F.sum("n").alias("n")),
+        scratch,
     )
-    largest, total, n_bytes = (v or 0 for v in size)
+    sizes = counts.groupBy(*by, "field").agg(F.count("*").alias("values"))
+    largest, total = (v or 0 for v in sizes.agg(F.max("values"), F.sum("values")).first())
     order = [F.col("n").desc(), F.col("value")]
     group = [*by, "field"]
-    ranked = positions(counts, group, order, largest, total, "rank", hot_rows, slice_rows)
-    return ranked.drop("n"), n_bytes
+    ranked = positions(counts, group, order, largest, total, "rank", hot_rows, slice_rows, scratch)
+    return ranked.drop("n")
 
 
 def frequency_index(
@@ -55,27 +45,24 @@ def frequency_index(
     outputs: dict[str, str],
     by: list[str] | None = None,
     handle_null: str = "error",
-    broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_GROUP_ROWS,
     slice_rows: int = SLICE_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add ``outputs[column]``, the frequency rank of the column's value, as double.
 
     ``by`` ranks within those columns. NULL values: ``error`` fails the job,
-    ``skip`` drops the row, ``keep`` gives NULL. The ranks are broadcast up to
-    ``broadcast_bytes``; beyond that the join shuffles and adaptive execution
-    splits its skewed keys.
+    ``skip`` drops the row, ``keep`` gives NULL. Runs a job when called, see
+    ``value_ranks``. Spark broadcasts the ranks or shuffles by their measured size.
     """
     by = by or []
-    ranks, n_bytes = value_ranks(rows, list(outputs), by, hot_rows, slice_rows)
+    ranks = value_ranks(rows, list(outputs), by, hot_rows, slice_rows, scratch)
     for column, output in outputs.items():
         side = ranks.filter(F.col("field") == column).select(
             *[F.col(c).alias(f"_{c}_of_rank") for c in by],
             F.col("value").alias("_value"),
             F.col("rank").cast("double").alias(output),
         )
-        if n_bytes <= broadcast_bytes:
-            side = F.broadcast(side)
         match = [F.col(column) == F.col("_value")]
         match += [F.col(c).eqNullSafe(F.col(f"_{c}_of_rank")) for c in by]
         rows = rows.join(side, reduce(and_, match), "inner" if handle_null == "skip" else "left")

@@ -1,10 +1,7 @@
 """Daily aggregates of the analysis table.
 
-Every measure is a sum, count or maximum, so it can be computed from events or
-from an earlier summary with finer keys. One gold table alone is summarised
-from events directly. A day's run summarises the events once by room, player
-and champion and derives all tables from that, which reads silver once and
-shuffles the events once.
+Every table is one aggregate of the events: added up before the shuffle, with one
+exchange, reading only its own columns.
 """
 
 from dataclasses import dataclass
@@ -17,71 +14,35 @@ from arenalake.schema import DAY
 
 USED_KEY = "alt"  # fixed value
 
-PLAYER_KEYS = ("room_id", "encrypted_account", "champion", DAY)
-
-
-@dataclass(frozen=True)
-class Measure:
-    of_events: Column
-    of_summaries: Column
-
-
-def _measures() -> dict[str, Measure]:
-    def total(name, events):
-        return Measure(events, F.sum(name))
-
-    def largest(name, column):
-        return Measure(F.max(column), F.max(name))
 
+def _measures() -> dict[str, Column]:
     return {
-        "deaths_sum": total("deaths_sum", F.sum(F.col("death_count").cast("bigint"))),
-        "deaths_rows": total("deaths_rows", F.count("death_count")),
-        "deaths_max": largest("deaths_max", "death_count"),
-        "time_sum": total("time_sum", F.sum(F.col("current_time").cast("bigint"))),
-        "time_rows": total("time_rows", F.count("current_time")),
-        "time_max": largest("time_max", "current_time"),
-        "used": total("used", F.count(F.when(F.col("inputkey") == USED_KEY, True))),
-        "total": total("total", F.count("*")),
+        "deaths_mean": F.avg("death_count"),
+        "deaths_max": F.max("death_count"),
+        "time_mean": F.avg("current_time"),
+        "time_max": F.max("current_time"),
+        "used": F.count(F.when(F.col("inputkey") == USED_KEY, True)),
+        "total": F.count("*"),
+        "stddev_x": F.stddev("x"),
+        "stddev_y": F.stddev("y"),
     }
 
 
-def summarise(silver: DataFrame, keys, spread: bool = False) -> DataFrame:
-    """All measures per key, from events. Measures a caller drops are not computed.
-
-    ``spread`` adds the standard deviations of x and y, which are not derived
-    from summaries again.
-    """
-    measures = [m.of_events.alias(name) for name, m in _measures().items()]
-    if spread:
-        measures += [F.stddev("x").alias("stddev_x"), F.stddev("y").alias("stddev_y")]
-    return silver.groupBy(*keys).agg(*measures)
-
-
-def merge_summaries(summaries: DataFrame, keys) -> DataFrame:
-    """All measures per coarser key, from summaries."""
-    measures = [m.of_summaries.alias(name) for name, m in _measures().items()]
-    return summaries.groupBy(*keys).agg(*measures)
+def summarise(silver: DataFrame, keys) -> DataFrame:
+    """All measures per key. Measures a caller drops are not computed."""
+    return silver.groupBy(*keys).agg(*[m.alias(name) for name, m in _measures().items()])
 
 
 @dataclass(frozen=True)
 class GoldTable:
+    """``order`` is that of the rows inside every written file."""
+
     keys: tuple[str, ...]
     columns: tuple[Column | str, ...]
     order: tuple[str, ...] = ()
-    spread: bool = False
 
     def from_events(self, silver: DataFrame) -> DataFrame:
-        return self._finish(summarise(silver, self.keys, self.spread))
-
-    def from_summaries(self, summaries: DataFrame) -> DataFrame:
-        """``summaries`` has PLAYER_KEYS and was made with ``spread=True``."""
-        if self.keys == PLAYER_KEYS:
-            return self._finish(summaries)
-        return self._finish(merge_summaries(summaries, self.keys))
-
-    def _finish(self, summary: DataFrame) -> DataFrame:
-        result = summary.select(*self.keys, *self.columns)
-        return result.orderBy(*self.order) if self.order else result
+        return summarise(silver, self.keys).select(*self.keys, *self.columns)
 
 
 def gold_tables() -> dict[str, GoldTable]:
@@ -90,8 +51,8 @@ def gold_tables() -> dict[str, GoldTable]:
         "average_death_and_time": GoldTable(
             ("encrypted_account", "champion", DAY),
             (
-                F.try_divide("deaths_sum", "deaths_rows").alias("average_deaths"),
-                F.try_divide("time_sum", "time_rows").alias("average_game_time"),
+                F.col("deaths_mean").alias("average_deaths"),
+                F.col("time_mean").alias("average_game_time"),
             ),
         ),
         "champion_death_count": GoldTable(
@@ -107,14 +68,11 @@ def gold_tables() -> dict[str, GoldTable]:
             ("room_id", DAY),
             (F.col("time_max").alias("end_time"),),
         ),
-        "room_champion_xy": GoldTable(PLAYER_KEYS, ("stddev_x", "stddev_y"), spread=True),
+        "room_champion_xy": GoldTable(
+            ("room_id", "encrypted_account", "champion", DAY), ("stddev_x", "stddev_y")
+        ),
     }
 
 
 def gold_from_events(silver: DataFrame, name: str) -> DataFrame:
     return gold_tables()[name].from_events(silver)
-
-
-def player_summaries(silver: DataFrame) -> DataFrame:
-    """The one summary all gold tables can be derived from."""
-    return summarise(silver, PLAYER_KEYS, spread=True)

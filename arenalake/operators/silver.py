@@ -49,7 +49,12 @@ def files_by_room_time(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", DAY).sortWithinPartitions(*ROOM_TIME)
 
 
-def labelled_rows(bronze: DataFrame, by_day: bool = True, handle_null: str = "error") -> DataFrame:
+def labelled_rows(
+    bronze: DataFrame,
+    by_day: bool = True,
+    handle_null: str = "error",
+    scratch: str | None = None,
+) -> DataFrame:
     """Champion and key indexes and the label.
 
     ``by_day`` ranks within each day, which makes one run over many days equal
@@ -60,6 +65,7 @@ def labelled_rows(bronze: DataFrame, by_day: bool = True, handle_null: str = "er
         {"champion": "cahmpion_indexed", "inputkey": "inputkey_indexed"},
         by=[DAY] if by_day else [],
         handle_null=handle_null,
+        scratch=scratch,
     )
     return indexed.withColumn("label", champion_label())
 
@@ -70,6 +76,7 @@ def train_indexed_rows(
     by_day: bool = True,
     handle_null: str = "error",
     champion_alias: bool = False,
+    scratch: str | None = None,
 ) -> DataFrame:
     """The indexed training table.
 
@@ -78,7 +85,7 @@ def train_indexed_rows(
     the room and the event's day is added as ``event_date``.
     ``champion_alias`` adds the index under its correctly spelled name.
     """
-    rows = labelled_rows(bronze, by_day, handle_null)
+    rows = labelled_rows(bronze, by_day, handle_null, scratch)
     extra = []
     if event_day:
         rows = rows.withColumn(DAY, F.col("datetime").cast("date"))
@@ -94,6 +101,7 @@ def with_previous_position(
     per_room: bool = False,
     hot_rows: int = HOT_GROUP_ROWS,
     slice_rows: int = SLICE_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """prev_x, prev_y: the account's position at its previous event of the day.
 
@@ -103,7 +111,7 @@ def with_previous_position(
     order = [c for c in EVENT_ORDER if c not in group]
     previous = {"prev_x": "x", "prev_y": "y"}
     rows = bronze.drop(*MODEL_COLUMNS)
-    return previous_values(rows, group, order, previous, hot_rows, slice_rows)
+    return previous_values(rows, group, order, previous, hot_rows, slice_rows, scratch)
 
 
 def fill_movement(rows: DataFrame) -> DataFrame:
@@ -115,7 +123,8 @@ def movement_rows(
     per_room: bool = False,
     hot_rows: int = HOT_GROUP_ROWS,
     slice_rows: int = SLICE_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """The movement training table; model columns of a scored bronze table are left out."""
-    rows = with_previous_position(bronze, per_room, hot_rows, slice_rows)
+    rows = with_previous_position(bronze, per_room, hot_rows, slice_rows, scratch)
     return fill_movement(rows.withColumn("distance", step_distance()))

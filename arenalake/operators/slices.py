@@ -20,23 +20,16 @@ from pyspark.sql import functions as F
 
 from arenalake.sinks.scratch import stored
 
+#: A group above this many rows is sliced: the largest sort one task is to do.
 HOT_GROUP_ROWS = 2_000_000
 SLICE_ROWS = 1_000_000
-COPIES_PER_TASK = 1_000_000
-BROADCAST_ROWS = 400_000  # of keys and positions, some 150 bytes each
-UNEVEN = 4  # a slice this many times its intended size holds a pile of equal rows
+#: Parts rows that are equal in every column; which of them comes first does not matter.
+TIE = "_tie"
 
 
-def join_keys(
-    rows: DataFrame, small: DataFrame, keys: list[str], how: str, at_most: int
-) -> DataFrame:
-    """Null-safe join on ``keys`` with ``small``, which has ``at_most`` so many rows.
-
-    Broadcast while that bound is small.
-    """
+def join_keys(rows: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Null-safe join on ``keys``. ``small`` comes from stored files, whose size Spark knows."""
     renamed = small.withColumnsRenamed({c: f"_{c}_of_small" for c in keys})
-    if at_most <= BROADCAST_ROWS:
-        renamed = F.broadcast(renamed)
     match = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}_of_small")) for c in keys])
     joined = rows.join(renamed, match, how)
     return joined.drop(*[f"_{c}_of_small" for c in keys])
@@ -49,12 +42,14 @@ def previous_values(
     values: dict[str, str],
     hot_rows: int = HOT_GROUP_ROWS,
     slice_rows: int = SLICE_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add ``new = lag(old)`` for every ``{new: old}``, per group in the given order.
 
     Every remaining column extends the order, so the result does not depend on
     how rows happen to be laid out. Groups above ``hot_rows`` rows go through
-    slices.
+    slices. Runs a job when called: it counts the groups, and stores the slices
+    below ``scratch``.
     """
     order = order + [c for c in rows.columns if c not in group and c not in order]
     sizes = rows.groupBy(*group).agg(F.count("*").alias("_rows"))
@@ -62,10 +57,10 @@ def previous_values(
     n_hot, hot_total = hot_sizes.agg(F.count("*"), F.sum("_rows")).first()
     if not n_hot:
         return _lag(rows, group, order, values)
-    hot_keys = stored(hot_sizes)
-    cold = join_keys(rows, hot_keys, group, "left_anti", n_hot)
-    hot = join_keys(rows, hot_keys, group, "left_semi", n_hot)
-    sliced = _lag_in_slices(hot, group, order, values, n_hot, hot_total, slice_rows)
+    hot_keys = stored(hot_sizes, scratch)
+    cold = join_keys(rows, hot_keys, group, "left_anti")
+    hot = join_keys(rows, hot_keys, group, "left_semi")
+    sliced = _lag_in_slices(hot, group, order, values, hot_total, slice_rows, scratch)
     return _lag(cold, group, order, values).unionByName(sliced)
 
 
@@ -74,17 +69,9 @@ def _lag(rows, group, order, values):
     return rows.withColumns({new: F.lag(old).over(window) for new, old in values.items()})
 
 
-def _lag_in_slices(rows, group, order, values, n_groups, total, slice_rows):
-    n_slices = -(-total // slice_rows)
-    sliced = _slices(rows.withColumn("_copies", F.lit(1)), group, order, n_slices)
-    largest = sliced.groupBy("_slice").count().agg(F.max("count")).first()[0]
-    piled = largest > UNEVEN * slice_rows
-    if piled:
-        # Only rows equal in every column cannot be parted by the order: keep
-        # one row with its number of copies and expand it at the end.
-        distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-        sliced = _slices(distinct, group, order, n_slices)
-
+def _lag_in_slices(rows, group, order, values, total, slice_rows, scratch):
+    tied = rows.withColumn(TIE, F.monotonically_increasing_id())
+    sliced = _slices(tied, group, [*order, TIE], -(-total // slice_rows), scratch)
     slices = [*group, "_slice"]
     lagged = _lag(sliced, slices, ["_position"], values | {"_before": "_position"})
     ends = sliced.groupBy(*slices).agg(F.max("_position").alias("_position"))
@@ -93,13 +80,11 @@ def _lag_in_slices(rows, group, order, values, n_groups, total, slice_rows):
         ends.select("_position"),
         ["_position"],
         "left_semi",
-        n_groups + n_slices,
     )
     carry = _carried(tails.select(*slices, "_carry"), group)
-    joined = join_keys(lagged, carry, slices, "left", n_slices)
-    filled = joined.select(
+    joined = join_keys(lagged, carry, slices, "left")
+    return joined.select(
         *rows.columns,
-        "_copies",
         *[
             F.when(F.col("_before").isNull(), F.col("_carry")[name])
             .otherwise(F.col(new))
@@ -107,19 +92,17 @@ def _lag_in_slices(rows, group, order, values, n_groups, total, slice_rows):
             for new, name in values.items()
         ],
     )
-    if not piled:
-        return filled.drop("_copies")
-    return _expand_copies(filled, sliced, rows.columns, values)
 
 
-def _slices(rows, group, order, n_slices):
+def _slices(rows, group, order, n_slices, scratch):
     """Store the rows with ``_slice`` and ``_position``, which ascends in the order."""
     keys = [*group, *order]
     ranged = rows.repartitionByRange(int(n_slices), *keys).sortWithinPartitions(*keys)
     return stored(
         ranged.withColumns(
             {"_slice": F.spark_partition_id(), "_position": F.monotonically_increasing_id()}
-        )
+        ),
+        scratch,
     )
 
 
@@ -136,25 +119,6 @@ def _carried(per_slice, group):
     )
 
 
-def _expand_copies(rows, sliced, columns, values):
-    """Repeat each row ``_copies`` times; every copy but the first follows its twin."""
-    most = sliced.agg(F.max("_copies")).first()[0]
-    blocks = F.floor((F.col("_copies") - 1) / F.lit(COPIES_PER_TASK)).cast("bigint")
-    rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
-    if most > COPIES_PER_TASK:
-        rows = rows.repartition(int(-(-most // COPIES_PER_TASK)))
-    first = F.col("_block") * COPIES_PER_TASK + 1
-    last = F.least(F.col("_copies"), first + (COPIES_PER_TASK - 1))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(first, last)))
-    return rows.select(
-        *columns,
-        *[
-            F.when(F.col("_copy") == 1, F.col(new)).otherwise(F.col(old)).alias(new)
-            for new, old in values.items()
-        ],
-    )
-
-
 def positions(
     rows: DataFrame,
     group: list[str],
@@ -164,17 +128,18 @@ def positions(
     alias: str,
     hot_rows: int = HOT_GROUP_ROWS,
     slice_rows: int = SLICE_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in its group.
 
     ``largest`` and ``total`` are the row counts of the largest group and of all
-    groups; the caller has them from sizing its broadcast.
+    groups. The order must tell the rows of a group apart.
     """
     if largest <= hot_rows:
         window = Window.partitionBy(*group).orderBy(*order)
         return rows.withColumn(alias, F.row_number().over(window) - 1)
     n_slices = -(-total // slice_rows)
-    sliced = _slices(rows, group, order, n_slices)
+    sliced = _slices(rows, group, order, n_slices, scratch)
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
@@ -184,7 +149,7 @@ def positions(
     )
     window = Window.partitionBy(*group, "_slice").orderBy("_position")
     local = sliced.withColumn(alias, F.row_number().over(window) - 1)
-    joined = join_keys(local, carry.drop("_size"), group + ["_slice"], "left", n_slices)
+    joined = join_keys(local, carry.drop("_size"), group + ["_slice"], "left")
     return joined.select(
         *rows.columns,
         (F.col(alias) + F.coalesce("_carry", F.lit(0))).alias(alias),

@@ -6,30 +6,35 @@ that gives the tables a run per day would give.
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from dataclasses import dataclass
+from datetime import date, timedelta
 from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arenalake.lake import Lake
 from arenalake.operators.cluster import fit_clusters, silhouette
-from arenalake.operators.gold import PLAYER_KEYS, gold_tables, player_summaries
+from arenalake.operators.gold import gold_tables
 from arenalake.operators.silver import (
     analysis_rows,
     files_by_room_time,
     movement_rows,
     train_indexed_rows,
 )
-from arenalake.schema import SCORED_SCHEMA
+from arenalake.schema import DAY, SCORED_SCHEMA
 from arenalake.sinks.models import save_model
+from arenalake.sinks.scratch import scratch_of_job
 from arenalake.sinks.tables import append_days, month_to_parquet, replace_days
-from arenalake.sources.archive import json_month, month_text
+from arenalake.sources.archive import json_month, month_text, table_month
 from arenalake.sources.tables import as_date, table_days
 from arenalake.streaming.ingest import branches
 
 Day = date | str
+#: Days of the movement table a monthly refit reads, unless told otherwise.
+REFIT_DAYS = 365
 
 
 def bronze_batch(
@@ -49,7 +54,8 @@ def silver_analysis(
     spark: SparkSession, lake: Lake, first: Day, last: Day | None = None, keep: str = "any"
 ) -> None:
     bronze = table_days(spark, lake.name("playerlogs"), first, last)
-    _replace(lake, "analysis_playerlogs", files_by_room_time(analysis_rows(bronze, keep)))
+    rows = files_by_room_time(analysis_rows(bronze, keep))
+    _replace(lake, "analysis_playerlogs", rows, first, last)
 
 
 def silver_train_indexed(
@@ -58,9 +64,10 @@ def silver_train_indexed(
     first: Day,
     last: Day | None = None,
     event_day: bool = False,
+    handle_null: str = "error",
     **options,
-) -> None:
-    """The indexed training table.
+) -> int:
+    """The indexed training table; returns how many rows without champion or key were skipped.
 
     Partitioned by the day of the room, with the event's day in ``event_date``.
     ``event_day=True`` partitions by the event's day instead. Then a game over
@@ -68,42 +75,38 @@ def silver_train_indexed(
     run for another day replaces, and they are lost.
     """
     bronze = table_days(spark, lake.name("playerlogs"), first, last)
-    rows = train_indexed_rows(bronze, event_day=event_day, **options)
-    _replace(lake, "train_playerlogs", rows, rebalance=True)
+    with scratch_of_job(spark, lake.root) as scratch:
+        rows = train_indexed_rows(
+            bronze, event_day=event_day, handle_null=handle_null, scratch=scratch, **options
+        )
+        days = (None, None) if event_day else (first, last)
+        _replace(lake, "train_playerlogs", rows.hint("rebalance", DAY), *days)
+    if handle_null != "skip":
+        return 0
+    blank = F.col("champion").isNull() | F.col("inputkey").isNull()
+    return bronze.filter(blank).count()
 
 
 def silver_train_movement(
     spark: SparkSession, lake: Lake, first: Day, last: Day | None = None, **options
 ) -> None:
     bronze = table_days(spark, lake.name("playerlogs"), first, last)
-    _replace(
-        lake, "delta_playerlogs", movement_rows(bronze, **options), rebalance=_many(first, last)
-    )
+    with scratch_of_job(spark, lake.root) as scratch:
+        rows = movement_rows(bronze, scratch=scratch, **options)
+        _replace(lake, "delta_playerlogs", rows.hint("rebalance", DAY), first, last)
 
 
 def gold_days(spark: SparkSession, lake: Lake, first: Day, last: Day | None = None) -> None:
-    """All gold tables from one pass over the analysis table.
-
-    What is kept between the writes is the summary per room, player and
-    champion, not the events. The table with those keys is written first, which
-    fills the cache; the others then run side by side.
-    """
+    """All gold tables, side by side. Each reads only its own columns of the analysis table."""
     silver = table_days(spark, lake.name("analysis_playerlogs"), first, last)
-    summaries = player_summaries(silver).persist()
-    tables = gold_tables()
 
-    def write(name):
-        table = tables[name]
-        rebalance = _many(first, last) and not table.order
-        _replace(lake, name, table.from_summaries(summaries), rebalance)
+    def write(name, table):
+        rows = table.from_events(silver).hint("rebalance", DAY)
+        if table.order:
+            rows = rows.sortWithinPartitions(*table.order)
+        _replace(lake, name, rows, first, last)
 
-    try:
-        finest = [name for name, table in tables.items() if table.keys == PLAYER_KEYS]
-        for name in finest:
-            write(name)
-        _together([partial(write, name) for name in tables if name not in finest])
-    finally:
-        summaries.unpersist()
+    _together([partial(write, name, table) for name, table in gold_tables().items()])
 
 
 def refit(
@@ -125,52 +128,82 @@ def archive_month(
     base: str | None = None,
     schema: StructType = SCORED_SCHEMA,
 ) -> str:
-    """The day's month of JSON bronze files to one Parquet folder; returns its path."""
+    """The day's month of bronze rows to one Parquet folder; returns its path.
+
+    Reads the bronze table, whatever its format. ``base`` is a folder of JSON day
+    folders to read instead, with ``schema``; other files there are an error. An
+    archive that exists is replaced only by one with all rows of the source.
+    """
     target = f"{lake.archive_path}/{month_text(day)}"
-    rows = json_month(spark, base or lake.path("playerlogs"), day, schema)
+    if base is None:
+        rows = table_month(spark, lake.name("playerlogs"), day)
+    else:
+        rows = json_month(spark, base, day, schema)
     month_to_parquet(rows, target)
     return target
 
 
+@dataclass(frozen=True)
+class RunReport:
+    """What a run of the daily jobs has to tell besides its tables."""
+
+    skipped: int  # rows without champion or key, left out of the indexed table
+    model: PipelineModel | None = None  # of a refit
+    silhouette: float | None = None
+
+
 def run_days(
-    spark: SparkSession, lake: Lake, first: Day, last: Day | None = None
-) -> tuple[PipelineModel, float] | None:
+    spark: SparkSession,
+    lake: Lake,
+    first: Day,
+    last: Day | None = None,
+    keep: str = "any",
+    handle_null: str = "skip",
+    event_day: bool = False,
+    per_room: bool = False,
+    refit_from: Day | None = None,
+) -> RunReport:
     """Analysis then gold tables, beside them the training tables, then maybe a refit.
 
-    The refit runs if a month begins in the range, and reads the whole movement
-    table.
+    ``keep``, ``handle_null``, ``event_day`` and ``per_room`` are those of the single
+    jobs; rows without champion or key are skipped and counted. The refit runs if a
+    month begins in the range, and reads the movement table from ``refit_from`` to the
+    last day; without it, from one year before.
     """
     lake.create_databases(spark)
 
     def analysis_then_gold():
-        silver_analysis(spark, lake, first, last)
+        silver_analysis(spark, lake, first, last, keep)
         gold_days(spark, lake, first, last)
 
-    _together(
+    results = _together(
         [
             analysis_then_gold,
-            partial(silver_train_indexed, spark, lake, first, last),
-            partial(silver_train_movement, spark, lake, first, last),
+            partial(
+                silver_train_indexed, spark, lake, first, last, event_day, handle_null=handle_null
+            ),
+            partial(silver_train_movement, spark, lake, first, last, per_room=per_room),
         ]
     )
-    if _month_begins(first, last):
-        return refit(spark, lake)
-    return None
+    if not _month_begins(first, last):
+        return RunReport(results[1])
+    until = as_date(last or first)
+    model, score = refit(spark, lake, refit_from or until - timedelta(REFIT_DAYS), until)
+    return RunReport(results[1], model, score)
 
 
-def _together(actions: list[Callable[[], None]]) -> None:
-    """Run independent writes at the same time; raise the first failure."""
+def _together(actions: list[Callable]) -> list:
+    """Run independent writes at the same time; raise the first failure, return all results."""
     with ThreadPoolExecutor(len(actions)) as pool:
-        for future in [pool.submit(action) for action in actions]:
-            future.result()
-
+        return [future.result() for future in [pool.submit(action) for action in actions]]
 
-def _replace(lake: Lake, table: str, rows: DataFrame, rebalance: bool = False) -> None:
-    replace_days(rows, lake.name(table), lake.path(table), lake.fmt, rebalance)
 
-
-def _many(first: Day, last: Day | None) -> bool:
-    return last is not None and as_date(first) != as_date(last)
+def _replace(
+    lake: Lake, table: str, rows: DataFrame, first: Day | None, last: Day | None = None
+) -> None:
+    """Replace the days of the run: those without rows are emptied."""
+    days = None if first is None else (first, last or first)
+    replace_days(rows, lake.name(table), lake.path(table), lake.fmt, days=days)
 
 
 def _month_begins(first: Day, last: Day | None) -> bool:

@@ -1,6 +1,5 @@
 """The registered queries as SQL over the same tables, for an independent check."""
 
-from arenalake.registry.queries import ONE_DAY
 from arenalake.sources.playerlogs import CHAMPIONS, KEYS
 
 
@@ -8,6 +7,10 @@ def _text_list(values):
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
+FIRST_DAY = "(select cast(min(ts) as date) from events)"
+ONE_DAY = f"({FIRST_DAY} + 4)"
+IN_MONTH = f"strftime(create_room_date, '%Y-%m') = strftime({ONE_DAY}, '%Y-%m')"
+
 BASE = """base as (
   select *, strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' as iso,
          case when user_id % 17 = 1 and (event_id * 7 + user_id) % 10 < 3
@@ -147,23 +150,83 @@ INDEXED = f"""with {BRONZE} select b.champion, c.rank as champion_indexed,
     join {_ranks("inputkey")} k on b.inputkey = k.inputkey"""
 PREVIOUS = f"with {MOVED} select * from moved"
 ARCHIVED = f"""with {BRONZE} select * from bronze
-  where strftime(create_room_date, '%Y-%m') = '2024-01'"""
+  where {IN_MONTH}"""
 
 
-def _counts(named_sources):
-    return " union all ".join(
-        f"""select '{name}' as table_name, create_room_date, count(*) as "rows"
-            from {source} group by create_room_date"""
-        for name, source in named_sources.items()
-    )
+SEPARATED = """separated as (
+  select event_id, cast(event_id % 5 + (event_id % 2) * 1000 as integer) as x,
+         cast(event_id % 7 - (event_id % 2) * 500 as integer) as y,
+         cast(event_id % 2 as integer) as cluster
+  from events
+)"""
+
+# Mean over all points of (b - a) / max(a, b), from the sums of each group: the mean square
+# distance of a point p to the n points of a group is |p|^2 + (sum of squares - 2 p * sum) / n.
+SILHOUETTE = f"""{SEPARATED}, sums as (
+  select cluster, cast(count(*) as double) as n, sum(cast(x as double)) as sx,
+         sum(cast(y as double)) as sy, sum(cast(x as double) * x + cast(y as double) * y) as sq
+  from separated group by cluster
+), distances as (
+  select p.x * p.x + p.y * p.y + (own.sq - 2 * (p.x * own.sx + p.y * own.sy)) / own.n as a, own.n,
+         p.x * p.x + p.y * p.y + (o.sq - 2 * (p.x * o.sx + p.y * o.sy)) / o.n as b
+  from separated p join sums own on own.cluster = p.cluster join sums o on o.cluster <> p.cluster
+), scores as (
+  select a * n / (n - 1) as a, b from distances
+), score as (
+  select round(avg((b - a) / greatest(a, b)), 6) as silhouette from scores
+)"""
+
+
+def _sums(table, source, numbers, others, where="true"):
+    """Rows, sums and filled places of a table, in long form."""
+    values = ["('rows', cast(count(*) as double))"]
+    values += [f"""('{c}', coalesce(cast(sum("{c}") as double), 0))""" for c in numbers]
+    values += [f"""('{c}', cast(count("{c}") as double))""" for c in others]
+    grouped = f"""select create_room_date, unnest([{", ".join(values)}]) as v from {source}
+        where {where} group by create_room_date"""
+    return f"""select '{table}' as table_name, create_room_date, v[1] as measure,
+        round(v[2], 2) as value from ({grouped})"""
+
+
+BRONZE_NUMBERS = ["current_time", "death_count", "x", "y", "status"]
+BRONZE_OTHERS = ["method", "room_id", "datetime", "inputkey", "champion", "encrypted_account"]
+RAW_OTHERS = [
+    "createRoomDate", "method", "ingametime", "deathCount", "roomID", "datetime", "x", "y",
+    "inputkey", "champion", "status", "encrypted_account",
+]
+# Table, its source below, numbers and other columns.
+DAILY = [
+    ("analysis_playerlogs", "silver", [*BRONZE_NUMBERS, "x+y", "buy"], BRONZE_OTHERS),
+    (
+        "train_playerlogs", "trained", ["cahmpion_indexed", "inputkey_indexed", "x", "y", "label"],
+        ["datetime", "encrypted_account", "event_date"],
+    ),
+    ("delta_playerlogs", "filled", [*BRONZE_NUMBERS, "prev_x", "prev_y", "distance"], BRONZE_OTHERS),
+    (
+        "average_death_and_time", "average_death_and_time", ["average_deaths", "average_game_time"],
+        ["encrypted_account", "champion"],
+    ),
+    ("champion_death_count", "champion_death_count", ["death_count"], ["room_id", "champion"]),
+    ("key_used_per", "key_used_per", ["used", "total", "total_q"], ["champion"]),
+    ("room_end_time", "room_end_time", ["end_time"], ["room_id"]),
+    (
+        "room_champion_xy", "room_champion_xy", ["stddev_x", "stddev_y"],
+        ["room_id", "encrypted_account", "champion"],
+    ),
+]
+
+
+def _daily(run, where):
+    parts = [f"select *, '{run}' as run from ({_sums(*table, where)})" for table in DAILY]
+    return " union all ".join(parts)
 
 
 ORACLES = {
     "src_kafka_stream": RAW_ROWS,
     "src_json_month_glob": ARCHIVED,
-    "src_table_day": f"{BRONZE_ROWS} where create_room_date = date '{ONE_DAY}'",
+    "src_table_day": f"{BRONZE_ROWS} where create_room_date = {ONE_DAY}",
     "src_table_day_sql": f"""with {SILVER} select * from silver
-        where create_room_date = date '{ONE_DAY}'""",
+        where create_room_date = {ONE_DAY}""",
     "src_table_full": f"with {MOVED} select {FILLED} from moved",
     "src_model_load": AGREEMENT,
     "sink_stream_parquet_table": BRONZE_ROWS,
@@ -171,17 +234,15 @@ ORACLES = {
     "sink_stream_json_path": BRONZE_ROWS,
     "sink_stream_quarantine_json": INVALID_ROWS,
     "sink_dynamic_partition_overwrite": f"""with {BRONZE} select * replace (
-        cast(case when create_room_date = date '{ONE_DAY}' then x + 1000 else x end
-             as integer) as x)
+        cast(case when create_room_date = {ONE_DAY} then x + 1000
+                  when create_room_date = {FIRST_DAY} then x + 2000 else x end as integer) as x)
         from bronze""",
     "sink_full_overwrite": f"{BRONZE_ROWS} where champion = 'VIKTOR'",
-    "sink_month_archive": f"""with {BRONZE} select create_room_date, count(*) as "rows",
-        cast(sum(x) as bigint) as sum_x, cast(sum(y) as bigint) as sum_y
-        from bronze where strftime(create_room_date, '%Y-%m') = '2024-01'
-        group by create_room_date""",
+    "sink_month_archive": ARCHIVED,
+    "sink_month_archive_json": ARCHIVED,
     "sink_model_save": AGREEMENT,
     "parse_value_string": f'with {RAW} select "datetime", x, ip from raw',
-    "parse_json_fixed": f'with {RAW} select "roomID", x, account, "deathCount" from raw',
+    "parse_json_fixed": RAW_ROWS,
     "expand_struct": RAW_ROWS,
     "typed_rename": f"with {RAW} select {TYPED}, account, ip from raw where {OK}",
     "cast_int": f"""with {RAW} select "datetime", ip,
@@ -205,8 +266,8 @@ ORACLES = {
     "parse_date_fmt": f"""with {RAW} select x,
         try_cast(substring("createRoomDate", 1, 10) as date) as from_text,
         try_cast("createRoomDate" as date) as from_date from raw""",
-    "subset_columns": f"""with {BRONZE} select encrypted_account, x, y, create_room_date
-        from bronze""",
+    "subset_columns": f"""with {TRAIN} select cahmpion_indexed, "datetime", encrypted_account,
+        inputkey_indexed, x, y, label, create_room_date from train""",
     "fill_nulls": f"""with {MOVED}, filled as (select {FILLED} from moved)
         select encrypted_account, create_room_date, prev_x, prev_y, distance from filled""",
     "euclid_step": f"with {MOVED} select x, y, prev_x, prev_y, {DISTANCE} as distance from moved",
@@ -217,7 +278,7 @@ ORACLES = {
     "valid_rows": f"with {RAW} select * from raw where {OK}",
     "invalid_rows": INVALID_ROWS,
     "filter_day": f"""with {BRONZE} select create_room_date, champion, count(*) as "rows"
-        from bronze where create_room_date between date '2024-01-10' and date '2024-01-20'
+        from bronze where create_room_date between {FIRST_DAY} + 9 and {FIRST_DAY} + 19
         group by 1, 2""",
     "silver_keep_any": f"{BRONZE_ROWS} where {KEEP_ANY}",
     "silver_keep_all": f"{BRONZE_ROWS} where {KEEP_ALL}",
@@ -228,7 +289,10 @@ ORACLES = {
     "prev_position_sliced": PREVIOUS,
     "movement_features": f"with {MOVED} select {FILLED} from moved",
     "sort_room_time": f"with {SILVER} select * from silver",
-    "sort_room": f"with {SILVER} {GOLD['champion_death_count']}",
+    "sort_room": f"""with {SILVER} select count(*) as "rows", cast(0 as bigint) as violations
+        from ({GOLD['champion_death_count']})""",
+    "sort_room_time_order": f"""with {SILVER} select count(*) as "rows",
+        cast(0 as bigint) as violations from silver""",
     "ml_string_index": INDEXED,
     "ml_string_index_shuffled": INDEXED,
     "train_table_indexed": f"""with {TRAIN} select cahmpion_indexed, "datetime",
@@ -241,8 +305,10 @@ ORACLES = {
     "ml_score_stream": AGREEMENT,
     "stream_checkpoint": BRONZE_ROWS,
     "stream_fanout": f"""with {BRONZE}, refused as (
-        select try_cast("createRoomDate" as date) as create_room_date from raw where not {OK})
-        {_counts({"playerlogs": "bronze", "invalid_data": "refused"})}""",
+        select *, try_cast("createRoomDate" as date) as create_room_date,
+               sha256(account) as encrypted_account from raw where not {OK})
+        {_sums("playerlogs", "bronze", BRONZE_NUMBERS, BRONZE_OTHERS)}
+        union all {_sums("invalid_data", "refused", [], RAW_OTHERS)}""",
     "job_bronze_ingest": BRONZE_ROWS,
     "job_silver_analysis": f"with {SILVER} select * from silver",
     "job_silver_train_indexed": f"""with {TRAIN} select cahmpion_indexed, "datetime",
@@ -254,17 +320,18 @@ ORACLES = {
         f"select '{name}' as table_name, * from ({sql})" for name, sql in GOLD.items()
     ),
     "job_month_archive": ARCHIVED,
-    "job_run_day": f"""with {SILVER}, """
+    "job_run_day": f"""with {TRAIN}, silver as ({SILVER_SELECT}),
+        moved as ({_moved('encrypted_account, create_room_date')}),
+        filled as (select {FILLED} from moved),
+        trained as (select *, cast("datetime" as date) as event_date from train), """
     + ", ".join(f"{name} as ({sql})" for name, sql in GOLD.items())
-    + " "
-    + _counts(
-        {
-            "analysis_playerlogs": "silver",
-            "train_playerlogs": "bronze",
-            "delta_playerlogs": "bronze",
-            **{name: name for name in GOLD},
-        }
-    ),
+    + f" {_daily('range', 'true')} union all {_daily('day', f'create_room_date = {ONE_DAY}')}",
+    "ml_kmeans_fit": f"""with {SEPARATED} select cluster, count(*) as "rows",
+        round(avg(x), 6) as centre_x, round(avg(y), 6) as centre_y from separated group by cluster""",
+    "ml_predict_batch": f"with {SEPARATED} select event_id, x, y, cluster from separated",
+    "ml_silhouette": f"with {SILHOUETTE} select silhouette from score",
+    "job_refit": f"""with {SILHOUETTE} select cluster, count(*) as "rows",
+        (select silhouette from score) as silhouette from separated group by cluster""",
     "message_rate": """select date_trunc('minute', ts) as window_start, count(*) as messages
         from events group by 1""",
     "message_rate_per_second": """select date_trunc('second', ts) as window_start,

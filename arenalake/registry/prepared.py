@@ -1,6 +1,8 @@
 """Tables several queries start from, built once per application and data folder."""
 
-from datetime import date
+import re
+import tempfile
+from datetime import date, timedelta
 from functools import cache
 from uuid import uuid4
 
@@ -12,12 +14,24 @@ from arenalake.lake import Lake
 from arenalake.operators.bronze import bronze_rows
 from arenalake.operators.cluster import fit_clusters
 from arenalake.plans.jobs import bronze_batch, silver_analysis, silver_train_movement
+from arenalake.schema import DAY
 from arenalake.sinks.scratch import scratch_path
 from arenalake.sources.playerlogs import raw_playerlogs, read_table, to_messages
 
 _SESSIONS: dict[str, SparkSession] = {}
 
 
+def shared_scratch(spark: SparkSession) -> None:
+    """Give a session of one process a temporary folder, if none is configured.
+
+    The queries are checks on test tables; the jobs never do this.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured and re.fullmatch(r"local(\[.*\])?", context.master):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="arenalake-"))
+
+
 def new_lake(spark: SparkSession, **names: str) -> Lake:
     """An empty lake of its own; ``names`` are tables it takes from elsewhere."""
     lake = Lake(scratch_path(spark, "lake"), suffix=f"_arenalake_{uuid4().hex}", names=names)
@@ -42,6 +56,28 @@ def _day_range(application: str, sf_dir: str) -> tuple[date, date]:
     return tuple(events.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first())
 
 
+def one_day(spark: SparkSession, sf_dir: str) -> date:
+    """The fifth day of the events, for queries on one day."""
+    return day_range(spark, sf_dir)[0] + timedelta(4)
+
+
+def some_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """The tenth to the twentieth day of the events."""
+    first = day_range(spark, sf_dir)[0]
+    return first + timedelta(9), first + timedelta(19)
+
+
+def separated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A position for every event, in two groups far apart: even and odd events."""
+    odd = F.pmod("event_id", F.lit(2))
+    return read_table(spark, sf_dir, "events").select(
+        "event_id",
+        (F.pmod("event_id", F.lit(5)) + odd * 1000).cast("int").alias("x"),
+        (F.pmod("event_id", F.lit(7)) - odd * 500).cast("int").alias("y"),
+        F.col("ts").cast("date").alias(DAY),
+    )
+
+
 def landed_messages(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the JSON message of every event, one per line."""
     return _landed_messages(_application(spark), sf_dir)

@@ -1,9 +1,12 @@
 """One query per operator, each over all rows of the test tables."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import wraps
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -18,6 +21,7 @@ from arenalake.functions.features import (
 )
 from arenalake.lake import GOLD_TABLES, Lake
 from arenalake.operators.bronze import (
+    drop_features,
     invalid_rows,
     mask_identity,
     message_text,
@@ -30,8 +34,10 @@ from arenalake.operators.cluster import assembler, fit_clusters, predict, silhou
 from arenalake.operators.frequency import frequency_index
 from arenalake.operators.gold import gold_from_events, summarise
 from arenalake.operators.silver import (
+    ROOM_TIME,
     analysis_rows,
     fill_movement,
+    labelled_rows,
     movement_rows,
     present_rows,
     sort_room_time,
@@ -47,10 +53,14 @@ from arenalake.registry.prepared import (
     landed_messages,
     movement_table,
     new_lake,
+    one_day,
     raw,
+    separated,
+    shared_scratch,
     silver_table,
+    some_days,
 )
-from arenalake.schema import BRONZE_SCHEMA, DAY, FEATURES, PREDICTION, RAW_SCHEMA
+from arenalake.schema import BRONZE_SCHEMA, DAY, FEATURES, PREDICTION, RAW_SCHEMA, TRAIN_COLUMNS
 from arenalake.sinks.models import load_model, save_model
 from arenalake.sinks.scratch import scratch_path
 from arenalake.sinks.tables import replace_days, replace_table
@@ -61,7 +71,6 @@ from arenalake.sources.tables import table_day_where, table_days
 from arenalake.streaming import ingest
 from arenalake.streaming.rate import message_rate
 
-ONE_DAY = "2024-01-05"
 DRAIN = {"availableNow": True}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +79,13 @@ QUERIES: dict[str, Query] = {}
 
 def query_named(name: str) -> Callable[[Query], Query]:
     def register(function):
-        QUERIES[name] = function
-        return function
+        @wraps(function)
+        def prepared(spark, sf_dir):
+            shared_scratch(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = prepared
+        return prepared
 
     return register
 
@@ -113,17 +127,17 @@ def _json_days(spark, sf_dir):
 
 @query
 def src_json_month_glob(spark, sf_dir):
-    return plain(json_month(spark, _json_days(spark, sf_dir), ONE_DAY, BRONZE_SCHEMA))
+    return plain(json_month(spark, _json_days(spark, sf_dir), one_day(spark, sf_dir), BRONZE_SCHEMA))
 
 
 @query
 def src_table_day(spark, sf_dir):
-    return plain(table_days(spark, bronze_table(spark, sf_dir), ONE_DAY))
+    return plain(table_days(spark, bronze_table(spark, sf_dir), one_day(spark, sf_dir)))
 
 
 @query
 def src_table_day_sql(spark, sf_dir):
-    return plain(table_day_where(spark, silver_table(spark, sf_dir), ONE_DAY))
+    return plain(table_day_where(spark, silver_table(spark, sf_dir), one_day(spark, sf_dir)))
 
 
 @query
@@ -186,14 +200,26 @@ def sink_stream_quarantine_json(spark, sf_dir):
 
 @query
 def sink_dynamic_partition_overwrite(spark, sf_dir):
-    """Write all days twice over, then one day shifted: only that day changes."""
+    """Write all days twice over, then two days shifted, at once and from two sessions.
+
+    Only these two days change, although both sessions replace all days of a write by
+    default.
+    """
     lake = new_lake(spark)
     name, path = lake.name("playerlogs"), lake.path("playerlogs")
-    rows = bronze(spark, sf_dir)
     for _ in range(2):
-        replace_days(rows, name, path, rebalance=True)
-    day = rows.filter(F.col(DAY) == F.lit(ONE_DAY).cast("date"))
-    replace_days(day.withColumn("x", F.col("x") + 1000), name, path)
+        replace_days(bronze(spark, sf_dir), name, path, rebalance=True)
+
+    def shift(session, day, by):
+        rows = bronze(session, sf_dir).filter(F.col(DAY) == F.lit(day))
+        replace_days(rows.withColumn("x", F.col("x") + by), name, path, days=(day, day))
+
+    day, other = one_day(spark, sf_dir), day_range(spark, sf_dir)[0]
+    with ThreadPoolExecutor(2) as pool:
+        work = [pool.submit(shift, spark, day, 1000), pool.submit(shift, spark.newSession(), other, 2000)]
+        for done in work:
+            done.result()
+    spark.catalog.refreshTable(name)
     return plain(spark.table(name))
 
 
@@ -209,19 +235,26 @@ def sink_full_overwrite(spark, sf_dir):
 
 
 def _archived(spark, sf_dir):
-    lake = new_lake(spark)
-    base = _json_days(spark, sf_dir)
-    return jobs.archive_month(spark, lake, ONE_DAY, base, BRONZE_SCHEMA)
+    """The archive of the table the default ingest writes."""
+    lake = _ingested(spark, sf_dir)
+    return jobs.archive_month(spark, lake, one_day(spark, sf_dir))
 
 
 @query
 def sink_month_archive(spark, sf_dir):
-    """Rows of the archive per day, as read from the zstd folder."""
-    return (
-        spark.read.parquet(_archived(spark, sf_dir))
-        .groupBy(DAY)
-        .agg(F.count("*").alias("rows"), F.sum("x").alias("sum_x"), F.sum("y").alias("sum_y"))
-    )
+    """An archive written twice: all rows, read back from the zstd folder."""
+    lake = _ingested(spark, sf_dir)
+    for _ in range(2):
+        path = jobs.archive_month(spark, lake, one_day(spark, sf_dir))
+    return plain(spark.read.parquet(path))
+
+
+@query
+def sink_month_archive_json(spark, sf_dir):
+    """The same from JSON day folders."""
+    base = _json_days(spark, sf_dir)
+    path = jobs.archive_month(spark, new_lake(spark), one_day(spark, sf_dir), base, BRONZE_SCHEMA)
+    return plain(spark.read.parquet(path))
 
 
 @query
@@ -252,9 +285,9 @@ def parse_value_string(spark, sf_dir):
 
 @query
 def parse_json_fixed(spark, sf_dir):
-    messages = to_messages(raw(spark, sf_dir))
-    parsed = messages.select(F.from_json("value", RAW_SCHEMA).alias("message"))
-    return parsed.select("message.roomID", "message.x", "message.account", "message.deathCount")
+    """All fields of every message, from its binary form."""
+    binary = to_messages(raw(spark, sf_dir)).select(F.col("value").cast("binary").alias("value"))
+    return parse_messages(binary)
 
 
 @query
@@ -292,7 +325,9 @@ def pseudonymise_account(spark, sf_dir):
 
 @query
 def drop_columns(spark, sf_dir):
-    return plain(mask_identity(typed_rows(valid_rows(raw(spark, sf_dir)))))
+    """Account, address and the vector of the model are gone."""
+    masked = mask_identity(typed_rows(valid_rows(raw(spark, sf_dir))))
+    return plain(drop_features(assembler().transform(masked)))
 
 
 @query
@@ -329,7 +364,8 @@ def parse_date_fmt(spark, sf_dir):
 
 @query
 def subset_columns(spark, sf_dir):
-    return bronze(spark, sf_dir).select("encrypted_account", "x", "y", DAY)
+    """The columns of the training table, under the day of the room."""
+    return plain(labelled_rows(bronze(spark, sf_dir)).select(*TRAIN_COLUMNS))
 
 
 @query
@@ -376,7 +412,7 @@ def invalid_raw(spark, sf_dir):
 @query
 def filter_day(spark, sf_dir):
     """A range of days of the stored bronze table, counted."""
-    days = table_days(spark, bronze_table(spark, sf_dir), "2024-01-10", "2024-01-20")
+    days = table_days(spark, bronze_table(spark, sf_dir), *some_days(spark, sf_dir))
     return days.groupBy(DAY, "champion").agg(F.count("*").alias("rows"))
 
 
@@ -456,11 +492,38 @@ def sort_room_time_rows(spark, sf_dir):
     return plain(sort_room_time(analysis_rows(bronze(spark, sf_dir))))
 
 
+def _order_violations(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(rows, violations): neighbours of one partition that descend, and partitions that begin too low."""
+    key = F.struct(*keys)
+    placed = rows.select(
+        key.alias("key"),
+        F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    before = F.lag("key").over(Window.partitionBy("part").orderBy("place"))
+    inside = placed.select("*", (before > F.col("key")).cast("long").alias("wrong"))
+    # One row for each partition.
+    parts = inside.groupBy("part").agg(
+        F.count("*").alias("rows"), F.sum("wrong").alias("wrong"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    last = F.lag("high").over(Window.orderBy("part"))
+    parts = parts.select("rows", "wrong", (last > F.col("low")).cast("long").alias("border"))
+    return parts.agg(
+        F.sum("rows").alias("rows"),
+        (F.coalesce(F.sum("wrong"), F.lit(0)) + F.coalesce(F.sum("border"), F.lit(0))).alias("violations"),
+    )
+
+
 @query
 def sort_room(spark, sf_dir):
-    """The ordered gold table with its order spelled out by the rank of the room."""
-    rows = _gold(spark, sf_dir, "champion_death_count")
-    return rows.orderBy("room_id", "champion")
+    """The gold table in the order of rooms: how often neighbours or partitions are out of order."""
+    keys = ["room_id", "champion", DAY]
+    return _order_violations(_gold(spark, sf_dir, "champion_death_count").orderBy(*keys), keys)
+
+
+@query
+def sort_room_time_order(spark, sf_dir):
+    return _order_violations(sort_room_time(analysis_rows(bronze(spark, sf_dir))), ROOM_TIME)
 
 
 # Machine learning
@@ -475,11 +538,9 @@ def ml_string_index(spark, sf_dir):
 
 @query
 def ml_string_index_shuffled(spark, sf_dir):
-    """The same with the joins and ranks used beyond the broadcast bound."""
+    """The same with values ranked in slices."""
     outputs = {"champion": "champion_indexed", "inputkey": "inputkey_indexed"}
-    indexed = frequency_index(
-        bronze(spark, sf_dir), outputs, broadcast_bytes=0, hot_rows=5, slice_rows=5
-    )
+    indexed = frequency_index(bronze(spark, sf_dir), outputs, hot_rows=5, slice_rows=5)
     return indexed.select("champion", "champion_indexed", "inputkey", "inputkey_indexed")
 
 
@@ -495,22 +556,31 @@ def ml_assemble(spark, sf_dir):
     return vectors.select("room_id", parts[0].alias("v0"), parts[1].alias("v1"))
 
 
+def _by_centre(model: PipelineModel) -> Column:
+    """The number of a row's cluster, counted by the centres' x."""
+    centres = model.stages[-1].clusterCenters()
+    order = sorted(range(len(centres)), key=lambda i: centres[i][0])
+    return F.element_at(F.array(*(F.lit(order.index(i)) for i in range(len(centres)))), F.col(PREDICTION) + 1)
+
+
 @query
 def ml_kmeans_fit(spark, sf_dir):
-    """Cluster sizes and centres of a fit on all rows."""
-    rows = bronze(spark, sf_dir)
+    """Sizes and centres of a fit on two groups far apart."""
+    rows = separated(spark, sf_dir)
     model = fit_clusters(rows)
-    centres = [
-        (i, float(c[0]), float(c[1])) for i, c in enumerate(model.stages[-1].clusterCenters())
-    ]
-    sizes = predict(model, rows).groupBy(PREDICTION).agg(F.count("*").alias("rows"))
-    centre_rows = spark.createDataFrame(centres, "prediction int, centre_x double, centre_y double")
-    return sizes.join(F.broadcast(centre_rows), PREDICTION)
+    order = sorted((float(x), float(y)) for x, y in model.stages[-1].clusterCenters())
+    centres = spark.createDataFrame(
+        [(i, x, y) for i, (x, y) in enumerate(order)], "cluster int, centre_x double, centre_y double"
+    )
+    sizes = predict(model, rows).groupBy(_by_centre(model).alias("cluster")).agg(F.count("*").alias("rows"))
+    return rounded(sizes.join(F.broadcast(centres), "cluster"), "centre_x", "centre_y")
 
 
 @query
 def ml_predict_batch(spark, sf_dir):
-    return plain(predict(fitted_model(spark, sf_dir), bronze(spark, sf_dir)))
+    rows = separated(spark, sf_dir)
+    model = fit_clusters(rows)
+    return predict(model, rows).select("event_id", "x", "y", _by_centre(model).alias("cluster"))
 
 
 @query
@@ -529,8 +599,9 @@ def ml_predict_nearest(spark, sf_dir):
 
 @query
 def ml_silhouette(spark, sf_dir):
-    score = silhouette(fitted_model(spark, sf_dir), bronze(spark, sf_dir))
-    return spark.createDataFrame([(score,)], "silhouette double")
+    rows = separated(spark, sf_dir)
+    score = silhouette(fit_clusters(rows), rows)
+    return rounded(spark.createDataFrame([(score,)], "silhouette double"), "silhouette")
 
 
 @query
@@ -557,20 +628,29 @@ def stream_checkpoint(spark, sf_dir):
 
 @query
 def stream_fanout(spark, sf_dir):
-    """Rows of both branches per day."""
+    """What both branches add up to per day."""
     lake = _ingested(spark, sf_dir)
-    return _row_counts(spark, lake, ["playerlogs", "invalid_data"])
+    return _day_sums(spark, lake, ["playerlogs", "invalid_data"])
 
 
-def _row_counts(spark, lake, tables):
-    counted = [
-        spark.table(lake.name(t)).groupBy(DAY).agg(F.count("*").alias("rows"))
-        .withColumn("table_name", F.lit(t))
-        for t in tables
-    ]
-    result = counted[0]
-    for other in counted[1:]:
-        result = result.unionByName(other)
+def _day_sums(spark, lake, tables):
+    """Per table and day: the rows, the sum of each number, the filled places of each other column."""
+    result = None
+    for table in tables:
+        rows = spark.table(lake.name(table))
+        numbers = {"int", "bigint", "double"}
+        measures = {"rows": F.count("*").cast("double")}
+        for name, kind in rows.dtypes:
+            if name != DAY:
+                column = F.col(f"`{name}`")
+                total = F.sum(column.cast("double")) if kind in numbers else F.count(column)
+                measures[name] = F.coalesce(total.cast("double"), F.lit(0.0))
+        sums = rows.groupBy(DAY).agg(*(value.alias(name) for name, value in measures.items()))
+        sums = sums.unpivot([DAY], [f"`{name}`" for name in measures], "measure", "value")
+        sums = sums.select(
+            F.lit(table).alias("table_name"), DAY, F.trim("measure", F.lit("`")).alias("measure"), F.round("value", 2).alias("value")
+        )
+        result = sums if result is None else result.unionByName(sums)
     return result
 
 
@@ -619,12 +699,15 @@ def job_gold_day(spark, sf_dir):
 
 @query
 def job_refit(spark, sf_dir):
-    lake = new_lake(spark, delta_playerlogs=movement_table(spark, sf_dir))
-    _, score = jobs.refit(spark, lake)
-    stored = load_model(lake.model_path)
-    rows = predict(stored, spark.table(lake.name("delta_playerlogs")))
-    return rows.groupBy(PREDICTION).agg(
-        F.count("*").alias("rows"), F.lit(score).alias("silhouette")
+    """The stored model of a refit on two groups far apart: sizes and silhouette."""
+    lake = new_lake(spark)
+    name, path = lake.name("delta_playerlogs"), lake.path("delta_playerlogs")
+    replace_table(separated(spark, sf_dir), name, path)
+    _, score = jobs.refit(spark, lake, *day_range(spark, sf_dir))
+    model = load_model(lake.model_path)
+    sizes = predict(model, spark.table(name)).groupBy(_by_centre(model).alias("cluster"))
+    return rounded(
+        sizes.agg(F.count("*").alias("rows")).withColumn("silhouette", F.lit(score)), "silhouette"
     )
 
 
@@ -635,11 +718,16 @@ def job_month_archive(spark, sf_dir):
 
 @query
 def job_run_day(spark, sf_dir):
-    """All daily jobs over all days, then the refit: rows per table and day."""
-    lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
-    jobs.run_days(spark, lake, *day_range(spark, sf_dir))
+    """All daily jobs over all days, and over one day: what every table adds up to."""
     tables = ["analysis_playerlogs", "train_playerlogs", "delta_playerlogs", *GOLD_TABLES]
-    return _row_counts(spark, lake, tables)
+    day = one_day(spark, sf_dir)
+    result = None
+    for run, days in (("range", day_range(spark, sf_dir)), ("day", (day,))):
+        lake = new_lake(spark, playerlogs=bronze_table(spark, sf_dir))
+        jobs.run_days(spark, lake, *days)
+        sums = _day_sums(spark, lake, tables).withColumn("run", F.lit(run))
+        result = sums if result is None else result.unionByName(sums)
+    return result
 
 
 @query_named("message_rate")

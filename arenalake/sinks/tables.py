@@ -1,60 +1,64 @@
 """Writers of day-partitioned catalog tables."""
 
-from contextlib import contextmanager
-from threading import Lock
+from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arenalake.schema import DAY
-from arenalake.sources.tables import written_by_stream
+from arenalake.sinks.files import delete, exists, file_names, move
+from arenalake.sources.tables import as_date, written_by_stream
 
-_MODE = "spark.sql.sources.partitionOverwriteMode"
-_mode_lock = Lock()
-_mode_users = 0
-_mode_before = None
+#: Replacing days is a property of the table, so no session can replace more by mistake.
+DYNAMIC = "partitionOverwriteMode"
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """insertInto takes the mode from the session only, not from a write option.
+def create_table(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
+    """A table at ``path`` with the rows' columns, the day last.
 
-    The setting is put back when the last of several concurrent writers leaves;
-    a writer left with the static mode would replace the whole table.
+    Day folders that are there already become partitions of the new table. A table
+    that exists gets the dynamic mode, if it was created without.
     """
-    global _mode_users, _mode_before
-    with _mode_lock:
-        if _mode_users == 0:
-            _mode_before = spark.conf.get(_MODE)
-            spark.conf.set(_MODE, "dynamic")
-        _mode_users += 1
-    try:
-        yield
-    finally:
-        with _mode_lock:
-            _mode_users -= 1
-            if _mode_users == 0:
-                spark.conf.set(_MODE, _mode_before)
-
-
-def create_table(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
-    """An empty table at ``path`` with the rows' columns, the day last."""
+    spark = rows.sparkSession
+    if spark.catalog.tableExists(table):
+        if not _is_dynamic(spark, table):
+            spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('{DYNAMIC}'='dynamic')")
+        return
     columns = ", ".join(
         f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema.fields
     )
-    rows.sparkSession.sql(
+    spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt} "
-        f"PARTITIONED BY ({DAY}) LOCATION '{path}'"
+        f"OPTIONS ('{DYNAMIC}'='dynamic') PARTITIONED BY ({DAY}) LOCATION '{path}'"
     )
+    if exists(spark, path):
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
+def _described(spark: SparkSession, table: str, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == name)
+    return next((row.data_type for row in rows.collect()), "")
+
+
+def _is_dynamic(spark: SparkSession, table: str) -> bool:
+    return f"{DYNAMIC}=dynamic".lower() in _described(spark, table, "Storage Properties").lower()
 
 
 def replace_days(
-    rows: DataFrame, table: str, path: str, fmt: str = "parquet", rebalance: bool = False
+    rows: DataFrame,
+    table: str,
+    path: str,
+    fmt: str = "parquet",
+    rebalance: bool = False,
+    days: tuple[date | str, date | str] | None = None,
 ) -> None:
     """Replace the days that occur in ``rows``; other days stay.
 
-    ``rebalance`` groups the rows by day before writing, for runs over many days
-    whose rows are not grouped yet: adaptive execution then writes a few files
-    of even size per day, splitting large days.
+    ``days``, the first and the last day of a run, are emptied as well if no row of
+    them came. ``rebalance`` groups the rows by day before writing, if they are not
+    grouped yet: adaptive execution then writes a few files of even size per day,
+    splitting large days.
     """
     if rebalance:
         rows = rows.hint("rebalance", DAY)
@@ -62,16 +66,35 @@ def replace_days(
         (
             rows.write.format(fmt)
             .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option(DYNAMIC, "dynamic")
             .option("path", path)
             .partitionBy(DAY)
             .saveAsTable(table)
         )
         return
-    _check_batch_table(rows.sparkSession, path)
+    spark = rows.sparkSession
+    _check_batch_table(spark, path)
     create_table(rows, table, path, fmt)
-    with _dynamic_overwrite(rows.sparkSession):
-        _in_table_order(rows, table).write.mode("overwrite").insertInto(table)
+    ordered = _in_table_order(rows, table)
+    place = _described(spark, table, "Location") or path
+    before = {day: file_names(spark, _folder(place, day)) for day in _each(days)}
+    ordered.write.mode("overwrite").insertInto(table)
+    for day, names in before.items():
+        # A day that got rows has files of other names now.
+        if names and file_names(spark, _folder(place, day)) & names:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY}=DATE'{day}')")
+            delete(spark, _folder(place, day))
+
+
+def _each(days: tuple[date | str, date | str] | None) -> list[date]:
+    if days is None:
+        return []
+    first, last = as_date(days[0]), as_date(days[1])
+    return [first + timedelta(k) for k in range((last - first).days + 1)]
+
+
+def _folder(path: str, day: date) -> str:
+    return f"{path.rstrip('/')}/{DAY}={day.isoformat()}"
 
 
 def append_days(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
@@ -92,8 +115,11 @@ def _check_batch_table(spark: SparkSession, path: str) -> None:
 
 
 def _in_table_order(rows: DataFrame, table: str) -> DataFrame:
-    """insertInto goes by position."""
-    return rows.select(*[f"`{name}`" for name in rows.sparkSession.table(table).columns])
+    """insertInto goes by position. Rows of other columns than the table's are an error."""
+    names = rows.sparkSession.table(table).columns
+    if differing := sorted(set(names) ^ set(rows.columns)):
+        raise ValueError(f"{table} and the rows to write differ in the columns {differing}")
+    return rows.select(*[f"`{name}`" for name in names])
 
 
 def replace_table(rows: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
@@ -101,13 +127,29 @@ def replace_table(rows: DataFrame, table: str, path: str, fmt: str = "parquet")
     (
         rows.write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        .option(DYNAMIC, "static")
         .option("path", path)
         .partitionBy(DAY)
         .saveAsTable(table)
     )
 
 
-def month_to_parquet(rows: DataFrame, path: str) -> None:
-    """One month as one folder of zstd Parquet files."""
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+def month_to_parquet(rows: DataFrame, path: str) -> int:
+    """One month as one folder of zstd Parquet files; returns the number of rows.
+
+    Adaptive execution makes few files of even size out of many small ones. The
+    folder is written beside the old one, and takes its place only if it has as many
+    rows as the source.
+    """
+    spark = rows.sparkSession
+    new, old = (f"{path}.{word}-{uuid4().hex}" for word in ("new", "old"))
+    rows.hint("rebalance").write.option("compression", "zstd").parquet(new)
+    expected, written = rows.count(), spark.read.parquet(new).count()
+    if written != expected:
+        delete(spark, new)
+        raise ValueError(f"{path}: {written} rows were written of {expected}; nothing is replaced")
+    replaced = move(spark, path, old)
+    move(spark, new, path)
+    if replaced:
+        delete(spark, old)
+    return written

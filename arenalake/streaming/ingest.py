@@ -15,8 +15,8 @@ from arenalake.operators.cluster import predict
 from arenalake.schema import DAY
 
 TRIGGER = {"processingTime": "1 minute"}
-BRONZE_QUERY = "query_playerLogs"
-QUARANTINE_QUERY = "query_invalidData"
+BRONZE_QUERY = "arenalake_accepted"
+QUARANTINE_QUERY = "arenalake_refused"
 
 
 def append_stream(

@@ -2,7 +2,6 @@
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
-from types import SimpleNamespace
 
 import pytest
 from conftest import bag
@@ -15,7 +14,7 @@ from arenalake.operators.silver import analysis_rows, files_by_room_time, moveme
 from arenalake.plans import jobs
 from arenalake.registry.prepared import bronze, bronze_table, new_lake, silver_table
 from arenalake.schema import BRONZE_SCHEMA, DAY
-from arenalake.sinks.scratch import scratch_path, scratch_root
+from arenalake.sinks.scratch import scratch_path
 from arenalake.sinks.tables import append_days, replace_days, replace_table
 from arenalake.sources.archive import json_month
 from arenalake.sources.tables import table_day_where, table_days
@@ -85,15 +84,6 @@ def test_concurrent_writers_stay_dynamic(spark):
     assert spark.conf.get(MODE) == before
 
 
-def test_a_cluster_needs_a_shared_folder():
-    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
-    session = SimpleNamespace(
-        sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default)
-    )
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_root(session)
-
-
 def test_files_are_sorted_by_room_and_time(spark):
     silver = spark.table(silver_table(spark, SF))
     rows = (
@@ -172,9 +162,9 @@ def test_range_equals_day_by_day_and_reruns_change_nothing(spark):
 
 def test_first_of_month_refits(spark):
     lake = new_lake(spark, playerlogs=bronze_table(spark, SF))
-    assert jobs.run_days(spark, lake, "2024-01-02") is None
-    model, score = jobs.run_days(spark, lake, "2024-01-01")
-    assert model is not None and -1 <= score <= 1
+    assert jobs.run_days(spark, lake, "2024-01-02").model is None
+    report = jobs.run_days(spark, lake, "2024-01-01")
+    assert report.model is not None and -1 <= report.silhouette <= 1
 
 
 def test_archive_takes_its_month_and_keeps_the_day(spark, lake):

@@ -7,7 +7,7 @@ from conftest import bag
 from pyspark.sql import functions as F
 
 from arenalake.lake import GOLD_TABLES
-from arenalake.operators.gold import gold_from_events, gold_tables, player_summaries
+from arenalake.operators.gold import gold_from_events, gold_tables
 from arenalake.operators.silver import (
     analysis_rows,
     movement_rows,
@@ -15,7 +15,8 @@ from arenalake.operators.silver import (
     train_indexed_rows,
     with_previous_position,
 )
-from arenalake.registry.prepared import bronze
+from arenalake.plans import jobs
+from arenalake.registry.prepared import bronze, day_range, new_lake, silver_table
 from arenalake.schema import BRONZE_SCHEMA, DAY, TRAIN_COLUMNS
 
 SF = "/root/testdata/sf0.001"
@@ -83,18 +84,6 @@ def test_sorted_by_room_and_time(spark):
     assert got == sorted(got)
 
 
-@pytest.mark.parametrize("name", GOLD_TABLES)
-def test_gold_from_summaries_equals_gold_from_events(spark, name):
-    silver = analysis_rows(bronze(spark, SF))
-    table = gold_tables()[name]
-    rounding = lambda rows: rows.select(
-        *[F.round(c, 9).alias(c) if t == "double" else c for c, t in rows.dtypes]
-    )
-    assert bag(rounding(table.from_summaries(player_summaries(silver)))) == bag(
-        rounding(table.from_events(silver))
-    )
-
-
 def test_gold_average_equals_avg(spark):
     silver = analysis_rows(bronze(spark, SF))
     want = silver.groupBy("encrypted_account", "champion", DAY).agg(
@@ -104,11 +93,16 @@ def test_gold_average_equals_avg(spark):
     assert bag(gold_from_events(silver, "average_death_and_time")) == bag(want)
 
 
-def test_champion_deaths_are_ordered_by_room(spark):
-    silver = analysis_rows(bronze(spark, SF))
-    rows = gold_from_events(silver, "champion_death_count").collect()
-    rooms = [(r[DAY], r.room_id or "") for r in rows]
-    assert rooms == sorted(rooms)
+def test_champion_deaths_are_ordered_by_room_in_each_file(spark):
+    lake = new_lake(spark, analysis_playerlogs=silver_table(spark, SF))
+    jobs.gold_days(spark, lake, *day_range(spark, SF))
+    rows = spark.table(lake.name("champion_death_count")).select(
+        F.input_file_name().alias("file"), DAY, "room_id"
+    )
+    per_file = {}
+    for r in rows.collect():
+        per_file.setdefault((r.file, r[DAY]), []).append(r.room_id or "")
+    assert per_file and all(rooms == sorted(rooms) for rooms in per_file.values())
 
 
 def test_one_row_group_has_no_spread(spark):

@@ -5,7 +5,6 @@ from conftest import bag
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from arenalake.operators import slices
 from arenalake.operators.frequency import frequency_index
 from arenalake.operators.slices import positions, previous_values
 
@@ -37,15 +36,7 @@ def test_sliced_lag(spark, hot_rows, slice_rows):
     assert bag(got) == bag(one_window(rows))
 
 
-def test_sliced_lag_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(slices, "BROADCAST_ROWS", 0)
-    rows = skewed(spark)
-    got = previous_values(rows, ["account"], ["room", "t", "x"], {"prev_x": "x"}, 10, 400)
-    assert bag(got) == bag(one_window(rows))
-
-
-def test_copies_are_kept(spark, monkeypatch):
-    monkeypatch.setattr(slices, "COPIES_PER_TASK", 100)
+def test_copies_are_kept(spark):
     rows = spark.range(1000).select(
         F.lit("hot").alias("account"), F.lit("r").alias("room"), F.lit(1).alias("t"),
         F.when(F.col("id") < 990, 5).otherwise(9).alias("x"), F.lit("k0").alias("key"),
@@ -95,11 +86,11 @@ def test_index_matches_string_indexer(spark):
     assert bag(frequency_index(rows, {"champion": "c", "inputkey": "k"})) == bag(want)
 
 
-def test_index_without_broadcast_and_in_slices(spark):
+def test_index_in_slices(spark):
     rows = skewed(spark).select(F.coalesce("account", F.lit("none")).alias("name"), "room")
     want = frequency_index(rows, {"name": "i"}, by=["room"])
     got = frequency_index(
-        rows, {"name": "i"}, by=["room"], broadcast_bytes=0, hot_rows=2, slice_rows=3
+        rows, {"name": "i"}, by=["room"], hot_rows=2, slice_rows=3
     )
     assert bag(got) == bag(want)
 

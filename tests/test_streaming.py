@@ -81,7 +81,7 @@ def test_archive_of_a_scored_json_stream(spark, lake):
     scored = predict(model, bronze(spark, SF))
     stray = f"{lake.path('playerlogs')}/create_room_date=2024-01-05"
     scored.drop("create_room_date").limit(5).write.mode("append").json(stray)
-    archived = spark.read.parquet(archive_month(spark, lake, "2024-01-31"))
+    archived = spark.read.parquet(archive_month(spark, lake, "2024-01-31", lake.path("playerlogs")))
     assert bag(archived) == bag(scored)
 
 
