@@ -12,6 +12,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from arenalake.lake import GOLD_TABLES  # noqa: E402
 from arenalake.operators.bronze import bronze_rows, parse_messages, quarantine_rows  # noqa: E402
 from arenalake.operators.cluster import fit_clusters, silhouette  # noqa: E402
@@ -25,6 +27,7 @@ from arenalake.operators.silver import (  # noqa: E402
 from arenalake.plans import jobs  # noqa: E402
 from arenalake.registry import prepared  # noqa: E402
 from arenalake.registry.queries import DRAIN  # noqa: E402
+from arenalake.schema import DAY  # noqa: E402
 from arenalake.session import local_session  # noqa: E402
 from arenalake.sources.messages import text_messages  # noqa: E402
 from arenalake.sources.playerlogs import read_table  # noqa: E402
@@ -58,6 +61,24 @@ def workloads(spark, sf_dir):
         lake = prepared.new_lake(spark)
         ingest.run_all(ingest.start_table_ingest(text_messages(spark, landed), lake, None, DRAIN))
 
+    def archive():
+        jobs.archive_month(spark, prepared.new_lake(spark, playerlogs=bronze_name), first)
+
+    def run_day():
+        lake = prepared.new_lake(spark, playerlogs=bronze_name)
+        jobs.run_days(spark, lake, prepared.one_day(spark, sf_dir))
+
+    def hot_account():
+        """A third of all rows belongs to one account, on one day; it goes through slices."""
+        hot = F.pmod(F.xxhash64("room_id", "datetime", "x", "y"), F.lit(3)) == 0
+        rows = bronze().withColumns(
+            {
+                "encrypted_account": F.when(hot, F.lit("hot")).otherwise(F.col("encrypted_account")),
+                DAY: F.when(hot, F.lit(first)).otherwise(F.col(DAY)),
+            }
+        )
+        consume(movement_rows(rows, hot_rows=10_000, slice_rows=10_000))
+
     def refit():
         silhouette(fit_clusters(bronze()), bronze())
 
@@ -72,6 +93,9 @@ def workloads(spark, sf_dir):
         "stream_ingest": stream,
         "job_gold_day": lambda: jobs.gold_days(spark, job_lake(), first, last),
         "job_silver_movement": lambda: jobs.silver_train_movement(spark, job_lake(), first, last),
+        "movement_hot_account": hot_account,
+        "job_month_archive": archive,
+        "job_run_day": run_day,
     }
     for name in GOLD_TABLES:
         work[f"gold_{name}"] = lambda name=name: consume(gold_from_events(silver(), name))
@@ -81,6 +105,7 @@ def workloads(spark, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("bench", os.environ.get("BENCH_CPUS", "8"))
+    prepared.shared_scratch(spark)
     messages = read_table(spark, sf_dir, "events").count()
     seconds, first_run = {}, {}
     for name, action in workloads(spark, sf_dir).items():
