@@ -25,7 +25,7 @@ from arenalake.llm.window_repeats import Job, Slice, without_repeats
 from arenalake.llm.words import BYTE_CODES
 
 LENGTH = 100
-GRAM = 32
+GRAM = 48
 
 
 class Bytes(Slice):
@@ -41,57 +41,32 @@ class Bytes(Slice):
         return b"".join(pieces)
 
 
-def prefix_ranks(data: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
-    """(length, ranks of the strings of that length) for 8, 16, ... up to ``depth``.
-
-    Equal strings have equal ranks; beyond the end, a string counts as filled up with zeros.
-    """
-    padded = np.append(data, np.zeros(8, np.uint8))
-    first = np.zeros(len(data), np.uint64)
-    for k in range(8):
-        first = first << np.uint64(8) | padded[k : k + len(data)]
-    levels = [(8, np.unique(first, return_inverse=True)[1].astype(np.uint64))]
-    while levels[-1][0] < depth:
-        size, ranks = levels[-1]
-        step = min(size, depth - size)
-        after = np.append(ranks[step:] + np.uint64(1), np.zeros(min(step, len(ranks)), np.uint64))
-        pairs = ranks << np.uint64(32) | after
-        levels.append((size + step, np.unique(pairs, return_inverse=True)[1].astype(np.uint64)))
-    return levels
-
-
 def longest_previous_factors(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """For each of the ascending ``places``, the longest match, at most ``depth``, with an earlier one of them.
 
-    Matches are counted as 0, 8, 16, ... and ``depth``: the levels of the ranks.
+    Suffixes are sorted by their first ``depth`` bytes; beyond the end, a suffix counts
+    as filled up with zeros.
     """
     if not len(places):
         return np.zeros(0, np.int64)
-    levels = prefix_ranks(data, depth)
-    order = np.argsort(levels[-1][1][places], kind="stable")  # suffix order; equal ones by place
-    at = places[order]
+    padded = np.append(data, np.zeros(depth, np.uint8))
+    heads = np.lib.stride_tricks.sliding_window_view(padded, depth)[places]
+    order = np.argsort(heads.view(f"S{depth}").ravel(), kind="stable")  # equal ones by place
+    at, heads = places[order], heads[order]
+    differs = heads[1:] != heads[:-1]
     common = np.zeros(len(at), np.int64)  # with the neighbour before
-    for size, ranks in levels:
-        common[1:] = np.where(ranks[at[1:]] == ranks[at[:-1]], size, common[1:])
-    best = np.zeros(len(at), np.int64)
-    for reverse in (False, True):
-        # For each suffix the nearest one before it (after it, in reverse) at a smaller place.
-        place = at[::-1] if reverse else at
-        shared = np.append(0, common[:0:-1]) if reverse else common.copy()
-        near = np.arange(len(at)) - 1
-        while True:
-            higher = near >= 0
-            higher[higher] = place[near[higher]] > place[higher]
-            if not higher.any():
-                break
-            jump = near[higher]
-            shared[higher] = np.minimum(shared[higher], shared[jump])
-            near[higher] = near[jump]
-        found = np.where(near >= 0, shared, 0)
-        best = np.maximum(best, found[::-1] if reverse else found)
-    out = np.zeros(len(at), np.int64)
-    out[order] = best
-    return out
+    common[1:] = np.where(differs.any(1), differs.argmax(1), depth)
+    # A suffix leaves the stack when the next smaller place comes; below it lies the previous
+    # smaller one. With both it shares the length kept with it and the least one since.
+    longest = dict.fromkeys(places.tolist(), 0)
+    stack: list[tuple[int, int]] = []
+    for place, shared in zip([*at.tolist(), -1], [*common.tolist(), 0], strict=True):
+        while stack and place < stack[-1][0]:
+            higher, kept = stack.pop()
+            longest[higher] = max(kept, shared)
+            shared = min(kept, shared)
+        stack.append((place, shared))
+    return np.array(list(longest.values()), np.int64)
 
 
 def _compare(length: int) -> Callable:

@@ -8,12 +8,16 @@
 3. Different super-k-mers of one smallest gram hash may still share windows. Only
    the first holder's string of each travels to the bucket of that hash, where the
    operator compares the windows themselves.
+   A hash that more than ``HOT_KINDS`` different super-k-mers share would make a hot
+   bucket: their windows go as digests of 128 bits instead, whose first holder is
+   found by a grouping that adds up before the shuffle.
 4. All removed ranges return to their documents.
 
-A bucket holds different strings only. Intermediate tables are written to the
+A bucket holds different strings only, at most ``HOT_KINDS`` of one hash. Intermediate tables are written to the
 shared folder, and every step starts from them.
 """
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,6 +32,11 @@ from arenalake.llm.windows import Sums, sliding_minimum, super_kmers, united
 from arenalake.llm.words import text_slices
 
 DONE, TEXT, RUN = 0, 1, 2
+#: Different super-k-mers of one smallest gram that one bucket takes; some 100 MB with the heads
+#: of their suffixes.
+HOT_KINDS = 20_000
+#: Texts are handled some so many bytes at a time, which keeps the arrays in the processor's cache.
+SLICE_BYTES = 1 << 18
 
 
 class Slice:
@@ -91,7 +100,7 @@ def _again(job: Job, part: Slice, starts: np.ndarray, counts: np.ndarray, least:
 
 
 def _slices(job: Job, table: pa.Table) -> Iterator[tuple[int, int, Slice]]:
-    for first, last, data, offsets in text_slices(table.column("text").combine_chunks()):
+    for first, last, data, offsets in text_slices(table.column("text").combine_chunks(), SLICE_BYTES):
         yield first, last, job.cut(data, offsets)
 
 
@@ -178,14 +187,15 @@ def without_repeats(documents: DataFrame, job: Job) -> DataFrame:
     several = kinds.groupBy("least").agg(
         F.count("*").alias("kinds"), F.max(F.col("first.again").cast("int")).alias("again")
     ).where("kinds > 1 or again = 1")
-    contested = kinds.join(several.select("least"), "least").select(
+    contested = kinds.join(several.select("least", "kinds"), "least").select(
         F.col("first.src").alias("at_src"), F.col("first.row").alias("at_row"), F.col("first.doc").alias("of_doc"),
         F.col("first.start").alias("start"), F.col("first.count").alias("count"), "least", "whole",
+        (F.col("kinds") > HOT_KINDS).alias("hot"),
     )
     buckets = max(1, documents.count() // GROUP_DOCUMENTS)
 
     def strings(key: tuple, texts: pa.Table, wanted: pa.Table) -> pa.Table:
-        """The strings that a group's documents hold first."""
+        """The strings that a group's documents hold first, or the digests of their windows."""
         by_row: dict[int, list[dict]] = {}
         for x in wanted.to_pylist():
             place = {"src": x.pop("at_src"), "row": x.pop("at_row"), "doc": x.pop("of_doc")}
@@ -196,19 +206,27 @@ def without_repeats(documents: DataFrame, job: Job) -> DataFrame:
             for k in range(last - begin):
                 low = int(part.bounds[k])
                 for x in by_row[rows[begin + k]]:
-                    end = low + x["start"] + x["count"] + job.width - 1
-                    out.append(x | {"string": part.packed(low + x["start"], end)})
+                    start = low + x["start"]
+                    if not x["hot"]:
+                        out.append(x | {"string": part.packed(start, start + x["count"] + job.width - 1)})
+                        continue
+                    for at in range(start, start + x["count"]):
+                        digest = hashlib.blake2b(part.packed(at, at + job.width), digest_size=16).digest()
+                        out.append(x | {"at": at - start, "digest": digest})
         return pa.Table.from_pylist(out, string_schema)
 
     string_schema = pa.schema(
-        [(x, pa.int64()) for x in ("src", "row", "doc", "start", "count", "least", "whole")] + [("string", pa.binary())]
+        [(x, pa.int64()) for x in ("src", "row", "doc", "start", "count", "least", "whole", "at")]
+        + [("string", pa.binary()), ("digest", pa.binary())]
     )
-    string_ddl = "src long, row long, doc long, start long, count long, least long, whole long, string binary"
-    sent = (
+    string_ddl = (
+        "src long, row long, doc long, start long, count long, least long, whole long, at long, "
+        "string binary, digest binary"
+    )
+    sent = stored(
         held.groupBy("src")
         .cogroup(contested.groupBy("at_src"))
         .applyInArrow(strings, string_ddl)
-        .withColumn("bucket", F.pmod("least", F.lit(buckets)))
     )
 
     def compare(_: tuple, table: pa.Table) -> pa.Table:
@@ -223,7 +241,20 @@ def without_repeats(documents: DataFrame, job: Job) -> DataFrame:
 
     range_names = ["src", "row", "doc", "least", "whole", "start", "low", "high"]
     ranges_schema = pa.schema([(x, pa.int64()) for x in range_names])
-    partly = sent.groupBy("bucket").applyInArrow(compare, ", ".join(f"{x} long" for x in range_names))
+    partly = (
+        sent.where("string is not null")
+        .drop("at", "digest")
+        .groupBy(F.pmod("least", F.lit(buckets)).alias("bucket"))
+        .applyInArrow(compare, ", ".join(f"{x} long" for x in range_names))
+    )
+    windows = sent.where("digest is not null")
+    place = F.struct("doc", "src", "row", (F.col("start") + F.col("at")).alias("place"))
+    holders = windows.groupBy("digest").agg(F.min(place).alias("holder"))
+    repeats = windows.join(holders, "digest").where(
+        place > F.col("holder") if job.within else F.col("doc") > F.col("holder.doc")
+    )
+    hot = repeats.select(*range_names[:-2], F.col("at").alias("low"), F.col("at").alias("high"))
+    partly = partly.unionByName(hot)
 
     together = found.join(kinds, ["least", "whole"])
     own = [F.col(x) for x in ("doc", "src", "row", "start")]

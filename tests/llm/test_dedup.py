@@ -90,6 +90,14 @@ def test_strings_as_by_brute_force(documents):
     assert rows_of(remove_repeated_strings(documents(rows))) == removed_bytes(rows)
 
 
+@pytest.mark.parametrize("kinds", [0, 1, 2])
+def test_repeats_of_hot_grams_as_by_brute_force(documents, monkeypatch, kinds):
+    monkeypatch.setattr("arenalake.llm.window_repeats.HOT_KINDS", kinds)
+    rows = list(enumerate(corpus()))
+    assert rows_of(remove_repeated_passages(documents(rows))) == removed_words(rows)
+    assert rows_of(remove_repeated_strings(documents(rows))) == removed_bytes(rows)
+
+
 def test_components_as_by_brute_force(documents):
     rows = list(enumerate(corpus()))
     found = similar(documents(rows)).collect()
@@ -152,8 +160,7 @@ def test_longest_previous_factors_by_hand():
     array = np.frombuffer(data, np.uint8)
     found = longest_previous_factors(array, np.arange(len(data)), 11)
     for i, n in enumerate(found.tolist()):
-        best = max((k for k in range(12) for j in range(i) if data[j : j + k] == data[i : i + k] and i + k <= len(data)), default=0)
-        assert n == (11 if best >= 11 else 8 if best >= 8 else 0) or i + 11 > len(data)
+        assert n == min(11, max(k for j in range(max(i, 1)) for k in range(12) if data[j : j + k] == data[i : i + k] and j < i or not k))
 
 
 def test_super_kmers_cover_every_window_once():
