@@ -15,9 +15,10 @@ asked for. Two documents with different ``l`` are held to the smaller one, on th
 prefixes that belong to it; a pair with fewer common prefix shingles is not verified.
 
 Groups of near copies do not cost their square. First each document is verified
-against one hub only, the smallest of those it shares the most prefix shingles with.
-Then only pairs of different components remain, of shingles that more than one
-component has. Equal sets are one node throughout.
+against one hub only, of those it shares the most prefix shingles with. Documents that
+this leaves apart, though they share a shingle, are verified against ``HUBS`` more hubs,
+chosen by a hash. Then only pairs of different components remain, of shingles that more
+than one component has; all of these are candidates. Equal sets are one node throughout.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the text in lower case (A-Z only). With fewer words
 than a shingle has, the sequence of all words is the one shingle. Null text, or no
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arenalake.llm.components import components
@@ -46,6 +47,10 @@ THRESHOLD = 80
 LEVELS = 4
 #: Cost of verifying a candidate, in postings.
 VERIFY = 8.0
+#: What a posting tells of its document: set, size, prefix, repeated shingles, their frequency.
+OWN = ("key", "n", "level", "shared", "weight")
+#: Hubs each document is verified against in the second round.
+HUBS = 4
 TOKEN = np.uint64((1 << 48) - 1)
 
 
@@ -90,11 +95,12 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     """
     schema = pa.schema([
         ("src", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("level", pa.int32()),
+        ("shared", pa.int64()), ("weight", pa.int64()),
         ("postings", pa.list_(pa.struct([("token", pa.int64()), ("times", pa.int64()), ("need", pa.int32())]))),
         ("tokens", pa.binary()),
     ])
     ddl = (
-        "src long, doc long, n long, key long, level int, "
+        "src long, doc long, n long, key long, level int, shared long, weight long, "
         "postings array<struct<token:long,times:long,need:int>>, tokens binary"
     )
 
@@ -122,6 +128,8 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
                 row |= {
                     "key": int(mixed(own).sum(dtype=np.uint64).view(np.int64)),
                     "level": level,
+                    "shared": int((times > 1).sum()),
+                    "weight": int(1000 * times.mean()),
                     "postings": [
                         {"token": int(own[x].view(np.int64)), "times": int(times[x]), "need": max(1, k - base + 2)}
                         for k, x in enumerate(chosen.tolist())
@@ -141,33 +149,58 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     )
     nodes = stored(alive.join(own, ["key", "doc", "src"]).dropDuplicates(["key"]))
     entries = stored(
-        nodes.select("key", "n", "level", F.explode("postings").alias("p")).select("key", "n", "level", "p.token", "p.need")
+        nodes.select(*OWN, F.explode("postings").alias("p")).select(*OWN, "p.token", "p.need")
     )
     sets = nodes.select("key", "n", "tokens")
 
-    # Each node against one hub.
-    hubs = entries.groupBy("token").agg(F.min("key").alias("hub"), F.max("key").alias("top")).where("hub <> top")
+    # Each node against one hub: the one with the most frequent shingles is nearest to all.
+    hubs = entries.groupBy("token").agg(
+        F.max(F.struct("weight", *OWN)).alias("hub"), F.min("key").alias("low"), F.max("key").alias("top")
+    )
     shared = (
-        entries.join(hubs, "token").where("key <> hub").groupBy("key", "hub").agg(F.count("*").alias("common"))
-        .groupBy("key").agg(F.max(F.struct("common", "hub")).alias("best"))
-    )
+        entries.join(hubs.where("low <> top"), "token")
+        .where(F.col("key") != F.col("hub.key"))
+        .where(can_link(F.col("hub.n"), F.col("hub.shared"), threshold))
+        .groupBy("key", F.col("hub.key").alias("hub"))
+        .agg(F.count("*").alias("common"))
+        .groupBy("key")
+        .agg(F.max(F.struct("common", "hub")).alias("best"))
+    )
     stars = verified(shared.select(F.col("key").alias("a"), F.col("best.hub").alias("b")), sets, threshold)
-    parts = components(stars)
-    part = F.coalesce("component", "key").alias("part")
-    placed = stored(
-        entries.join(parts.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "level", "token", "need", part)
+    # What is left of a family goes to other hubs, chosen anew for each number.
+    links = stars
+    spread = open_rows(entries, components(links))
+    anew = [
+        F.max(F.struct((F.pmod(F.xxhash64("key", F.lit(k)), F.lit(4)) == 0).alias("in"), "weight", *OWN, "part")).alias(f"h{k}")
+        for k in range(HUBS)
+    ]
+    choice = F.explode(F.array(*(F.struct(F.lit(k).alias("number"), F.col(f"h{k}").alias("hub")) for k in range(HUBS))))
+    tries = (
+        spread.where("part <> first")
+        .join(spread.groupBy("token").agg(*anew), "token")
+        .select(*OWN, "part", choice.alias("h"))
+        .where(F.col("part") != F.col("h.hub.part"))
+        .where(can_link(F.col("h.hub.n"), F.col("h.hub.shared"), threshold))
+        .groupBy("key", "h.number", F.col("h.hub.key").alias("hub"))
+        .agg(F.count("*").alias("common"))
+        .groupBy("key", "number")
+        .agg(F.max(F.struct("common", "hub")).alias("best"))
+        .select(F.greatest("key", "best.hub").alias("a"), F.least("key", "best.hub").alias("b"))
+        .distinct()
     )
-    mixed_tokens = placed.groupBy("token").agg(F.min("part").alias("first"), F.max("part").alias("last"))
-    open_tokens = mixed_tokens.where("first <> last").select("token", "first")
-    left = placed.join(open_tokens, "token").where("part <> first").drop("first")
-    right = placed.join(open_tokens.select("token"), "token").toDF(
-        "token", *(f"{x}2" for x in ("key", "n", "level", "need", "part"))
+    links = links.unionByName(verified(tries, sets, threshold))
+
+    # All pairs that may still link different components.
+    spread = open_rows(entries, components(links))
+    left = spread.where("part <> first").drop("first")
+    right = spread.drop("first").toDF(
+        *(x if x == "token" else f"{x}2" for x in (*OWN, "token", "need", "part"))
     )
     level = F.least("level", "level2")
     pairs = (
         left.join(right, "token")
         .where("part <> part2")
-        .where((F.col("n2") * 100 >= F.col("n") * threshold) & (F.col("n") * 100 >= F.col("n2") * threshold))
+        .where(can_link(F.col("n2"), F.col("shared2"), threshold))
         .where((F.col("need") <= level) & (F.col("need2") <= level))
         .groupBy(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"))
         # A pair of two nodes outside the token's first component comes in both orders.
@@ -175,7 +208,7 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
         .where("common >= level")
         .select("a", "b")
     )
-    links = stars.unionByName(verified(pairs, sets, threshold))
+    links = links.unionByName(verified(pairs, sets, threshold))
     found = components(links).withColumnRenamed("node", "key")
     groups = (
         classes.join(found, "key", "left")
@@ -199,6 +232,27 @@ def _tokens(packed: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def can_link(n: Column, shared: Column, threshold: int) -> Column:
+    """Whether the row's set can be similar to one of ``n`` shingles, ``shared`` of which occur elsewhere.
+
+    Similar sets have ``t / (1 + t)`` of their summed sizes in common, which neither can
+    hold without as many repeated shingles.
+    """
+    common = F.least("shared", shared) * (100 + threshold) >= (F.col("n") + n) * threshold
+    return common & (n * 100 >= F.col("n") * threshold) & (F.col("n") * 100 >= n * threshold)
+
+
+def open_rows(entries: DataFrame, parts: DataFrame) -> DataFrame:
+    """The postings of tokens that more than one component has, with the row's and the token's first component."""
+    part = F.coalesce("component", "key").alias("part")
+    placed = entries.join(parts.withColumnRenamed("node", "key"), "key", "left").select(
+        *OWN, "token", "need", part
+    )
+    tokens = placed.groupBy("token").agg(F.min("part").alias("first"), F.max("part").alias("last"))
+    spread = placed.join(tokens.where("first <> last").drop("last"), "token")
+    return stored(spread.select(*OWN, "token", "need", "part", "first"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by their whole sets."""
 
