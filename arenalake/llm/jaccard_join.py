@@ -18,7 +18,8 @@ Groups of near copies do not cost their square. First each document is verified
 against one hub only, of those it shares the most prefix shingles with. Documents that
 this leaves apart, though they share a shingle, are verified against ``HUBS`` more hubs,
 chosen by a hash. Then only pairs of different components remain, of shingles that more
-than one component has; all of these are candidates. Equal sets are one node throughout.
+than one component has; all of these are candidates, but for those that cannot reach the
+threshold with the places at which their prefixes meet. Equal sets are one node throughout.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the text in lower case (A-Z only). With fewer words
 than a shingle has, the sequence of all words is the one shingle. Null text, or no
@@ -96,12 +97,12 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     schema = pa.schema([
         ("src", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("level", pa.int32()),
         ("shared", pa.int64()), ("weight", pa.int64()),
-        ("postings", pa.list_(pa.struct([("token", pa.int64()), ("times", pa.int64()), ("need", pa.int32())]))),
+        ("postings", pa.list_(pa.struct([("token", pa.int64()), ("place", pa.int32()), ("need", pa.int32())]))),
         ("tokens", pa.binary()),
     ])
     ddl = (
         "src long, doc long, n long, key long, level int, shared long, weight long, "
-        "postings array<struct<token:long,times:long,need:int>>, tokens binary"
+        "postings array<struct<token:long,place:int,need:int>>, tokens binary"
     )
 
     def keys_of(table: pa.Table) -> np.ndarray:
@@ -131,7 +132,7 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
                     "shared": int((times > 1).sum()),
                     "weight": int(1000 * times.mean()),
                     "postings": [
-                        {"token": int(own[x].view(np.int64)), "times": int(times[x]), "need": max(1, k - base + 2)}
+                        {"token": int(own[x].view(np.int64)), "place": k + 1, "need": max(1, k - base + 2)}
                         for k, x in enumerate(chosen.tolist())
                         if times[x] > 1
                     ],
@@ -149,7 +150,7 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     )
     nodes = stored(alive.join(own, ["key", "doc", "src"]).dropDuplicates(["key"]))
     entries = stored(
-        nodes.select(*OWN, F.explode("postings").alias("p")).select(*OWN, "p.token", "p.need")
+        nodes.select(*OWN, F.explode("postings").alias("p")).select(*OWN, "p.token", "p.place", "p.need")
     )
     sets = nodes.select("key", "n", "tokens")
 
@@ -194,20 +195,37 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
     spread = open_rows(entries, components(links))
     left = spread.where("part <> first").drop("first")
     right = spread.drop("first").toDF(
-        *(x if x == "token" else f"{x}2" for x in (*OWN, "token", "need", "part"))
+        *(x if x == "token" else f"{x}2" for x in (*OWN, "token", "place", "need", "part"))
     )
     level = F.least("level", "level2")
+    first_is_a = F.col("key") > F.col("key2")
+
+    def of_a(name: str) -> Column:
+        return F.when(first_is_a, F.col(name)).otherwise(F.col(f"{name}2"))
+
+    def of_b(name: str) -> Column:
+        return F.when(first_is_a, F.col(f"{name}2")).otherwise(F.col(name))
+
+    # All common shingles up to one of them stand before it in both orders, the others after it.
+    before, after = F.least("place", "place2"), F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    enough = (before + after) * (100 + threshold) >= (F.col("n") + F.col("n2")) * threshold
+    rest = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b"))
     pairs = (
         left.join(right, "token")
         .where("part <> part2")
-        .where(can_link(F.col("n2"), F.col("shared2"), threshold))
+        .where(can_link(F.col("n2"), F.col("shared2"), threshold) & enough)
         .where((F.col("need") <= level) & (F.col("need2") <= level))
         .groupBy(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"))
         # A pair of two nodes outside the token's first component comes in both orders.
-        .agg(F.count_distinct("token").alias("common"), F.min(level).alias("level"))
+        .agg(
+            F.count_distinct("token").alias("common"), F.min(level).alias("level"),
+            F.max(of_a("n")).alias("n_a"), F.max(of_b("n")).alias("n_b"),
+            F.max(of_a("place")).alias("last_a"), F.max(of_b("place")).alias("last_b"),
+        )
         .where("common >= level")
+        .where((F.col("common") + rest) * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold)
         .select("a", "b")
-    )
+    )
     links = links.unionByName(verified(pairs, sets, threshold))
     found = components(links).withColumnRenamed("node", "key")
     groups = (
@@ -246,11 +264,11 @@ def open_rows(entries: DataFrame, parts: DataFrame) -> DataFrame:
     """The postings of tokens that more than one component has, with the row's and the token's first component."""
     part = F.coalesce("component", "key").alias("part")
     placed = entries.join(parts.withColumnRenamed("node", "key"), "key", "left").select(
-        *OWN, "token", "need", part
+        *OWN, "token", "place", "need", part
     )
     tokens = placed.groupBy("token").agg(F.min("part").alias("first"), F.max("part").alias("last"))
     spread = placed.join(tokens.where("first <> last").drop("last"), "token")
-    return stored(spread.select(*OWN, "token", "need", "part", "first"))
+    return stored(spread.select(*OWN, "token", "place", "need", "part", "first"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
