@@ -7,7 +7,13 @@ lower one, those at the beginning of a sentence included) become the placeholder
 their hash, so a question is found again after its numbers, units and names were
 changed.
 
-Then the slots are checked. Windows of one document and item with the same distance
+Capitals decide what is a name, so a text in other case has other template tokens. With
+``any_case`` each text has a second template as well, in which words are lower-cased and
+only numbers and units are slots; the windows of both kinds are kept apart, and an item is
+reported if those of either kind reach the share (the figures are those of the first kind
+if it does). The query and ``decontaminated`` ask for both.
+
+Then the slots are checked. Windows of one document, item and kind with the same distance
 between both places form a run; in a run each value of the item's slots must stand
 for one value of the document. Runs that are not consistent do not count. An item is
 reported if the consistent runs hold at least half of its windows.
@@ -30,6 +36,8 @@ LEAST_SHARE = 0.5
 BROADCAST_WINDOWS = 500_000
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 SLOTS = (NUM, NAME, UNIT)
+#: Kinds of template: with names as slots, and without regard to case.
+NAMED, ANY_CASE = 0, 1
 #: A word, and the decimal places of a number.
 WORD = r"[^\x00-/:-@\[-`{-\x7f]+(?:[.,][0-9]+)*"
 #: Fixed: units of measure.
@@ -68,6 +76,28 @@ def with_templates(rows: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _case_free(values: Column, value: Column, at: Column) -> Column:
+    """The template token of one lower-cased word, where names are no slots."""
+    before = F.get(values, at - 1)
+    number_before = F.coalesce((before >= "0") & (before < ":"), F.lit(False))
+    return (
+        F.when(value < ":", F.lit(NUM)).when(value.isin(UNITS) & number_before, F.lit(UNIT)).otherwise(value)
+    )
+
+
+def with_kinds(rows: DataFrame, any_case: bool) -> DataFrame:
+    """The rows of ``with_templates`` with their ``kind``; with ``any_case`` one more row for each of them."""
+    if not any_case:
+        return rows.withColumn("kind", F.lit(NAMED))
+    kept = [x for x in rows.columns if x != "tokens"]
+    other = F.transform("values", lambda x, at: _case_free(F.col("values"), x, at))
+    kinds = F.array(
+        F.struct(F.lit(NAMED).alias("kind"), F.col("tokens").alias("tokens")),
+        F.struct(F.lit(ANY_CASE).alias("kind"), other.alias("tokens")),
+    )
+    return rows.select(*kept, F.inline_outer(kinds))
+
+
 def with_windows(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     """``windows``: a hash of each ``size`` (a power of two) consecutive tokens, from those of half as many."""
     rows, have = rows.withColumn("windows", F.transform("tokens", lambda x: F.xxhash64(x))), 1
@@ -79,57 +109,65 @@ def with_windows(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows
 
 
-def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item_tokens, item_values`` of the items with at least one window."""
+def benchmark_items(benchmark: DataFrame, any_case: bool = False) -> DataFrame:
+    """``item_id, kind, item_tokens, item_values`` of the items with at least one window."""
     rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     return (
-        with_templates(rows)
+        with_kinds(with_templates(rows), any_case)
         .where(F.size("tokens") >= WINDOW)
         .withColumnsRenamed({"tokens": "item_tokens", "values": "item_values"})
     )
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """``window, item_id, item_at, item_windows``: all windows with enough literal words."""
-    rows = with_windows(items.select("item_id", F.col("item_tokens").alias("tokens"))).select(
-        "item_id", "tokens", F.posexplode_outer("windows").alias("item_at", "window")
+    """``window, item_id, kind, item_at, item_windows``: all windows with enough literal words."""
+    rows = with_windows(items.select("item_id", "kind", F.col("item_tokens").alias("tokens"))).select(
+        "item_id", "kind", "tokens", F.posexplode_outer("windows").alias("item_at", "window")
     )
     slots = F.size(F.filter(F.slice("tokens", F.col("item_at") + 1, F.lit(WINDOW)), lambda x: x.isin(*SLOTS)))
-    rows = rows.where(slots <= MOST_SLOTS).select("window", "item_id", "item_at")
-    counts = rows.groupBy("item_id").agg(F.count_distinct("item_at").alias("item_windows"))
-    return rows.join(counts, "item_id")
+    rows = rows.where(slots <= MOST_SLOTS).select(_of_kind().alias("window"), "item_id", "kind", "item_at")
+    counts = rows.groupBy("item_id", "kind").agg(F.count_distinct("item_at").alias("item_windows"))
+    return rows.join(counts, ["item_id", "kind"])
+
+
+def _of_kind() -> Column:
+    """The hash of a window, another one for each kind."""
+    return F.xxhash64("kind", "window")
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+def contaminated(
+    documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE, any_case: bool = False
+) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, n_slots, n_changed``: a row for each item found in a document.
 
     ``n_slots`` counts the slots in consistent runs, ``n_changed`` those whose value
     differs from the item's.
     """
-    items = benchmark_items(benchmark)
+    items = benchmark_items(benchmark, any_case)
     wanted = item_windows(items)
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
     source = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hits = (
-        with_windows(with_templates(source).select("doc_id", "tokens"))
+        with_windows(with_kinds(with_templates(source), any_case).select("doc_id", "kind", "tokens"))
                 # The inner form adds a test of the array's size, which would compute the array once more.
-        .select("doc_id", F.posexplode_outer("windows").alias("at", "window"))
+        .select("doc_id", "kind", F.posexplode_outer("windows").alias("at", "window"))
+        .select("doc_id", "at", _of_kind().alias("window"))
         .join(wanted, "window")
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
+        .select("doc_id", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
     )
-    runs = hits.groupBy("doc_id", "item_id", "shift", "item_windows").agg(
+    runs = hits.groupBy("doc_id", "item_id", "kind", "shift", "item_windows").agg(
         F.array_sort(F.collect_set("item_at")).alias("places")
     )
     # Items of which too few windows occur at all go no further.
     found = (
-        runs.groupBy("doc_id", "item_id")
+        runs.groupBy("doc_id", "item_id", "kind")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max("item_windows").alias("of"))
         .where(F.col("n") >= F.col("of") * least_share)
-        .select("doc_id", "item_id")
+        .select("doc_id", "item_id", "kind")
     )
-    runs = runs.join(found, ["doc_id", "item_id"])
-    texts = with_templates(source.join(found.select("doc_id").distinct(), "doc_id"))
+    runs = runs.join(found, ["doc_id", "item_id", "kind"])
+    texts = with_kinds(with_templates(source.join(found.select("doc_id").distinct(), "doc_id")), any_case)
     inside = F.filter(
         F.sequence(F.lit(0), F.size("item_tokens") - 1),
         lambda i: F.get("item_tokens", i).isin(*SLOTS)
@@ -141,14 +179,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least_share: float
         lambda i: F.struct(F.get("item_values", i).alias("own"), F.get("values", i + F.col("shift")).alias("other")),
     )
     checked = (
-        runs.join(texts, "doc_id")
-        .join(items, "item_id")
-        .select("doc_id", "item_id", "shift", "item_windows", "places", pairs.alias("pairs"))
+        runs.join(texts, ["doc_id", "kind"])
+        .join(items, ["item_id", "kind"])
+        .select("doc_id", "item_id", "kind", "shift", "item_windows", "places", pairs.alias("pairs"))
         .where(F.size(F.array_distinct("pairs")) == F.size(F.array_distinct(F.col("pairs.own"))))
     )
     changed = F.size(F.filter("pairs", lambda x: x["own"] != x["other"]))
+    figures = ["n_windows", "item_windows", "n_slots", "n_changed"]
     return (
-        checked.groupBy("doc_id", "item_id")
+        checked.groupBy("doc_id", "item_id", "kind")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
             F.max("item_windows").alias("item_windows"),
@@ -156,10 +195,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least_share: float
             F.sum(changed).alias("n_changed"),
         )
         .where(F.col("n_windows") >= F.col("item_windows") * least_share)
+        .groupBy("doc_id", "item_id")
+        .agg(F.min_by(F.struct(*figures), "kind").alias("best"))
+        .select("doc_id", "item_id", *(f"best.{x}" for x in figures))
     )
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All rows and columns of ``documents`` but those with a benchmark item; rows without an id stay."""
-    found = contaminated(documents, benchmark).select(F.col("doc_id").alias("found_id")).distinct()
+    found = contaminated(documents, benchmark, any_case=True).select(F.col("doc_id").alias("found_id")).distinct()
     return documents.join(found, documents["doc_id"].cast("long") == found["found_id"], "left_anti")

@@ -314,3 +314,12 @@ def test_windows_beyond_the_broadcast_bound(session, documents, monkeypatch):
     within = found_in(session, documents, texts)
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert found_in(session, documents, texts) == within == {(0, 1): (True, False)}
+
+
+def test_copies_in_other_case_are_found(session, documents):
+    before = words(3, 30, ["xa", "yo", "zu"])
+    cases = [QUESTION, QUESTION.upper(), QUESTION.lower(), QUESTION.title()]
+    docs = documents([*(f"{before} {x} {before}" for x in cases), QUESTION.upper().replace("120 KM", "99 MI"), before])
+    found = contaminated(docs, items(session), any_case=True).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_changed > 0) for r in found) == [*((k, 1, False) for k in range(4)), (4, 1, True)]
+    assert [r.doc_id for r in decontaminated(docs, items(session)).collect()] == [5]
