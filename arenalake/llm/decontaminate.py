@@ -15,8 +15,12 @@ if it does). The query and ``decontaminated`` ask for both.
 
 Then the slots are checked. Windows of one document, item and kind with the same distance
 between both places form a run; in a run each value of the item's slots must stand
-for one value of the document. Runs that are not consistent do not count. An item is
-reported if the consistent runs hold at least half of its windows.
+for one value of the document. Runs that are not consistent do not count, or, with
+``partly``, count without the windows that cover a slot which disagrees: each value of
+the item stands for its most frequent counterpart in the run (at equal numbers for
+itself, then for the greatest string), and the other slots of that value disagree. The
+query and ``decontaminated`` use ``partly``. An item is reported if the windows that
+count are at least half of its windows.
 
 Words consist of digits, letters A-Z and all characters beyond ASCII; a point or
 comma before a digit belongs to the number. Windows of which more than four tokens are placeholders match too much and are left out, on both sides alike, by leaving them
@@ -136,11 +140,15 @@ def _of_kind() -> Column:
 
 
 def contaminated(
-    documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE, any_case: bool = False
+    documents: DataFrame,
+    benchmark: DataFrame,
+    least_share: float = LEAST_SHARE,
+    any_case: bool = False,
+    partly: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, n_slots, n_changed``: a row for each item found in a document.
 
-    ``n_slots`` counts the slots in consistent runs, ``n_changed`` those whose value
+    ``n_slots`` counts the slots in the windows that count, ``n_changed`` those whose value
     differs from the item's.
     """
     items = benchmark_items(benchmark, any_case)
@@ -176,23 +184,51 @@ def contaminated(
     )
     pairs = F.transform(
         inside,
-        lambda i: F.struct(F.get("item_values", i).alias("own"), F.get("values", i + F.col("shift")).alias("other")),
+        lambda i: F.struct(
+            i.alias("slot"),
+            F.get("item_values", i).alias("own"),
+            F.get("values", i + F.col("shift")).alias("other"),
+        ),
     )
-    checked = (
-        runs.join(texts, ["doc_id", "kind"])
+    # Rows with equal ids and other texts are checked apart.
+    run = ["doc_id", "item_id", "kind", "shift", "item_windows", "copy"]
+    votes = (
+        runs.join(texts.withColumn("copy", F.xxhash64("values")), ["doc_id", "kind"])
         .join(items, ["item_id", "kind"])
-        .select("doc_id", "item_id", "kind", "shift", "item_windows", "places", pairs.alias("pairs"))
-        .where(F.size(F.array_distinct("pairs")) == F.size(F.array_distinct(F.col("pairs.own"))))
+        .select(*run, "places", pairs.alias("pairs"))
+        .select(*run, "places", F.inline_outer("pairs"))
+        .groupBy(*run, "own", "other")
+        .agg(F.first("places").alias("places"), F.collect_list("slot").alias("slots"))
     )
-    changed = F.size(F.filter("pairs", lambda x: x["own"] != x["other"]))
+    vote = F.struct(F.size("slots").alias("n"), (F.col("own") == F.col("other")).alias("same"), "other", "slots")
+    checked = (
+        votes.groupBy(*run, "own")
+        .agg(F.first("places").alias("places"), F.max(vote).alias("most"), F.flatten(F.collect_list("slots")).alias("all"))
+        .groupBy(*run)
+        .agg(
+            F.first("places").alias("places"),
+            F.flatten(F.collect_list("most.slots")).alias("good"),
+            F.flatten(F.collect_list(F.when(~F.col("most.same"), F.col("most.slots")))).alias("changed"),
+            F.flatten(F.collect_list(F.array_except("all", "most.slots"))).alias("bad"),
+        )
+    )
+    if partly:
+        left = F.filter("places", lambda p: ~F.exists("bad", lambda i: (p <= i) & (i < p + WINDOW)))
+        checked = checked.withColumn("places", left)
+    else:
+        checked = checked.where(F.size("bad") == 0)
+
+    def covered(slots: str) -> Column:
+        return F.size(F.filter(slots, lambda i: F.exists("places", lambda p: (p <= i) & (i < p + WINDOW))))
+
     figures = ["n_windows", "item_windows", "n_slots", "n_changed"]
     return (
         checked.groupBy("doc_id", "item_id", "kind")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
             F.max("item_windows").alias("item_windows"),
-            F.sum(F.size("pairs")).alias("n_slots"),
-            F.sum(changed).alias("n_changed"),
+            F.sum(covered("good")).alias("n_slots"),
+            F.sum(covered("changed")).alias("n_changed"),
         )
         .where(F.col("n_windows") >= F.col("item_windows") * least_share)
         .groupBy("doc_id", "item_id")
@@ -203,5 +239,6 @@ def contaminated(
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All rows and columns of ``documents`` but those with a benchmark item; rows without an id stay."""
-    found = contaminated(documents, benchmark, any_case=True).select(F.col("doc_id").alias("found_id")).distinct()
+    found = contaminated(documents, benchmark, any_case=True, partly=True)
+    found = found.select(F.col("doc_id").alias("found_id")).distinct()
     return documents.join(found, documents["doc_id"].cast("long") == found["found_id"], "left_anti")

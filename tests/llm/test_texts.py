@@ -323,3 +323,15 @@ def test_copies_in_other_case_are_found(session, documents):
     found = contaminated(docs, items(session), any_case=True).collect()
     assert sorted((r.doc_id, r.item_id, r.n_changed > 0) for r in found) == [*((k, 1, False) for k in range(4)), (4, 1, True)]
     assert [r.doc_id for r in decontaminated(docs, items(session)).collect()] == [5]
+
+
+def test_one_clashing_slot_drops_only_its_windows(session, documents):
+    sums = "add 3 to the number of red boxes on the left hand shelf of the old shop and then take away 3 again"
+    apart = sums.replace("3", "4", 1).replace("3", "7")
+    edited = QUESTION.replace("Alice", "Carol", 1)
+    half = QUESTION.replace("of Bob", "of a").replace("runs", "goes")
+    docs = documents([edited, apart, half])
+    found = contaminated(docs, items(session, [(1, QUESTION), (2, sums)]), partly=True).collect()
+    # A slot that disagrees at place 3 of 23 tokens is covered by four of 16 windows.
+    assert {(r.doc_id, r.item_id): (r.n_windows, r.item_windows) for r in found} == {(0, 1): (12, 16), (1, 2): (14, 16)}
+    assert [r.doc_id for r in decontaminated(docs, items(session, [(1, QUESTION), (2, sums)])).collect()] == [2]
