@@ -24,8 +24,10 @@ count are at least half of its windows.
 
 Words consist of digits, letters A-Z and all characters beyond ASCII; a point or
 comma before a digit belongs to the number. Windows of which more than four tokens are placeholders match too much and are left out, on both sides alike, by leaving them
-out of the benchmark. Items with fewer than eight tokens have no window and are not
-searched for. Null texts hold nothing; rows without an id are not searched, as there is
+out of the benchmark. Items without any other window (fewer than eight words, lists of
+figures) are searched for as they are, in any case: by their lower-cased words, or by
+windows of eight of these where there are more. An item of one word is thus found in
+every document that holds the word. Items without a word are not searched for. Null texts hold nothing; rows without an id are not searched, as there is
 no id to report. Rows with equal ids are searched together. Empty tables give no row.
 Other columns are ignored.
 """
@@ -40,8 +42,8 @@ LEAST_SHARE = 0.5
 BROADCAST_WINDOWS = 500_000
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 SLOTS = (NUM, NAME, UNIT)
-#: Kinds of template: with names as slots, and without regard to case.
-NAMED, ANY_CASE = 0, 1
+#: Kinds of template: with names as slots, without regard to case, and without slots for items that have no other window.
+NAMED, ANY_CASE, LITERAL = 0, 1, 2
 #: A word, and the decimal places of a number.
 WORD = r"[^\x00-/:-@\[-`{-\x7f]+(?:[.,][0-9]+)*"
 #: Fixed: units of measure.
@@ -113,23 +115,67 @@ def with_windows(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows
 
 
+def _usable(tokens: Column, at: Column) -> Column:
+    """Whether the window at a place has enough literal words."""
+    return F.size(F.filter(F.slice(tokens, at + 1, F.lit(WINDOW)), lambda x: x.isin(*SLOTS))) <= MOST_SLOTS
+
+
 def benchmark_items(benchmark: DataFrame, any_case: bool = False) -> DataFrame:
-    """``item_id, kind, item_tokens, item_values`` of the items with at least one window."""
+    """``item_id, kind, item_tokens, item_values`` of the items with at least one window of the kind.
+
+    An item without a usable window of any kind is there once, as ``LITERAL``.
+    """
     rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    some = F.when(
+        F.size("tokens") >= WINDOW,
+        F.exists(F.sequence(F.lit(0), F.size("tokens") - WINDOW), lambda at: _usable(F.col("tokens"), at)),
+    ).otherwise(F.lit(False))
+    rows = with_kinds(with_templates(rows), any_case).withColumn("some", some)
+    literal = (
+        rows.where(F.size("values") > 0)
+        .groupBy("item_id", "values")
+        .agg(F.max("some").alias("some"))
+        .where(~F.col("some"))
+        .select("item_id", F.lit(LITERAL).alias("kind"), F.col("values").alias("tokens"), "values")
+    )
     return (
-        with_kinds(with_templates(rows), any_case)
-        .where(F.size("tokens") >= WINDOW)
+        rows.where("some")
+        .select("item_id", "kind", "tokens", "values")
+        .unionByName(literal)
         .withColumnsRenamed({"tokens": "item_tokens", "values": "item_values"})
     )
 
 
+def _literal_windows(size: Column) -> Column:
+    """A hash of each ``size`` consecutive ``values``, with its place."""
+    return F.when(
+        F.size("values") >= size,
+        F.transform(
+            F.sequence(F.lit(0), F.size("values") - size),
+            lambda at: F.struct(at.alias("at"), F.xxhash64(F.slice("values", at + 1, size)).alias("window")),
+        ),
+    ).otherwise(F.array().cast("array<struct<at:int,window:bigint>>"))
+
+
+def literal_windows(items: DataFrame) -> DataFrame:
+    """``size, window, item_id, kind, item_at, item_windows`` of the items without another window."""
+    size = F.least(F.size("values"), F.lit(WINDOW))
+    return (
+        items.where(F.col("kind") == LITERAL)
+        .select("item_id", "kind", F.col("item_values").alias("values"))
+        .select("item_id", "kind", size.alias("size"), _literal_windows(size).alias("all"))
+        .select("item_id", "kind", "size", F.size("all").cast("long").alias("item_windows"), F.inline("all"))
+        .withColumnRenamed("at", "item_at")
+    )
+
+
 def item_windows(items: DataFrame) -> DataFrame:
     """``window, item_id, kind, item_at, item_windows``: all windows with enough literal words."""
+    items = items.where(F.col("kind") != LITERAL)
     rows = with_windows(items.select("item_id", "kind", F.col("item_tokens").alias("tokens"))).select(
         "item_id", "kind", "tokens", F.posexplode_outer("windows").alias("item_at", "window")
     )
-    slots = F.size(F.filter(F.slice("tokens", F.col("item_at") + 1, F.lit(WINDOW)), lambda x: x.isin(*SLOTS)))
-    rows = rows.where(slots <= MOST_SLOTS).select(_of_kind().alias("window"), "item_id", "kind", "item_at")
+    rows = rows.where(_usable(F.col("tokens"), F.col("item_at"))).select(_of_kind().alias("window"), "item_id", "kind", "item_at")
     counts = rows.groupBy("item_id", "kind").agg(F.count_distinct("item_at").alias("item_windows"))
     return rows.join(counts, ["item_id", "kind"])
 
@@ -164,6 +210,18 @@ def contaminated(
         .join(wanted, "window")
         .select("doc_id", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
     )
+    literal = literal_windows(items)
+    # At most eight different lengths.
+    sizes = sorted(row["size"] for row in literal.select("size").distinct().collect())
+    if sizes:
+        every = F.concat(*(_literal_windows(F.lit(size)) for size in sizes))
+        literal_hits = (
+            with_templates(source)
+            .select("doc_id", F.inline_outer(every))
+            .join(literal.drop("size"), "window")
+            .select("doc_id", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
+        )
+        hits = hits.unionByName(literal_hits)
     runs = hits.groupBy("doc_id", "item_id", "kind", "shift", "item_windows").agg(
         F.array_sort(F.collect_set("item_at")).alias("places")
     )
@@ -175,7 +233,11 @@ def contaminated(
         .select("doc_id", "item_id", "kind")
     )
     runs = runs.join(found, ["doc_id", "item_id", "kind"])
-    texts = with_kinds(with_templates(source.join(found.select("doc_id").distinct(), "doc_id")), any_case)
+    texts = with_templates(source.join(found.select("doc_id").distinct(), "doc_id"))
+    texts = with_kinds(texts, any_case)
+    if sizes:
+        plain = texts.where(F.col("kind") == NAMED).withColumn("kind", F.lit(LITERAL))
+        texts = texts.unionByName(plain.withColumn("tokens", F.col("values")))
     inside = F.filter(
         F.sequence(F.lit(0), F.size("item_tokens") - 1),
         lambda i: F.get("item_tokens", i).isin(*SLOTS)

@@ -335,3 +335,17 @@ def test_one_clashing_slot_drops_only_its_windows(session, documents):
     # A slot that disagrees at place 3 of 23 tokens is covered by four of 16 windows.
     assert {(r.doc_id, r.item_id): (r.n_windows, r.item_windows) for r in found} == {(0, 1): (12, 16), (1, 2): (14, 16)}
     assert [r.doc_id for r in decontaminated(docs, items(session, [(1, QUESTION), (2, sums)])).collect()] == [2]
+
+
+def test_items_without_a_window_are_found_as_they_are(session, documents):
+    figures = " ".join(str(7 * k) for k in range(20))
+    bench = items(session, [(1, "Capital of Peru?"), (2, figures), (3, "!"), (4, None), (5, QUESTION)])
+    before = words(3, 30, ["xa", "yo", "zu"])
+    docs = documents([
+        f"{before} the CAPITAL of Peru is {before}", f"{before} {figures} {before}", f"capital {before} of Peru",
+        before, " ".join(figures.split()[:9]), QUESTION, "of", "",
+    ])
+    for more in ({}, {"any_case": True, "partly": True}):
+        found = contaminated(docs, bench, **more).collect()
+        assert {(r.doc_id, r.item_id): r.n_windows for r in found} == {(0, 1): 1, (1, 2): 13, (5, 5): 16}
+    assert sorted(r.doc_id for r in decontaminated(docs, bench).collect()) == [2, 3, 4, 6, 7]
