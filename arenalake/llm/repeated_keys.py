@@ -6,24 +6,32 @@ range of the key. A bucket adds up the counts and answers every group with those
 its keys that occur at least twice in all. A key travels at most once for each group,
 whatever the number of its occurrences, so a frequent key is no hot spot.
 
+The numbers of groups and buckets follow the number of documents and the bytes of their
+texts: a group has some 512 documents and some 8 MB. A text is never divided, so a
+longer one is a group of its own size. Equal rows (the same id, or none, and the
+same text) are dealt out by a stored row number.
+
 Keys are shortened to a number of bits that grows with the table, some 22 bits more
-than the number of documents needs. Two keys that share these bits are taken
+than the number of documents (of 16 KB, if they are longer) needs. Two keys that share these bits are taken
 for repeated. So the answer may name a few keys too many, never one too few; what
 follows must compare in full.
 """
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenalake.llm.store import texts
+from arenalake.llm.store import stored, texts
 
 GROUP_DOCUMENTS = 512
 BUCKET_DOCUMENTS = 2048
+#: A table counts as at least so many documents as its texts have multiples of this.
+DOCUMENT_BYTES = 16_384
 NO_ID = -(1 << 63)
 BLOB = "bucket long, src long, n long, keys binary, counts binary"
 
@@ -70,14 +78,39 @@ class Repeated:
         return np.where(self.keys[at] == short, self.counts[at], 1)
 
 
-def grouped(documents: DataFrame) -> tuple[DataFrame, int]:
-    """``src, doc, text`` and the number of documents; ``doc`` is the id, a null one comes before all."""
-    rows = texts(documents)
-    n = documents.count()
-    groups = max(1, n // GROUP_DOCUMENTS)
+@dataclass(frozen=True)
+class Extent:
+    """The size of a table in documents, long texts counted as several, and whether rows are equal."""
+
+    documents: int
+    equal_rows: bool
+
+    @property
+    def groups(self) -> int:
+        return max(1, self.documents // GROUP_DOCUMENTS)
+
+
+def extent(documents: DataFrame) -> Extent:
+    row = texts(documents).agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"),
+        F.count_distinct(F.xxhash64("doc_id", "text")).alias("different"),
+    ).first()
+    return Extent(max(row["n"], -(-row["size"] // DOCUMENT_BYTES)), row["different"] < row["n"])
+
+
+def grouped(documents: DataFrame, of: Extent) -> DataFrame:
+    """``src, doc, text``; ``doc`` is the id, a null one comes before all."""
+    rows = texts(documents).withColumn("dealt", F.xxhash64("doc_id", "text"))
+    if of.equal_rows and of.groups > 1:
+        equal = stored(rows.groupBy("dealt").count().where("count > 1").select("dealt"))
+        # Stored, so that a task that runs again gives a row the same number.
+        numbered = stored(rows.join(equal, "dealt", "left_semi").withColumn("number", F.monotonically_increasing_id()))
+        numbered = numbered.select("doc_id", "text", F.xxhash64("dealt", "number").alias("dealt"))
+        rows = rows.join(equal, "dealt", "left_anti").unionByName(numbered)
     doc = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
-    src = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("src")
-    return rows.select(src, doc, "text"), n
+    src = F.pmod(F.col("dealt"), F.lit(of.groups)).cast("long").alias("src")
+    return rows.select(src, doc, "text")
 
 
 def with_repeated(
@@ -85,13 +118,15 @@ def with_repeated(
     keys_of: Callable[[pa.Table], np.ndarray],
     result_of: Callable[[pa.Table, Repeated], pa.Table],
     schema: str,
+    of: Extent | None = None,
 ) -> DataFrame:
     """``result_of(group, repeated keys)`` for every group of documents.
 
     ``keys_of`` gives the keys of a group, one for every occurrence that counts.
     The documents are dealt out once; both steps read the same exchange.
     """
-    rows, n = grouped(documents)
+    of = of or extent(documents)
+    rows, n = grouped(documents, of), of.documents
     bits = min(64, math.ceil(math.log2(n + 2)) + 22)
     bucket_bits = min(bits, max(0, math.ceil(math.log2(max(1, n / BUCKET_DOCUMENTS)))))
     down, place = np.uint64(64 - bits), np.uint64(bits - bucket_bits)

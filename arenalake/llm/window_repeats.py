@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenalake.llm.repeated_keys import GROUP_DOCUMENTS, NO_ID, Repeated, with_repeated
+from arenalake.llm.repeated_keys import NO_ID, Repeated, extent, with_repeated
 from arenalake.llm.store import stored
 from arenalake.llm.windows import Sums, sliding_minimum, super_kmers, united
 from arenalake.llm.words import text_slices
@@ -177,7 +177,8 @@ def without_repeats(documents: DataFrame, job: Job) -> DataFrame:
             )
         return pa.concat_tables([pa.Table.from_pylist(out, first_schema), *batches])
 
-    first = stored(with_repeated(documents, keys_of, first_step, first_ddl))
+    of = extent(documents)
+    first = stored(with_repeated(documents, keys_of, first_step, first_ddl, of))
     found = first.where(F.col("kind") == RUN).select("src", "row", "doc", *numbers, "again")
     held = first.where(F.col("kind") == TEXT).select("src", "row", "doc", "text")
     holder = F.struct("doc", "src", "row", "start", "count", "again")
@@ -192,7 +193,7 @@ def without_repeats(documents: DataFrame, job: Job) -> DataFrame:
         F.col("first.start").alias("start"), F.col("first.count").alias("count"), "least", "whole",
         (F.col("kinds") > HOT_KINDS).alias("hot"),
     )
-    buckets = max(1, documents.count() // GROUP_DOCUMENTS)
+    buckets = of.groups
 
     def strings(key: tuple, texts: pa.Table, wanted: pa.Table) -> pa.Table:
         """The strings that a group's documents hold first, or the digests of their windows."""

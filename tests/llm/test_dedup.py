@@ -5,7 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from arenalake.llm import repeated_keys
 from arenalake.llm.components import components
 from arenalake.llm.jaccard_join import needed, prefix, similar
 from arenalake.llm.substring_dedup import remove_repeated_passages
@@ -183,3 +185,29 @@ def test_components_of_a_long_chain(session):
 def test_digest_is_of_what_stays(documents):
     kept = remove_repeated_strings(documents(["abc"]), kept=lambda b: hashlib.sha256(b).hexdigest(), kept_type="string")
     assert kept.first().kept == hashlib.sha256(b"abc").hexdigest()
+
+
+def test_groups_follow_bytes_and_part_equal_rows(session, documents, monkeypatch):
+    long = session.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), 100_000).alias("text"))
+    assert repeated_keys.grouped(long, repeated_keys.extent(long)).select("src").distinct().count() > 1
+    monkeypatch.setattr(repeated_keys, "GROUP_DOCUMENTS", 4)
+    equal = documents([*((None, "the same text"),) * 60, (1, "own"), (1, "own"), (2, None)])
+    rows = repeated_keys.grouped(equal, repeated_keys.extent(equal))
+    assert rows.where(F.col("doc") == repeated_keys.NO_ID).select("src").distinct().count() > 5
+    listed = [("own", 1), ("own", 1), ("", 2), *[("the same text", repeated_keys.NO_ID)] * 60]
+    assert sorted((r.text, r.doc) for r in rows.collect()) == sorted(listed)
+
+
+def test_results_do_not_depend_on_the_groups(session, documents, monkeypatch):
+    same = " ".join(f"w{k}" for k in range(120))
+    docs = documents([*((None, same),) * 6, (1, same), (2, same), (2, same), (3, "x " + same), (4, "short"), (5, None)])
+
+    def results():
+        found = similar(docs).select("doc_id", "n_shingles", "component_id")
+        kept = [x(docs).drop("spans") for x in (remove_repeated_strings, remove_repeated_passages)]
+        return [sorted(map(repr, x.collect())) for x in (found, *kept)]
+
+    one = results()
+    monkeypatch.setattr(repeated_keys, "DOCUMENT_BYTES", 1)
+    assert repeated_keys.extent(docs).groups > 5
+    assert results() == one
