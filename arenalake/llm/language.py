@@ -10,7 +10,9 @@ The sample is bounded: about ``SAMPLE_TEXTS`` labelled texts of each language,
 chosen by a hash of their id, of each ``SAMPLE_PART`` code points at most, together
 ``SAMPLE_CHARS``. Prediction reads whole texts, in blocks of ``BLOCK`` code points
 that are parsed side by side; a block's end also ends a phrase, for all languages
-alike. Only letters and single blanks between them are parsed, in lower case.
+alike. All characters of the samples are told apart: the ``CLASSES - 1`` most frequent have
+a column each in a table of transitions, those of all others are looked up among sorted
+keys. A character of no sample ends a phrase in every language. Only letters and single blanks between them are parsed, in lower case.
 
 The score is 1 - least / second least of the estimates (1 with one language).
 Without a letter, or without any labelled text, the prediction is ``und`` and the
@@ -32,7 +34,7 @@ from arenalake.llm.store import texts
 SAMPLE_TEXTS = 60
 SAMPLE_PART = 1500
 SAMPLE_CHARS = 30_000
-CLASSES = 128  # most frequent characters that are told apart; the others match nothing
+CLASSES = 128  # columns of the table of transitions; the transitions of rarer characters are sorted keys
 BLOCK = 1024
 LANES = 4096
 NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -43,8 +45,8 @@ def letters(text: str) -> str:
     return NO_LETTERS.sub(" ", text.lower()).strip(" ")
 
 
-def suffix_automaton(codes: list[int], classes: int) -> np.ndarray:
-    """The transitions of the suffix automaton of ``codes``, -1 where there is none; state 0 is the start."""
+def suffix_moves(codes: list[int]) -> list[dict[int, int]]:
+    """For each state of the suffix automaton of ``codes`` its transitions; state 0 is the start."""
     moves: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -71,13 +73,24 @@ def suffix_automaton(codes: list[int], classes: int) -> np.ndarray:
                     at = link[at]
                 link[old] = link[new] = copy
         last = new
+    return moves
+
+
+def dense(moves: list[dict[int, int]], classes: int) -> np.ndarray:
+    """The transitions by codes below ``classes``, -1 where there is none."""
     table = np.full((len(moves), classes), -1, np.int32)
     for state, out in enumerate(moves):
         for code, target in out.items():
-            table[state, code] = target
+            if code < classes:
+                table[state, code] = target
     return table
 
 
+def suffix_automaton(codes: list[int], classes: int) -> np.ndarray:
+    """The transitions of the suffix automaton of ``codes``, -1 where there is none; state 0 is the start."""
+    return dense(suffix_moves(codes), classes)
+
+
 class CrossParser:
     """Counts, for many texts at once, the phrases each language's sample needs."""
 
@@ -85,13 +98,20 @@ class CrossParser:
         self.languages = sorted(samples)
         everything = "".join(samples.values())
         points, times = np.unique(_points(everything), return_counts=True)
-        known = points[np.argsort(-times, kind="stable")][: CLASSES - 1]
-        self.known = np.sort(known)
-        width = len(self.known) + 1
+        # Codes by frequency, from 1; points are sorted.
+        self.known, self.code = points, np.empty(len(points), np.int64)
+        self.code[np.argsort(-times, kind="stable")] = np.arange(1, len(points) + 1)
+        self.width = width = min(len(points) + 1, CLASSES)
         tables, roots, at = [], [], 0
+        keys, targets = [], []
         for language in self.languages:
-            table = suffix_automaton(self._classes(_points(samples[language])).tolist(), width)
-            table[:, 0] = -1  # class 0: characters that are not told apart
+            moves = suffix_moves(self._classes(_points(samples[language])).tolist())
+            for state, out in enumerate(moves):
+                for code, target in out.items():
+                    if code >= width:
+                        keys.append(self._key(at + state, code))
+                        targets.append(at + target)
+            table = dense(moves, width)  # class 0: characters of no sample
             start = table[0].copy()
             # A phrase that cannot go on ends, and the character begins the next one.
             fails = table < 0
@@ -102,11 +122,27 @@ class CrossParser:
             at += len(table)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int64)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.targets = np.array(keys, np.int64)[order], np.array(targets, np.int64)[order]
         self.bits = np.log2([max(2, len(samples[x])) for x in self.languages])
 
     def _classes(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, points), len(self.known) - 1)
-        return np.where(self.known[at] == points, at + 1, 0)
+        return np.where(self.known[at] == points, self.code[at], 0)
+
+    def _key(self, state, code):
+        return state * (len(self.known) + 1) + code
+
+    def _rare(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where transitions by codes without a column lead, and whether they end a phrase; a row for each language."""
+        def look(states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            wanted = self._key(states // self.width, code)
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            return self.targets[at] * self.width, self.keys[at] == wanted
+
+        roots = np.broadcast_to(self.roots[:, None], state.shape)
+        (target, goes), (first, starts) = look(state), look(roots)
+        return np.where(goes, target, np.where(starts, first, roots)), ~goes
 
     def phrases(self, cleaned: list[str]) -> np.ndarray:
         """A row for each text, a column for each language."""
@@ -131,11 +167,22 @@ class CrossParser:
         active = np.searchsorted(-lengths, -np.arange(steps), "left")  # blocks longer than each step
         counts = np.ones((len(self.languages), len(lengths)), np.int64)
         state = np.repeat(self.roots[:, None], len(lengths), 1)
+        some_rare = bool(len(self.keys)) and bool((codes >= self.width).any())
         for step in range(steps):
             n = int(active[step])
-            moved = self.table[state[:, :n] + codes[starts[:n] + step]]
+            code = codes[starts[:n] + step]
+            if some_rare:
+                rare = np.flatnonzero(code >= self.width)
+                if len(rare):
+                    target, ends = self._rare(state[:, rare], code[rare])
+                    code = np.where(code >= self.width, 0, code)
+            moved = self.table[state[:, :n] + code]
             counts[:, :n] += moved & 1
             state[:, :n] = moved >> 1
+            if some_rare and len(rare):
+                # Code 0 has ended a phrase in every language.
+                counts[:, rare] += ends.astype(np.int64) - 1
+                state[:, rare] = target
         return counts
 
     def predict(self, documents: list[str]) -> tuple[list[str], list[float]]:

@@ -262,6 +262,28 @@ def test_toxicity_of_odd_texts(documents, session, with_clashing_columns):
     assert toxicity.score(empty, model).collect() == toxicity.clean_documents(empty, model).collect() == []
 
 
+def test_rare_characters_are_told_apart():
+    """More characters than the table of transitions has columns."""
+    pick = random.Random(5)
+    scripts = {"a": 0x4E00, "b": 0x5200, "c": 0xAC00}
+    samples = {k: "".join(chr(at + pick.randrange(200)) for _ in range(600)) for k, at in scripts.items()}
+    samples["d"] = words(1, 400, ["ba", "co"])
+
+    def phrases(text, sample):
+        count, at = 1, 0
+        for k in range(len(text)):
+            if text[at : k + 1] not in sample:
+                count, at = count + 1, k if text[k] in sample else k + 1
+        return count
+
+    parser = CrossParser(samples)
+    assert len(set("".join(samples.values()))) > 3 * 128
+    texts = [*(x[100:160] for x in samples.values()), samples["a"][:9] + samples["d"][:30] + samples["b"][50:70] + "\u0416"]
+    assert parser.phrases(texts).tolist() == [[phrases(t, samples[k]) for k in sorted(samples)] for t in texts]
+    assert parser.predict(texts[:4])[0] == ["a", "b", "c", "d"]
+    assert parser.phrases([samples["a"]])[0, 0] == 1
+
+
 # Benchmark items
 
 
