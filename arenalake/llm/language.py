@@ -7,7 +7,7 @@ them. ``phrases * log2(sample length) / text length`` estimates the cross entrop
 bits, and the language with the least wins.
 
 The sample is bounded: about ``SAMPLE_TEXTS`` labelled texts of each language,
-chosen by a hash of their id, of each ``SAMPLE_PART`` code points at most, together
+chosen by a hash of id and text (equal rows count once), of each ``SAMPLE_PART`` code points at most, together
 ``SAMPLE_CHARS``. Prediction reads whole texts, in blocks of ``BLOCK`` code points
 that are parsed side by side; a block's end also ends a phrase, for all languages
 alike. All characters of the samples are told apart: the ``CLASSES - 1`` most frequent have
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenalake.llm.store import texts
@@ -210,18 +210,24 @@ def _points(text: str) -> np.ndarray:
 def learned(labelled: DataFrame) -> dict[str, str]:
     """A bounded sample of cleaned text for each language of ``labelled`` (columns text, lang and doc_id)."""
     rows = texts(labelled, F.col("lang").cast("string").alias("lang")).where("lang is not null and text <> ''")
+    rows = rows.withColumn("order", F.xxhash64("doc_id", "text"))
     # One row for each language.
-    counts = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {x.lang: x.n for x in rows.groupBy("lang").agg(F.count_distinct("order").alias("n")).collect()}
     if not counts:
         return {}
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    chance = F.pmod("order", F.lit(1_000_000))
     most = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE_TEXTS / n) * 1_000_000)))
     # Some SAMPLE_TEXTS rows of SAMPLE_PART characters for each language.
-    chosen = rows.where(chance < F.element_at(most, F.col("lang"))).select(
-        "lang", F.substring("text", 1, SAMPLE_PART).alias("part"), F.xxhash64("doc_id").alias("order")
+    chosen = (
+        rows.where(chance < F.element_at(most, F.col("lang")))
+        .select("lang", "order", F.substring("text", 1, SAMPLE_PART).alias("part"))
+        .groupBy("lang", "order")
+        .agg(F.min("part").alias("part"))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
+        .where(F.col("rank") <= 4 * SAMPLE_TEXTS)
     )
     parts: dict[str, list[str]] = {k: [] for k in counts}
-    for row in sorted(chosen.limit(4 * SAMPLE_TEXTS * len(counts)).collect(), key=lambda x: (x.lang, x.order, x.part)):
+    for row in sorted(chosen.collect(), key=lambda x: (x.lang, x.order, x.part)):
         parts[row.lang].append(letters(row.part))
     samples = {k: " ".join(x)[:SAMPLE_CHARS] for k, x in parts.items()}
     return {k: x for k, x in samples.items() if x}

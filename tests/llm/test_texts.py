@@ -284,6 +284,16 @@ def test_rare_characters_are_told_apart():
     assert parser.phrases([samples["a"]])[0, 0] == 1
 
 
+def test_rows_without_id_do_not_crowd_out_a_language(session, monkeypatch):
+    from arenalake.llm import language
+
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 5)
+    rows = [*((None, f"{words(k, 5, ['ba', 'co'])}", "a") for k in range(400)), *((None, "zu xo zu", "b"),) * 400, (1, "mi mo", "c")]
+    samples = learned(session.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(samples) == {"a", "b", "c"} and samples["b"] == "zu xo zu" and samples["c"] == "mi mo"
+    assert len(samples["a"].split()) <= 4 * 5 * 5
+
+
 # Benchmark items
 
 
