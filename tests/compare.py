@@ -37,8 +37,12 @@ def as_bag(columns, rows):
     return Counter(tuple(canonical(row[i]) for i in order) for row in rows)
 
 
+def bag(frame):
+    return as_bag(frame.columns, frame.collect())
+
+
 def spark_bag(frame):
-    return sorted(frame.columns), as_bag(frame.columns, frame.collect())
+    return sorted(frame.columns), bag(frame)
 
 
 def sql_bag(connection, sql):

@@ -23,9 +23,3 @@ def lake(spark):
     from arenalake.registry.prepared import new_lake
 
     return new_lake(spark)
-
-
-def bag(rows):
-    from compare import as_bag
-
-    return as_bag(rows.columns, rows.collect())

@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import bag
+from compare import bag
 from pyspark.sql import functions as F
 
 from arenalake.operators.bronze import (

@@ -1,7 +1,7 @@
 """K-Means, its evaluation and storage."""
 
 import pytest
-from conftest import bag
+from compare import bag
 from pyspark.sql import functions as F
 
 from arenalake.operators.cluster import fit_clusters, predict, silhouette

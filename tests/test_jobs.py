@@ -4,7 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
-from conftest import bag
+from compare import bag
 from pyspark.sql import functions as F
 
 from arenalake.__main__ import parser, run

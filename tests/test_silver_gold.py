@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import bag
+from compare import bag
 from pyspark.sql import functions as F
 
 from arenalake.lake import GOLD_TABLES

@@ -1,7 +1,7 @@
 """Sliced operators give exactly what one window gives."""
 
 import pytest
-from conftest import bag
+from compare import bag
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """Streams against their batch twins."""
 
 import pytest
-from conftest import bag
+from compare import bag
 from pyspark.sql import functions as F
 
 from arenalake.operators.bronze import parse_messages, split_rows
