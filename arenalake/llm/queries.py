@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import toxicity
+from arenalake.llm import quality_rules, toxicity
+from arenalake.llm.conversation_trie import prefix_trie, turn_paths, with_openings
 from arenalake.llm.decontaminate import contaminated
+from arenalake.llm.filter_audit import audit
 from arenalake.llm.fingerprints import neighbours
 from arenalake.llm.jaccard_join import similar
 from arenalake.llm.language import identify, learned
@@ -191,3 +193,103 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, in any case, with its numbers, names and units changed or not."""
     documents, benchmark = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
     return contaminated(documents, benchmark, any_case=True, partly=True)
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, each begun like the first of its hundred."""
+    paths = turn_paths(table(spark, sf_dir, "conversations"))
+    taken = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(6))
+    return prefix_trie(with_openings(paths, 100, 5, taken))
+
+
+#: The checksum of a conversation id's decimal digits; a step of -1 shifts by one bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+    string_split(conv_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"""
+ORACLES["op11_conversation_trie"] = f"""
+with own as (
+  select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+    order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id),
+sized as (select conv_id, turns, ({_CRC} % 6)::bigint as h from own),
+rebuilt as (
+  select c.conv_id, list_concat(coalesce(o.turns, [])[1:c.h], c.turns[c.h + 1:]) as turns
+  from sized c left join own o on o.conv_id = c.conv_id - c.conv_id % 100),
+member as (
+  select conv_id, d, turns[1:d] as path, len(turns) = d as ends
+  from (select conv_id, turns, unnest(generate_series(0, len(turns))) as d from rebuilt)),
+nodes as (
+  select path, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from member group by path),
+kids as (select path[1:depth - 1] as path, count(*) as n_children from nodes where depth > 0 group by 1),
+family as (
+  select n.*, coalesce(k.n_children, 0) as n_children,
+    case when n.depth = 0 then 0 else (n.n_convs - 1) * length(n.path[n.depth].text) end as saved
+  from nodes n left join kids k on k.path = n.path),
+upward as (
+  select path[1:a] as path, n_children, saved
+  from (select path, n_children, saved, unnest(generate_series(0, depth)) as a from family)),
+sums as (
+  select path, count(*) filter (where n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+  from upward group by path)
+select f.conv_id, f.depth::bigint as depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+  s.saved_tokens, f.ends_sha256
+from family f join sums s on s.path = f.path
+left join family p on f.depth > 0 and p.path = f.path[1:f.depth - 1]
+"""
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in every order, for each language."""
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+with recursive texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+marked as (
+  select texts.doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+    doc_id > min(doc_id) over (partition by t)] as fails
+  from texts),
+judged as (
+  select marked.*, coalesce(l.good, false) as good, coalesce(l.toxic, false) as toxic
+  from marked left join (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id) l
+    on l.doc_id = marked.doc_id),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders(o) as (
+  select '' union all
+  select o || x from orders, letters where length(o) < 5 and not contains(o, x)),
+steps as (
+  select o as filter_order, unnest(generate_series(1, 5)) as step from orders where length(o) = 5),
+tested as (
+  select part, good, toxic, filter_order, step::int as step,
+    fails[ascii(filter_order[step]) - 64] as now,
+    list_bool_or(list_transform(generate_series(1, step - 1), lambda i: fails[ascii(filter_order[i]) - 64])) as before,
+    len(list_filter(fails, lambda f: f)) as n_fails
+  from judged, steps),
+counted as (
+  select part, filter_order, step, count(*) filter (where not coalesce(before, false) and not now) as kept,
+    count(*) filter (where not coalesce(before, false) and now) as removed,
+    count(*) filter (where before and now) as redundant,
+    count(*) filter (where now and n_fails = 1) as unique_fails,
+    count(*) filter (where not coalesce(before, false) and now and good) as good_lost,
+    count(*) filter (where not coalesce(before, false) and now and toxic) as toxic_lost
+  from tested group by all)
+select *, (sum(removed) over (partition by part, filter_order[step]))::bigint as shapley from counted
+"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from two thirds of the labels."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    model = quality_rules.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    rows = quality_rules.score(documents, model, held_out.alias("held_out"))
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= quality_rules.THRESHOLD).cast("int").alias("predicted"))
