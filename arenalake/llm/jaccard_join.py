@@ -17,9 +17,10 @@ prefixes that belong to it; a pair with fewer common prefix shingles is not veri
 Groups of near copies do not cost their square. First each document is verified
 against one hub only, of those it shares the most prefix shingles with. Documents that
 this leaves apart, though they share a shingle, are verified against ``HUBS`` more hubs,
-chosen by a hash. Then only pairs of different components remain, of shingles that more
-than one component has; all of these are candidates, but for those that cannot reach the
-threshold with the places at which their prefixes meet. Equal sets are one node throughout.
+chosen by a hash, in rounds, as long as these find links. Then only pairs of different
+components remain, of shingles that more than one component has. A pair is a candidate if a shingle of
+both prefixes can be the first of enough common ones, and it is verified if the prefixes have as
+many shingles in common as its ``l`` asks for. Equal sets are one node throughout.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the text in lower case (A-Z only). With fewer words
 than a shingle has, the sequence of all words is the one shingle. Null text, or no
@@ -50,8 +51,10 @@ LEVELS = 4
 VERIFY = 8.0
 #: What a posting tells of its document: set, size, prefix, repeated shingles, their frequency.
 OWN = ("key", "n", "level", "shared", "weight")
-#: Hubs each document is verified against in the second round.
+#: Hubs each open document is verified against in a further round.
 HUBS = 4
+#: Rounds go on while more than this share of the tries are links.
+FRUITFUL = 0.1
 TOKEN = np.uint64((1 << 48) - 1)
 
 
@@ -168,64 +171,33 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
         .agg(F.max(F.struct("common", "hub")).alias("best"))
     )
     stars = verified(shared.select(F.col("key").alias("a"), F.col("best.hub").alias("b")), sets, threshold)
-    # What is left of a family goes to other hubs, chosen anew for each number.
-    links = stars
-    spread = open_rows(entries, components(links))
-    anew = [
-        F.max(F.struct((F.pmod(F.xxhash64("key", F.lit(k)), F.lit(4)) == 0).alias("in"), "weight", *OWN, "part")).alias(f"h{k}")
-        for k in range(HUBS)
-    ]
-    choice = F.explode(F.array(*(F.struct(F.lit(k).alias("number"), F.col(f"h{k}").alias("hub")) for k in range(HUBS))))
-    tries = (
-        spread.where("part <> first")
-        .join(spread.groupBy("token").agg(*anew), "token")
-        .select(*OWN, "part", choice.alias("h"))
-        .where(F.col("part") != F.col("h.hub.part"))
-        .where(can_link(F.col("h.hub.n"), F.col("h.hub.shared"), threshold))
-        .groupBy("key", "h.number", F.col("h.hub.key").alias("hub"))
-        .agg(F.count("*").alias("common"))
-        .groupBy("key", "number")
-        .agg(F.max(F.struct("common", "hub")).alias("best"))
-        .select(F.greatest("key", "best.hub").alias("a"), F.least("key", "best.hub").alias("b"))
-        .distinct()
-    )
-    links = links.unionByName(verified(tries, sets, threshold))
-
-    # All pairs that may still link different components.
-    spread = open_rows(entries, components(links))
-    left = spread.where("part <> first").drop("first")
-    right = spread.drop("first").toDF(
-        *(x if x == "token" else f"{x}2" for x in (*OWN, "token", "place", "need", "part"))
+    # What is left of a family goes to other hubs, chosen anew for each number and round.
+    links, rounds, going = stars, 0, True
+    while going:
+        spread = open_rows(entries, components(links))
+        tries = stored(hub_tries(spread, rounds, threshold))
+        more = verified(tries, sets, threshold)
+        links, rounds = links.unionByName(more), rounds + 1
+        going = more.count() > FRUITFUL * tries.count()
+
+    # All pairs that may still link different components, then those with enough common prefix shingles.
+    pairs = candidates(open_rows(entries, components(links)), threshold)
+    prefixed = nodes.select("key", "level", "postings")
+    first, second = (
+        prefixed.select(F.col("key").alias(x), F.col("level").alias(f"level_{x}"), F.col("postings").alias(f"of_{x}"))
+        for x in ("a", "b")
     )
-    level = F.least("level", "level2")
-    first_is_a = F.col("key") > F.col("key2")
+    level = F.least("level_a", "level_b")
 
-    def of_a(name: str) -> Column:
-        return F.when(first_is_a, F.col(name)).otherwise(F.col(f"{name}2"))
+    def upto(postings: str) -> Column:
+        return F.transform(F.filter(postings, lambda x: x["need"] <= level), lambda x: x["token"])
 
-    def of_b(name: str) -> Column:
-        return F.when(first_is_a, F.col(f"{name}2")).otherwise(F.col(name))
-
-    # All common shingles up to one of them stand before it in both orders, the others after it.
-    before, after = F.least("place", "place2"), F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-    enough = (before + after) * (100 + threshold) >= (F.col("n") + F.col("n2")) * threshold
-    rest = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b"))
     pairs = (
-        left.join(right, "token")
-        .where("part <> part2")
-        .where(can_link(F.col("n2"), F.col("shared2"), threshold) & enough)
-        .where((F.col("need") <= level) & (F.col("need2") <= level))
-        .groupBy(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"))
-        # A pair of two nodes outside the token's first component comes in both orders.
-        .agg(
-            F.count_distinct("token").alias("common"), F.min(level).alias("level"),
-            F.max(of_a("n")).alias("n_a"), F.max(of_b("n")).alias("n_b"),
-            F.max(of_a("place")).alias("last_a"), F.max(of_b("place")).alias("last_b"),
-        )
-        .where("common >= level")
-        .where((F.col("common") + rest) * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold)
+        pairs.join(first, "a")
+        .join(second, "b")
+        .where((level == 1) | (F.size(F.array_intersect(upto("of_a"), upto("of_b"))) >= level))
         .select("a", "b")
-    )
+    )
     links = links.unionByName(verified(pairs, sets, threshold))
     found = components(links).withColumnRenamed("node", "key")
     groups = (
@@ -261,14 +233,70 @@ def can_link(n: Column, shared: Column, threshold: int) -> Column:
 
 
 def open_rows(entries: DataFrame, parts: DataFrame) -> DataFrame:
-    """The postings of tokens that more than one component has, with the row's and the token's first component."""
+    """The postings of tokens that more than one component has, with the row's component and the token's largest."""
     part = F.coalesce("component", "key").alias("part")
     placed = entries.join(parts.withColumnRenamed("node", "key"), "key", "left").select(
         *OWN, "token", "place", "need", part
     )
-    tokens = placed.groupBy("token").agg(F.min("part").alias("first"), F.max("part").alias("last"))
-    spread = placed.join(tokens.where("first <> last").drop("last"), "token")
-    return stored(spread.select(*OWN, "token", "place", "need", "part", "first"))
+    counts = placed.groupBy("token", "part").agg(F.count("*").alias("rows"))
+    tokens = counts.groupBy("token").agg(F.max_by("part", F.struct("rows", "part")).alias("main"), F.count("*").alias("parts"))
+    spread = placed.join(tokens.where("parts > 1").drop("parts"), "token")
+    return stored(spread.select(*OWN, "token", "place", "need", "part", "main"))
+
+
+def hub_tries(spread: DataFrame, number: int, threshold: int) -> DataFrame:
+    """Pairs (a, b) of each node with the best of ``HUBS`` hubs of its tokens, which are chosen by a hash and ``number``."""
+    numbers = [number * HUBS + k for k in range(HUBS)]
+    anew = [
+        F.max(F.struct((F.pmod(F.xxhash64("key", F.lit(k)), F.lit(4)) == 0).alias("in"), "weight", *OWN, "part")).alias(f"h{k}")
+        for k in numbers
+    ]
+    choice = F.explode(F.array(*(F.struct(F.lit(k).alias("number"), F.col(f"h{k}").alias("hub")) for k in numbers)))
+    return (
+        spread.where("part <> main")
+        .join(spread.groupBy("token").agg(*anew), "token")
+        .select(*OWN, "part", choice.alias("h"))
+        .where(F.col("part") != F.col("h.hub.part"))
+        .where(can_link(F.col("h.hub.n"), F.col("h.hub.shared"), threshold))
+        .groupBy("key", "h.number", F.col("h.hub.key").alias("hub"))
+        .agg(F.count("*").alias("common"))
+        .groupBy("key", "number")
+        .agg(F.max(F.struct("common", "hub")).alias("best"))
+        .select(F.greatest("key", "best.hub").alias("a"), F.least("key", "best.hub").alias("b"))
+        .distinct()
+    )
+
+
+def candidates(spread: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of different components that hold a token which may be their first common one.
+
+    After the first common shingle, a pair has at most as many as follow it in the shorter rest.
+    So a posting only reaches partners up to a size that its rest allows; for
+    the part of a family's copies that is too far from its centre, none of that size. Postings
+    meet by token and class of size, the larger set (of equal sizes the larger key) looking for the smaller. Rows
+    of the component that has most of a token's postings never meet each other.
+    """
+    rest = F.col("n") - F.col("place")
+    most = F.floor(((rest + 1) * (100 + threshold) / threshold) - F.col("n") + 1e-6).cast("long")
+    least = F.ceil(F.col("n") * threshold / 100 - 1e-6).cast("long")
+    names = [*OWN, "part", "rest"]
+    rows = spread.select("token", *OWN, "part", "main", rest.alias("rest"), least.alias("least"), most.alias("most"))
+    found = rows.where("most >= n").withColumn("class", size_class("n"))
+    found = found.select("token", "class", "main", *(F.col(x).alias(f"{x}2") for x in names))
+    classes = F.sequence(size_class("least"), size_class(F.least("most", "n")))
+    looking = rows.where("most >= least").withColumn("class", F.explode(classes)).select("token", "class", "main", *names)
+    smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("key2") < F.col("key")))
+    enough = (F.least("rest", "rest2") + 1) * (100 + threshold) >= (F.col("n") + F.col("n2")) * threshold
+    keep = (F.col("part") != F.col("part2")) & smaller & enough & can_link(F.col("n2"), F.col("shared2"), threshold)
+    outside = looking.where("part <> main").join(found.drop("main"), ["token", "class"]).where(keep)
+    inside = looking.where("part = main").join(found.where("part2 <> main").drop("main"), ["token", "class"]).where(keep)
+    both = outside.select("key", "key2").unionByName(inside.select("key", "key2"))
+    return both.select(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b")).distinct()
+
+
+def size_class(n: str | Column) -> Column:
+    """Classes of sizes that grow by a twentieth."""
+    return F.floor(F.log(1.05, n)).cast("int")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:

@@ -11,6 +11,11 @@ texts: a group has some 512 documents and some 8 MB. A text is never divided, so
 longer one is a group of its own size. Equal rows (the same id, or none, and the
 same text) are dealt out by a stored row number.
 
+A group always sends ``RANGES`` rows, so their number is in proportion to the table. Where that
+many buckets would be too large, ``HOLDERS`` groups' rows of one range are merged and cut into as many
+ranges again, until buckets are small enough; answers go back over the same steps. Each further
+step has half as many rows as the one before.
+
 Keys are shortened to a number of bits that grows with the table, some 22 bits more
 than the number of documents (of 16 KB, if they are longer) needs. Two keys that share these bits are taken
 for repeated. So the answer may name a few keys too many, never one too few; what
@@ -29,7 +34,13 @@ from pyspark.sql import functions as F
 from arenalake.llm.store import stored, texts
 
 GROUP_DOCUMENTS = 512
-BUCKET_DOCUMENTS = 2048
+#: Documents whose keys one bucket may hold.
+BUCKET_DOCUMENTS = 8192
+RANGE_BITS = 5
+RANGES = 1 << RANGE_BITS
+HOLDERS = 64
+#: Groups that one task handles, one after the other.
+TASK_GROUPS = 8
 #: A table counts as at least so many documents as its texts have multiples of this.
 DOCUMENT_BYTES = 16_384
 NO_ID = -(1 << 63)
@@ -60,6 +71,20 @@ def _opened(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return keys, _unsqueezed(row["counts"], row["n"])
 
 
+def _rows(blobs: list[tuple[int, int, np.ndarray, np.ndarray]]) -> list[dict]:
+    """(bucket, src, sorted keys, counts) as rows; those without keys are left out."""
+    return [dict(zip(BLOBS.names, (a, b, *_blob(keys, counts)), strict=True)) for a, b, keys, counts in blobs if len(keys)]
+
+
+def _summed(blobs: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """All keys with their summed counts; for each blob's keys the place among them, and the blobs' sizes."""
+    opened = [_opened(x) for x in blobs]
+    keys, inverse = np.unique(np.concatenate([x[0] for x in opened]), return_inverse=True)
+    counts = np.concatenate([x[1] for x in opened]).astype(np.int64)
+    total = np.bincount(inverse, counts, len(keys)).astype(np.int64)
+    return keys, total, inverse, [len(x[0]) for x in opened]
+
+
 class Repeated:
     """The keys of one group that occur at least twice in the table, with their numbers of occurrences."""
 
@@ -126,43 +151,79 @@ def with_repeated(
     The documents are dealt out once; both steps read the same exchange.
     """
     of = of or extent(documents)
-    rows, n = grouped(documents, of), of.documents
+    n = of.documents
+    session = documents.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-of.groups // TASK_GROUPS))
+    rows = grouped(documents, of).repartition(tasks, "src")
     bits = min(64, math.ceil(math.log2(n + 2)) + 22)
-    bucket_bits = min(bits, max(0, math.ceil(math.log2(max(1, n / BUCKET_DOCUMENTS)))))
-    down, place = np.uint64(64 - bits), np.uint64(bits - bucket_bits)
+    levels = steps(n)
+    down = np.uint64(64 - bits)
+
+    def cut(src: int, range_: int, level: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
+        """The sorted keys of one range, cut into the ranges of the next level."""
+        if of.groups == 1:
+            return _rows([(0, src, keys, counts)])
+        place = np.uint64(bits - RANGE_BITS * (level + 1))
+        first = range_ << RANGE_BITS
+        cuts = np.searchsorted(keys, np.arange(first + 1, first + RANGES, dtype=np.uint64) << place)
+        parts = zip(np.split(keys, cuts), np.split(counts, cuts), strict=True)
+        return _rows([(first + k, src, part, times) for k, (part, times) in enumerate(parts)])
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         keys, counts = np.unique(keys_of(table) >> down, return_counts=True)
-        cuts = np.searchsorted(keys, np.arange(1, 1 << bucket_bits, dtype=np.uint64) << place)
-        out = []
-        for bucket, (part, times) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts), strict=True)):
-            if len(part):
-                out.append((bucket, key[0].as_py(), *_blob(part, times)))
-        return pa.Table.from_pylist([dict(zip(BLOBS.names, x, strict=True)) for x in out], BLOBS)
+        return pa.Table.from_pylist(cut(key[0].as_py(), 0, 0, keys, counts), BLOBS)
+
+    def merge(level: int) -> Callable:
+        def merged(key: tuple, table: pa.Table) -> pa.Table:
+            keys, total, _, _ = _summed(table.to_pylist())
+            return pa.Table.from_pylist(cut(key[1].as_py(), key[0].as_py(), level, keys, total), BLOBS)
+
+        return merged
 
     def answer(_: tuple, table: pa.Table) -> pa.Table:
         blobs = table.to_pylist()
-        opened = [_opened(x) for x in blobs]
-        keys, inverse = np.unique(np.concatenate([x[0] for x in opened]), return_inverse=True)
-        counts = np.concatenate([x[1] for x in opened]).astype(np.int64)
-        total = np.bincount(inverse, counts, len(keys)).astype(np.int64)
+        keys, total, inverse, sizes = _summed(blobs)
         out, at = [], 0
-        for blob, (own, _) in zip(blobs, opened, strict=True):
-            times = total[inverse[at : at + len(own)]]
-            at += len(own)
-            again = times > 1
-            if again.any():
-                out.append((blob["bucket"], blob["src"], *_blob(own[again], times[again])))
-        return pa.Table.from_pylist([dict(zip(BLOBS.names, x, strict=True)) for x in out], BLOBS)
+        for blob, size in zip(blobs, sizes, strict=True):
+            own = inverse[at : at + size]
+            at += size
+            own = own[total[own] > 1]
+            out.append((blob["bucket"], blob["src"], keys[own], total[own]))
+        return pa.Table.from_pylist(_rows(out), BLOBS)
+
+    def back(_: tuple, blobs: pa.Table, answers: pa.Table) -> pa.Table:
+        known, out = Repeated(answers, 64), []
+        for blob in blobs.to_pylist():
+            keys, _ = _opened(blob)
+            times = known.times(keys)
+            out.append((blob["bucket"], blob["src"], keys[times > 1], times[times > 1]))
+        return pa.Table.from_pylist(_rows(out), BLOBS)
 
     def finish(_: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         return result_of(table, Repeated(answers, bits))
 
-    blobs = rows.groupBy("src").applyInArrow(send, BLOB)
-    answers = blobs.groupBy("bucket").applyInArrow(answer, BLOB)
+    def held(blobs: DataFrame) -> DataFrame:
+        return blobs.withColumn("holder", F.floor(F.col("src") / HOLDERS).cast("long"))
+
+    sent = [rows.groupBy("src").applyInArrow(send, BLOB)]
+    for level in range(1, levels):
+        sent[-1] = stored(sent[-1])
+        sent.append(held(sent[-1]).groupBy("bucket", "holder").applyInArrow(merge(level), BLOB))
+    answers = sent[-1].groupBy("bucket").applyInArrow(answer, BLOB)
+    for blobs in reversed(sent[:-1]):
+        above = answers.select(F.shiftright("bucket", RANGE_BITS).alias("of"), F.col("src").alias("to"), *answers.columns)
+        answers = held(blobs).groupBy("bucket", "holder").cogroup(above.groupBy("of", "to")).applyInArrow(back, BLOB)
     return rows.groupBy("src").cogroup(answers.groupBy("src")).applyInArrow(finish, schema)
 
 
+def steps(documents: int) -> int:
+    """How many times keys are cut into ranges until buckets are small enough."""
+    out = 1
+    while RANGES**out * BUCKET_DOCUMENTS < documents:
+        out += 1
+    return out
+
+
 BLOBS = pa.schema(
     [("bucket", pa.int64()), ("src", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
