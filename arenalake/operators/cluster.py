@@ -12,6 +12,8 @@ from arenalake.schema import FEATURES, MODEL_COLUMNS, PREDICTION
 POSITION = ["x", "y"]
 CLUSTERS = 2  # fixed value
 SEED = 1  # fixed value
+#: Partitions of the points of a fit, whatever those of the input are.
+FIT_PARTITIONS = 8
 
 
 def assembler() -> VectorAssembler:
@@ -23,9 +25,11 @@ def fit_clusters(rows: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> Pipeli
 
     Equal positions are first added up to one weighted point: the centres are
     the same weighted means, and each iteration goes over the distinct positions
-    of the map instead of over all events.
+    of the map instead of over all events. The points are dealt out by their position and sorted, so
+    that the seeded choice of first centres does not depend on how the input is partitioned.
     """
     points = rows.groupBy(*POSITION).agg(F.count("*").cast("double").alias("weight"))
+    points = points.repartition(FIT_PARTITIONS, *POSITION).sortWithinPartitions(*POSITION)
     kmeans = KMeans(
         k=k, seed=seed, featuresCol=FEATURES, predictionCol=PREDICTION, weightCol="weight"
     )

@@ -221,6 +221,12 @@ def _daily(run, where):
     return " union all ".join(parts)
 
 
+FANOUT = f"""with {BRONZE}, refused as (
+    select *, try_cast("createRoomDate" as date) as create_room_date,
+           sha256(account) as encrypted_account from raw where not {OK})
+    {_sums("playerlogs", "bronze", BRONZE_NUMBERS, BRONZE_OTHERS)}
+    union all {_sums("invalid_data", "refused", [], RAW_OTHERS)}"""
+
 ORACLES = {
     "src_kafka_stream": RAW_ROWS,
     "src_json_month_glob": ARCHIVED,
@@ -304,11 +310,7 @@ ORACLES = {
         cast(0 as bigint) as away from bronze""",
     "ml_score_stream": AGREEMENT,
     "stream_checkpoint": BRONZE_ROWS,
-    "stream_fanout": f"""with {BRONZE}, refused as (
-        select *, try_cast("createRoomDate" as date) as create_room_date,
-               sha256(account) as encrypted_account from raw where not {OK})
-        {_sums("playerlogs", "bronze", BRONZE_NUMBERS, BRONZE_OTHERS)}
-        union all {_sums("invalid_data", "refused", [], RAW_OTHERS)}""",
+    **dict.fromkeys(("stream_fanout", "stream_fanout_once", "stream_recovery"), FANOUT),
     "job_bronze_ingest": BRONZE_ROWS,
     "job_silver_analysis": f"with {SILVER} select * from silver",
     "job_silver_train_indexed": f"""with {TRAIN} select cahmpion_indexed, "datetime",
@@ -332,6 +334,18 @@ ORACLES = {
     "ml_silhouette": f"with {SILHOUETTE} select silhouette from score",
     "job_refit": f"""with {SILHOUETTE} select cluster, count(*) as "rows",
         (select silhouette from score) as silhouette from separated group by cluster""",
+    "src_kafka_stream_bounded": RAW_ROWS,
+    "ml_score_stream_refit": f"with {BRONZE} select count(*) as rows, 2 as versions, 0 as differing from bronze",
+    "message_rate_stream": f"""with placed as (
+        select ts, date_trunc('minute', ts) as w,
+               least((cast(ts as date) - {FIRST_DAY}) // 8 + case when event_id % 20 = 7 then 2 else 0 end, 3) as part
+        from events),
+      marks as (select p.part, (select date_trunc('millisecond', max(ts)) from placed q where q.part <= p.part)
+                 - interval 10 minutes as mark from (select distinct part from placed) p)
+      select w as window_start, count(*) as messages from placed
+      where not exists (select 1 from marks m where m.part < placed.part and w + interval 1 minute <= m.mark)
+        and w + interval 1 minute <= (select max(mark) from marks)
+      group by 1""",
     "message_rate": """select date_trunc('minute', ts) as window_start, count(*) as messages
         from events group by 1""",
     "message_rate_per_second": """select date_trunc('second', ts) as window_start,

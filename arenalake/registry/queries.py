@@ -4,6 +4,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -61,14 +62,16 @@ from arenalake.registry.prepared import (
     some_days,
 )
 from arenalake.schema import BRONZE_SCHEMA, DAY, FEATURES, PREDICTION, RAW_SCHEMA, TRAIN_COLUMNS
-from arenalake.sinks.models import load_model, save_model
+from arenalake.sinks.files import delete
+from arenalake.sinks.models import load_model, publish_model, save_model
 from arenalake.sinks.scratch import scratch_path
-from arenalake.sinks.tables import replace_days, replace_table
+from arenalake.sinks.tables import BATCH, replace_batch, replace_days, replace_table
 from arenalake.sources.archive import json_month
 from arenalake.sources.messages import text_messages
 from arenalake.sources.playerlogs import read_table, to_messages
 from arenalake.sources.tables import table_day_where, table_days
 from arenalake.streaming import ingest
+from arenalake.streaming.joint import MODEL_VERSION, start_joint_ingest
 from arenalake.streaming.rate import message_rate
 
 DRAIN = {"availableNow": True}
@@ -119,6 +122,32 @@ def src_kafka_stream(spark, sf_dir):
     return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 
+#: Files of messages, and how many of them a bounded micro-batch takes.
+LANDED_FILES, BATCH_FILES = 6, 2
+BOUNDED = {"maxFilesPerTrigger": BATCH_FILES}
+
+
+def _landed_files(spark, sf_dir):
+    """Folder with the messages of all events in ``LANDED_FILES`` files."""
+    path = scratch_path(spark, "landed")
+    to_messages(raw(spark, sf_dir)).repartition(LANDED_FILES).write.text(path)
+    return path
+
+
+@query
+def src_kafka_stream_bounded(spark, sf_dir):
+    """A backlog drained in several micro-batches of bounded size; each row once, with no batch too large."""
+    stream = parse_messages(text_messages(spark, _landed_files(spark, sf_dir), **BOUNDED))
+    path = scratch_path(spark, "received")
+    writer = ingest.append_stream(stream, f"{path}-checkpoint", "bounded", partition=None, trigger=DRAIN)
+    received = ingest.to_files(writer, path)
+    ingest.run_all([received])
+    sizes = [x["numInputRows"] for x in received.recentProgress if x["numInputRows"]]
+    if len(sizes) < LANDED_FILES // BATCH_FILES:
+        raise AssertionError(f"the backlog came in {len(sizes)} batches")
+    return spark.read.schema(RAW_SCHEMA).parquet(path)
+
+
 def _json_days(spark, sf_dir):
     path = scratch_path(spark, "json")
     bronze(spark, sf_dir).hint("rebalance", DAY).write.partitionBy(DAY).json(path)
@@ -613,6 +642,30 @@ def ml_score_stream(spark, sf_dir):
     return _disagreements(scored, lambda rows: rows, lambda rows: predict(model, rows))
 
 
+@query
+def ml_score_stream_refit(spark, sf_dir):
+    """A model published while the stream runs scores the batches after it; each row agrees with its version."""
+    lake, models = new_lake(spark), scratch_path(spark, "models")
+    versions = {publish_model(spark, model := fitted_model(spark, sf_dir), models): model}
+
+    def write(rows, table, path, number, fmt):
+        replace_batch(rows, table, path, number, fmt)
+        if number == 0 and len(versions) == 1:
+            model = fit_clusters(bronze(spark, sf_dir), k=3)
+            versions[publish_model(spark, model, models)] = model
+
+    messages = text_messages(spark, _landed_files(spark, sf_dir), **BOUNDED)
+    ingest.run_all([start_joint_ingest(messages, lake, models, DRAIN, write=write)])
+    scored, result = spark.table(lake.name("playerlogs")), None
+    for version, model in versions.items():
+        own = scored.filter(F.col(MODEL_VERSION) == version)
+        same = _disagreements(own, lambda rows: rows, lambda rows, model=model: predict(model, rows))
+        result = same if result is None else result.unionByName(same)
+    return result.agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("rows") > 0).alias("versions"), F.sum("differing").alias("differing")
+    )
+
+
 # Streaming
 
 
@@ -633,11 +686,56 @@ def stream_fanout(spark, sf_dir):
     return _day_sums(spark, lake, ["playerlogs", "invalid_data"])
 
 
+@query
+def stream_fanout_once(spark, sf_dir):
+    """Both branches by one query from one read; a batch that failed between its two writes is run again."""
+    lake, failures = new_lake(spark), [1]
+    path = _landed_files(spark, sf_dir)
+
+    def write(rows, table, *rest):
+        if failures and table == lake.name("invalid_data") and rest[1] == failures[0]:
+            failures.clear()
+            raise RuntimeError("stopped between the two writes")
+        replace_batch(rows, table, *rest)
+
+    for _ in range(2):
+        messages = text_messages(spark, path, **BOUNDED)
+        try:
+            ingest.run_all([start_joint_ingest(messages, lake, trigger=DRAIN, write=write)])
+        except StreamingQueryException as error:
+            if "between the two writes" not in str(error):
+                raise
+    return _day_sums(spark, lake, ["playerlogs", "invalid_data"])
+
+
+@query
+def stream_recovery(spark, sf_dir):
+    """Two file sinks after a failure inside their last batch.
+
+    The files of both are written; one has lost the commit of its query, the other also
+    the entry of its sink's log, and both are started again.
+    """
+    lake, path = new_lake(spark), _landed_files(spark, sf_dir)
+
+    def drain():
+        ingest.run_all(ingest.start_table_ingest(text_messages(spark, path, **BOUNDED), lake, trigger=DRAIN))
+
+    drain()
+    last = LANDED_FILES // BATCH_FILES - 1
+    for table in ("playerlogs", "invalid_data"):
+        delete(spark, f"{lake.checkpoint(table)}/commits/{last}")
+    delete(spark, f"{lake.path('invalid_data')}/_spark_metadata/{last}")
+    drain()
+    for table in ("playerlogs", "invalid_data"):
+        spark.catalog.refreshTable(lake.name(table))
+    return _day_sums(spark, lake, ["playerlogs", "invalid_data"])
+
+
 def _day_sums(spark, lake, tables):
     """Per table and day: the rows, the sum of each number, the filled places of each other column."""
     result = None
     for table in tables:
-        rows = spark.table(lake.name(table))
+        rows = spark.table(lake.name(table)).drop(BATCH)
         numbers = {"int", "bigint", "double"}
         measures = {"rows": F.count("*").cast("double")}
         for name, kind in rows.dtypes:
@@ -738,3 +836,27 @@ def message_rate_per_minute(spark, sf_dir):
 @query
 def message_rate_per_second(spark, sf_dir):
     return plain(message_rate(read_table(spark, sf_dir, "events"), "ts", "1 second"))
+
+
+#: Parts in which events arrive, and the days of one part.
+ARRIVALS, ARRIVAL_DAYS = 4, 8
+
+
+@query
+def message_rate_stream(spark, sf_dir):
+    """Closed windows of a stream with a watermark, in several runs from one checkpoint.
+
+    A twentieth of the events arrives two parts later, when most of their windows are closed.
+    """
+    path = scratch_path(spark, "rate")
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    day = F.datediff(F.col("ts").cast("date"), F.lit(day_range(spark, sf_dir)[0]))
+    late = F.when(F.col("event_id") % 20 == 7, 2).otherwise(0)
+    arrival = F.least(F.floor(day / ARRIVAL_DAYS) + late, F.lit(ARRIVALS - 1))
+    for number in range(ARRIVALS):
+        events.filter(arrival == number).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+        rows = message_rate(stream, "ts", late="10 minutes")
+        writer = ingest.append_stream(rows, f"{path}/checkpoint", "rates", partition=None, trigger=DRAIN)
+        ingest.run_all([ingest.to_files(writer, f"{path}/out")])
+    return plain(spark.read.parquet(f"{path}/out"))

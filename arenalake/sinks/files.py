@@ -21,6 +21,19 @@ def file_names(spark: SparkSession, folder: str) -> set[str]:
     return {status.getPath().getName() for status in system.listStatus(place) if status.isFile()}
 
 
+def folder_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the folders in one folder; none if it does not exist."""
+    system, place = _of(spark, folder)
+    if not system.exists(place):
+        return set()
+    return {status.getPath().getName() for status in system.listStatus(place) if status.isDirectory()}
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, place = _of(spark, path)
+    system.mkdirs(place)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, place = _of(spark, path)
     system.delete(place, True)

@@ -1,10 +1,13 @@
 """The message stream to the bronze and quarantine tables.
 
 Two append queries read the source: each has its own checkpoint, so each sink is
-exactly-once on its own, which one query writing twice per batch would not be.
+exactly-once on its own. ``joint`` has the form with one query and one read.
 The queries are map-only and keep no state.
 """
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -59,6 +62,19 @@ def branches(
     return (predict(model, bronze) if model else bronze), quarantine
 
 
+def start_all(writers: list[tuple[DataStreamWriter, Callable]]) -> list[StreamingQuery]:
+    """Start every (writer, start); if one can't be started, those that run are stopped."""
+    started: list[StreamingQuery] = []
+    try:
+        for writer, start in writers:
+            started.append(start(writer))
+    except BaseException:
+        for query in started:
+            query.stop()
+        raise
+    return started
+
+
 def start_table_ingest(
     messages: DataFrame,
     lake: Lake,
@@ -69,17 +85,16 @@ def start_table_ingest(
     """Both branches to catalog tables."""
     lake.create_databases(messages.sparkSession)
     bronze, quarantine = branches(messages, model, **options)
-    return [
-        to_table(
+    return start_all([
+        (
             append_stream(rows, lake.checkpoint(table), query, lake.fmt, trigger=trigger),
-            lake.name(table),
-            lake.path(table),
+            partial(to_table, table=lake.name(table), path=lake.path(table)),
         )
         for rows, table, query in (
             (bronze, "playerlogs", BRONZE_QUERY),
             (quarantine, "invalid_data", QUARANTINE_QUERY),
         )
-    ]
+    ])
 
 
 def start_json_ingest(
@@ -92,16 +107,16 @@ def start_json_ingest(
     """Both branches to JSON files; the quarantine is not partitioned."""
     bronze, quarantine = branches(messages, model, **options)
     quarantine = quarantine.drop(DAY)
-    return [
-        to_files(
+    return start_all([
+        (
             append_stream(rows, lake.checkpoint(table), query, "json", partition, trigger),
-            lake.path(table),
+            partial(to_files, path=lake.path(table)),
         )
         for rows, table, query, partition in (
             (bronze, "playerlogs", BRONZE_QUERY, DAY),
             (quarantine, "invalid_data", QUARANTINE_QUERY, None),
         )
-    ]
+    ])
 
 
 def run_all(queries: list[StreamingQuery], poll_seconds: float = 5) -> None:

@@ -65,3 +65,17 @@ def test_scored_rows_can_be_scored_and_fitted_again(spark):
     again = predict(fit_clusters(scored), scored)
     assert "features_vector" not in again.columns
     assert again.count() == scored.count()
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_centres_do_not_depend_on_the_partitions(spark, k):
+    """On uniform positions, where the first centres decide."""
+    rows = spark.range(4000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(801)) - 400).cast("int").alias("x"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(801)) - 400).cast("int").alias("y"),
+    )
+    found = []
+    for n in (1, 3, 8):
+        model = fit_clusters(rows.repartition(n), k=k)
+        found.append(sorted(tuple(c) for c in model.stages[-1].clusterCenters()))
+    assert found[0] == found[1] == found[2]

@@ -1,6 +1,7 @@
 """Faults of the day writer, the archive and the daily run that lost rows without an error."""
 
-from datetime import date
+import threading
+from datetime import date, timedelta
 
 import pytest
 from compare import bag
@@ -14,9 +15,10 @@ from arenalake.operators.slices import previous_values
 from arenalake.plans import jobs
 from arenalake.registry.prepared import bronze, bronze_table, fitted_model, landed_messages, new_lake, raw
 from arenalake.schema import BRONZE_SCHEMA, DAY
-from arenalake.sinks.files import exists, file_names
+from arenalake.sinks import tables
+from arenalake.sinks.files import exists, file_names, folder_names, move
 from arenalake.sinks.scratch import scratch_path, scratch_root
-from arenalake.sinks.tables import append_days, month_to_parquet, replace_days
+from arenalake.sinks.tables import append_days, drop_superseded, finish_archive, month_to_parquet, replace_days
 from arenalake.sources.messages import text_messages
 from arenalake.streaming import ingest
 
@@ -225,3 +227,99 @@ def test_scratch_needs_a_shared_folder_under_any_master():
         session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_root(session)
+
+
+def test_a_reader_beside_the_writer_sees_whole_days(spark, lake):
+    """Every day is all old or all new in every read, and no read fails."""
+    name, path = lake.name("playerlogs"), lake.path("playerlogs")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int"))
+
+    def version(k):
+        return spark.range(4000).select(F.lit(k).alias("v"), day.alias(DAY)).repartition(6)
+
+    replace_days(version(0), name, path)
+    done, seen, faults = threading.Event(), [], []
+    reader = spark.newSession()
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = reader.table(name).groupBy(DAY).agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count("*").alias("n"))
+                seen.append([(r.a, r.b, r.n) for r in rows.collect()])
+            except Exception as error:  # a read must not fail
+                faults.append(error)
+
+    thread = threading.Thread(target=read)
+    thread.start()
+    for k in range(1, 5):
+        replace_days(version(k), name, path)
+    done.set()
+    thread.join()
+    assert not faults and len(seen) > 3
+    assert all(len(x) == 4 and all(a == b and n == 1000 for a, b, n in x) for x in seen)
+    assert {r.v for r in spark.table(name).select("v").distinct().collect()} == {4}
+
+
+def test_a_write_that_ends_before_the_swap_changes_nothing(spark, lake, monkeypatch):
+    name, path = lake.name("playerlogs"), lake.path("playerlogs")
+    replace_days(days(spark, (1, "2024-01-01")), name, path)
+    monkeypatch.setattr(tables, "_set_places", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        replace_days(days(spark, (2, "2024-01-01")), name, path)
+    monkeypatch.undo()
+    assert content(spark, name) == [(1, "2024-01-01")]
+    # Nor is what it left taken for the last version when the table is made anew.
+    spark.sql(f"drop table {name}")
+    replace_days(days(spark, (3, "2024-01-03")), name, path)
+    assert content(spark, name) == [(1, "2024-01-01"), (3, "2024-01-03")]
+
+
+def test_a_table_made_anew_finds_the_last_versions(spark, lake):
+    name, path = lake.name("playerlogs"), lake.path("playerlogs")
+    rows = days(spark, (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03"))
+    replace_days(rows.unionByName(rows.limit(1).withColumn(DAY, F.lit(None).cast("date"))), name, path)
+    replace_days(days(spark, (9, "2024-01-01")), name, path, days=("2024-01-01", "2024-01-02"))
+    def listed():
+        return sorted((r.v, str(r[DAY])) for r in spark.table(name).collect())
+
+    before = listed()
+    assert len(before) == 3
+    spark.sql(f"drop table {name}")
+    replace_days(days(spark, (5, "2024-01-05")), name, path)
+    assert listed() == sorted([*before, (5, "2024-01-05")])
+
+
+def test_superseded_versions_are_dropped_after_a_while(spark, lake):
+    name, path = lake.name("playerlogs"), lake.path("playerlogs")
+    for v in (1, 2):
+        replace_days(days(spark, (v, "2024-01-01"), (v, "2024-01-02")), name, path)
+    replace_days(days(spark, (3, "2024-01-02")), name, path)
+    assert drop_superseded(spark, name) == 0
+    assert drop_superseded(spark, name, timedelta(0)) == 3
+    assert content(spark, name) == [(2, "2024-01-01"), (3, "2024-01-02")]
+    assert drop_superseded(spark, name, timedelta(0)) == 0
+
+
+def test_the_catalog_is_asked_and_no_day_is_listed(spark, lake, monkeypatch):
+    name, path = lake.name("playerlogs"), lake.path("playerlogs")
+    many = [(k, f"2024-01-{k:02d}") for k in range(1, 31)]
+    replace_days(days(spark, *many), name, path)
+    asked = []
+    monkeypatch.setattr(tables, "folder_names", lambda s, f, names=folder_names: asked.append(f) or names(s, f))
+    replace_days(days(spark, *many), name, path, days=("2024-01-01", "2024-01-31"))
+    assert len(asked) == 1
+
+
+@pytest.mark.parametrize("moved", ["none", "old", "both"])
+def test_an_archive_whose_swap_ended_early_is_finished(spark, moved):
+    path = scratch_path(spark, "archive")
+    month_to_parquet(days(spark, (1, "2024-01-01")), path)
+    days(spark, (2, "2024-01-01")).write.parquet(f"{path}.checked-x")
+    if moved != "none":
+        move(spark, path, f"{path}.old-y")
+    if moved == "both":
+        move(spark, f"{path}.checked-x", path)
+    assert finish_archive(spark, path) == (moved == "old")
+    assert [r.v for r in spark.read.parquet(path).collect()] == [1 if moved == "none" else 2]
+    root, name = path.rsplit("/", 1)
+    assert [x for x in folder_names(spark, root) if x.startswith(name)] == [name]
