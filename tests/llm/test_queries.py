@@ -70,14 +70,14 @@ def result(session, folder, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "packing",
     ]
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"op11_conversation_trie"}))
 def test_equals_sql(session, folder, name):
     connection = duckdb.connect()
     for table in ("documents", "labels", "benchmark"):
