@@ -7,29 +7,26 @@ lower one, those at the beginning of a sentence included) become the placeholder
 their hash, so a question is found again after its numbers, units and names were
 changed.
 
-Capitals decide what is a name, so a text in other case has other template tokens. With
-``any_case`` each text has a second template as well, in which words are lower-cased and
-only numbers and units are slots; the windows of both kinds are kept apart, and an item is
-reported if those of either kind reach the share (the figures are those of the first kind
-if it does). The query and ``decontaminated`` ask for both.
+Capitals decide what is a name, so a text in other case has other template tokens. Each
+text therefore has a second template, in which words are lower-cased and only numbers and
+units are slots; the windows of both kinds are kept apart, and an item is reported if
+those of either kind reach the share (the figures are those of the first kind if it does).
 
 Then the slots are checked. Windows of one document, item and kind with the same distance
 between both places form a run; in a run each value of the item's slots must stand
-for one value of the document. Runs that are not consistent do not count, or, with
-``partly``, count without the windows that cover a slot which disagrees: each value of
-the item stands for its most frequent counterpart in the run (at equal numbers for
-itself, then for the greatest string), and the other slots of that value disagree. The
-query and ``decontaminated`` use ``partly``. An item is reported if the windows that
-count are at least half of its windows.
+for one value of the document, its most frequent counterpart in the run (at equal numbers
+itself, then the greatest string). Slots that disagree do not count, nor do the windows
+that cover one. An item is reported if the windows that count are at least half of its windows.
 
 Words consist of digits, letters A-Z and all characters beyond ASCII; a point or
 comma before a digit belongs to the number. Windows of which more than four tokens are placeholders match too much and are left out, on both sides alike, by leaving them
 out of the benchmark. Items without any other window (fewer than eight words, lists of
 figures) are searched for as they are, in any case: by their lower-cased words, or by
 windows of eight of these where there are more. An item of one word is thus found in
-every document that holds the word. Items without a word are not searched for. Null texts hold nothing; rows without an id are not searched, as there is
-no id to report. Rows with equal ids are searched together. Empty tables give no row.
-Other columns are ignored.
+every document that holds the word. Items without a word are not searched for. Null texts hold nothing. Every row is searched for
+itself, with a null or repeated id as well; rows of the same id (or none) and the same text are one, known by
+a hash of 64 bits. A text is one row of words in a task, so one of 20 MB takes some 500 MB
+there. Empty tables give no row. Other columns are ignored.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -91,10 +88,8 @@ def _case_free(values: Column, value: Column, at: Column) -> Column:
     )
 
 
-def with_kinds(rows: DataFrame, any_case: bool) -> DataFrame:
-    """The rows of ``with_templates`` with their ``kind``; with ``any_case`` one more row for each of them."""
-    if not any_case:
-        return rows.withColumn("kind", F.lit(NAMED))
+def with_kinds(rows: DataFrame) -> DataFrame:
+    """Each row of ``with_templates`` once for both kinds, with its ``kind``."""
     kept = [x for x in rows.columns if x != "tokens"]
     other = F.transform("values", lambda x, at: _case_free(F.col("values"), x, at))
     kinds = F.array(
@@ -120,7 +115,7 @@ def _usable(tokens: Column, at: Column) -> Column:
     return F.size(F.filter(F.slice(tokens, at + 1, F.lit(WINDOW)), lambda x: x.isin(*SLOTS))) <= MOST_SLOTS
 
 
-def benchmark_items(benchmark: DataFrame, any_case: bool = False) -> DataFrame:
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """``item_id, kind, item_tokens, item_values`` of the items with at least one window of the kind.
 
     An item without a usable window of any kind is there once, as ``LITERAL``.
@@ -130,7 +125,7 @@ def benchmark_items(benchmark: DataFrame, any_case: bool = False) -> DataFrame:
         F.size("tokens") >= WINDOW,
         F.exists(F.sequence(F.lit(0), F.size("tokens") - WINDOW), lambda at: _usable(F.col("tokens"), at)),
     ).otherwise(F.lit(False))
-    rows = with_kinds(with_templates(rows), any_case).withColumn("some", some)
+    rows = with_kinds(with_templates(rows)).withColumn("some", some)
     literal = (
         rows.where(F.size("values") > 0)
         .groupBy("item_id", "values")
@@ -185,30 +180,29 @@ def _of_kind() -> Column:
     return F.xxhash64("kind", "window")
 
 
-def contaminated(
-    documents: DataFrame,
-    benchmark: DataFrame,
-    least_share: float = LEAST_SHARE,
-    any_case: bool = False,
-    partly: bool = False,
-) -> DataFrame:
-    """``doc_id, item_id, n_windows, item_windows, n_slots, n_changed``: a row for each item found in a document.
+def _row() -> Column:
+    """What tells rows apart: a hash of id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row")
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+    """``doc_id, item_id, n_windows, item_windows, n_slots, n_changed, row``: a row for each item found in a document.
 
     ``n_slots`` counts the slots in the windows that count, ``n_changed`` those whose value
-    differs from the item's.
+    differs from the item's. ``row`` is the hash of id and text.
     """
-    items = benchmark_items(benchmark, any_case)
+    items = benchmark_items(benchmark)
     wanted = item_windows(items)
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
-    source = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _row())
     hits = (
-        with_windows(with_kinds(with_templates(source), any_case).select("doc_id", "kind", "tokens"))
-                # The inner form adds a test of the array's size, which would compute the array once more.
-        .select("doc_id", "kind", F.posexplode_outer("windows").alias("at", "window"))
-        .select("doc_id", "at", _of_kind().alias("window"))
+        with_windows(with_kinds(with_templates(source)).select("row", "kind", "tokens"))
+        # The inner form adds a test of the array's size, which would compute the array once more.
+        .select("row", "kind", F.posexplode_outer("windows").alias("at", "window"))
+        .select("row", "at", _of_kind().alias("window"))
         .join(wanted, "window")
-        .select("doc_id", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
+        .select("row", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
     )
     literal = literal_windows(items)
     # At most eight different lengths.
@@ -217,24 +211,24 @@ def contaminated(
         every = F.concat(*(_literal_windows(F.lit(size)) for size in sizes))
         literal_hits = (
             with_templates(source)
-            .select("doc_id", F.inline_outer(every))
+            .select("row", F.inline_outer(every))
             .join(literal.drop("size"), "window")
-            .select("doc_id", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
+            .select("row", "item_id", "kind", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_windows")
         )
         hits = hits.unionByName(literal_hits)
-    runs = hits.groupBy("doc_id", "item_id", "kind", "shift", "item_windows").agg(
+    runs = hits.groupBy("row", "item_id", "kind", "shift", "item_windows").agg(
         F.array_sort(F.collect_set("item_at")).alias("places")
     )
     # Items of which too few windows occur at all go no further.
     found = (
-        runs.groupBy("doc_id", "item_id", "kind")
+        runs.groupBy("row", "item_id", "kind")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max("item_windows").alias("of"))
         .where(F.col("n") >= F.col("of") * least_share)
-        .select("doc_id", "item_id", "kind")
+        .select("row", "item_id", "kind")
     )
-    runs = runs.join(found, ["doc_id", "item_id", "kind"])
-    texts = with_templates(source.join(found.select("doc_id").distinct(), "doc_id"))
-    texts = with_kinds(texts, any_case)
+    runs = runs.join(found, ["row", "item_id", "kind"])
+    texts = with_templates(source.join(found.select("row").distinct(), "row").dropDuplicates(["row"]))
+    texts = with_kinds(texts)
     if sizes:
         plain = texts.where(F.col("kind") == NAMED).withColumn("kind", F.lit(LITERAL))
         texts = texts.unionByName(plain.withColumn("tokens", F.col("values")))
@@ -252,10 +246,9 @@ def contaminated(
             F.get("values", i + F.col("shift")).alias("other"),
         ),
     )
-    # Rows with equal ids and other texts are checked apart.
-    run = ["doc_id", "item_id", "kind", "shift", "item_windows", "copy"]
+    run = ["row", "doc_id", "item_id", "kind", "shift", "item_windows"]
     votes = (
-        runs.join(texts.withColumn("copy", F.xxhash64("values")), ["doc_id", "kind"])
+        runs.join(texts, ["row", "kind"])
         .join(items, ["item_id", "kind"])
         .select(*run, "places", pairs.alias("pairs"))
         .select(*run, "places", F.inline_outer("pairs"))
@@ -274,18 +267,15 @@ def contaminated(
             F.flatten(F.collect_list(F.array_except("all", "most.slots"))).alias("bad"),
         )
     )
-    if partly:
-        left = F.filter("places", lambda p: ~F.exists("bad", lambda i: (p <= i) & (i < p + WINDOW)))
-        checked = checked.withColumn("places", left)
-    else:
-        checked = checked.where(F.size("bad") == 0)
+    left = F.filter("places", lambda p: ~F.exists("bad", lambda i: (p <= i) & (i < p + WINDOW)))
+    checked = checked.withColumn("places", left)
 
     def covered(slots: str) -> Column:
         return F.size(F.filter(slots, lambda i: F.exists("places", lambda p: (p <= i) & (i < p + WINDOW))))
 
     figures = ["n_windows", "item_windows", "n_slots", "n_changed"]
     return (
-        checked.groupBy("doc_id", "item_id", "kind")
+        checked.groupBy("row", "doc_id", "item_id", "kind")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
             F.max("item_windows").alias("item_windows"),
@@ -293,14 +283,13 @@ def contaminated(
             F.sum(covered("changed")).alias("n_changed"),
         )
         .where(F.col("n_windows") >= F.col("item_windows") * least_share)
-        .groupBy("doc_id", "item_id")
+        .groupBy("row", "doc_id", "item_id")
         .agg(F.min_by(F.struct(*figures), "kind").alias("best"))
-        .select("doc_id", "item_id", *(f"best.{x}" for x in figures))
+        .select("doc_id", "item_id", *(f"best.{x}" for x in figures), "row")
     )
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All rows and columns of ``documents`` but those with a benchmark item; rows without an id stay."""
-    found = contaminated(documents, benchmark, any_case=True, partly=True)
-    found = found.select(F.col("doc_id").alias("found_id")).distinct()
-    return documents.join(found, documents["doc_id"].cast("long") == found["found_id"], "left_anti")
+    """All rows and columns of ``documents`` but those with a benchmark item."""
+    found = contaminated(documents, benchmark).select(F.col("row").alias("found_row")).distinct()
+    return documents.join(found, _row() == found["found_row"], "left_anti")

@@ -41,7 +41,7 @@ from arenalake.llm.components import components
 from arenalake.llm.repeated_keys import NO_ID, Repeated, with_repeated
 from arenalake.llm.store import stored
 from arenalake.llm.windows import Sums
-from arenalake.llm.words import BYTE_CODES, lowered, mixed, span_hashes, text_slices, word_spans
+from arenalake.llm.words import lowered, mixed, text_slices, word_hashes, word_spans
 
 SHINGLE = 5
 #: Similarity in hundredths, so that the test is exact.
@@ -64,7 +64,7 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         data = lowered(data)
         starts, ends = word_spans(data, offsets)
         bounds = np.searchsorted(starts, offsets)
-        sums = Sums(span_hashes(BYTE_CODES[data], starts, ends))
+        sums = Sums(word_hashes(data, starts, ends))
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if low == high:
                 yield np.zeros(0, np.uint64)
@@ -92,19 +92,19 @@ def prefix(times: np.ndarray, n: int, threshold: int) -> tuple[int, int]:
 
 
 def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_key``: the smallest id that links lead to, itself included.
+    """``doc_id, n_shingles, component_id, class_key, component, row``: the smallest id that links lead to, itself included.
 
-    Documents of equal sets share the ``class_key``; it is null for documents without
-    any possible partner.
+    Documents of equal sets share the ``class_key``, those of a component ``component``; both are null for
+    documents without any possible partner. ``row`` is the hash of id and text.
     """
     schema = pa.schema([
-        ("src", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("level", pa.int32()),
+        ("src", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("level", pa.int32()),
         ("shared", pa.int64()), ("weight", pa.int64()),
         ("postings", pa.list_(pa.struct([("token", pa.int64()), ("place", pa.int32()), ("need", pa.int32())]))),
         ("tokens", pa.binary()),
     ])
     ddl = (
-        "src long, doc long, n long, key long, level int, shared long, weight long, "
+        "src long, doc long, row long, n long, key long, level int, shared long, weight long, "
         "postings array<struct<token:long,place:int,need:int>>, tokens binary"
     )
 
@@ -113,16 +113,16 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
 
     def prefixes(table: pa.Table, repeated: Repeated) -> pa.Table:
         out = []
-        docs = table.column("doc").to_pylist()
+        docs, rows = (table.column(x).to_pylist() for x in ("doc", "row"))
         src = table.column("src")[0].as_py() if docs else 0
         sets = list(shingle_sets(table.column("text").combine_chunks(), shingle))
         all_times = repeated.times(np.concatenate([np.zeros(0, np.uint64), *sets]))
         at = 0
-        for doc, own in zip(docs, sets, strict=True):
+        for doc, name, own in zip(docs, rows, sets, strict=True):
             n = len(own)
             times = all_times[at : at + n]
             at += n
-            row = {"src": src, "doc": doc, "n": n}
+            row = {"src": src, "doc": doc, "row": name, "n": n}
             if n and int((times > 1).sum()) >= needed(n, threshold):
                 order = np.lexsort((own, times))
                 level, length = prefix(times[order], n, threshold)
@@ -205,14 +205,17 @@ def similar(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRES
         .select("key", "least", F.coalesce("component", "key").alias("group"))
     )
     names = groups.groupBy("group").agg(F.min("least").alias("component_id"))
-    labels = groups.join(names, "group").select("key", "component_id")
-    alone = rows.where("key is null").select("key", "doc", "n", F.col("doc").alias("component_id"))
-    back = alone.unionByName(alive.select("key", "doc", "n").join(labels, "key"))
+    labels = groups.join(names, "group").select("key", "component_id", "group")
+    alone = rows.where("key is null").select("key", "doc", "row", "n", F.col("doc").alias("component_id"))
+    alone = alone.withColumn("group", F.lit(None).cast("long"))
+    back = alone.unionByName(alive.select("key", "doc", "row", "n").join(labels, "key"))
     return back.select(
         F.nullif("doc", F.lit(NO_ID)).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.nullif("component_id", F.lit(NO_ID)).alias("component_id"),
         F.col("key").alias("class_key"),
+        F.col("group").alias("component"),
+        "row",
     )
 
 

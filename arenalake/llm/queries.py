@@ -192,7 +192,7 @@ group by d.doc_id
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, in any case, with its numbers, names and units changed or not."""
     documents, benchmark = (table(spark, sf_dir, x) for x in ("documents", "benchmark"))
-    return contaminated(documents, benchmark, any_case=True, partly=True)
+    return contaminated(documents, benchmark)
 
 
 @query

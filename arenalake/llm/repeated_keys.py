@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arenalake.llm.store import stored, texts
@@ -119,23 +119,30 @@ def extent(documents: DataFrame) -> Extent:
     row = texts(documents).agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"),
-        F.count_distinct(F.xxhash64("doc_id", "text")).alias("different"),
+        F.count_distinct(row_hash()).alias("different"),
     ).first()
     return Extent(max(row["n"], -(-row["size"] // DOCUMENT_BYTES)), row["different"] < row["n"])
 
 
+def row_hash() -> Column:
+    """A hash of a row's id and text (null: empty), as ``grouped`` has it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def grouped(documents: DataFrame, of: Extent) -> DataFrame:
-    """``src, doc, text``; ``doc`` is the id, a null one comes before all."""
-    rows = texts(documents).withColumn("dealt", F.xxhash64("doc_id", "text"))
+    """``src, doc, row, text``; ``doc`` is the id, a null one comes before all, ``row`` a hash of id and text."""
+    rows = texts(documents).withColumn("dealt", row_hash())
     if of.equal_rows and of.groups > 1:
         equal = stored(rows.groupBy("dealt").count().where("count > 1").select("dealt"))
         # Stored, so that a task that runs again gives a row the same number.
         numbered = stored(rows.join(equal, "dealt", "left_semi").withColumn("number", F.monotonically_increasing_id()))
-        numbered = numbered.select("doc_id", "text", F.xxhash64("dealt", "number").alias("dealt"))
-        rows = rows.join(equal, "dealt", "left_anti").unionByName(numbered)
+        numbered = numbered.select("doc_id", "text", F.xxhash64("dealt", "number").alias("dealt"), F.col("dealt").alias("row"))
+        rows = rows.withColumn("row", F.col("dealt")).join(equal, "dealt", "left_anti").unionByName(numbered)
+    else:
+        rows = rows.withColumn("row", F.col("dealt"))
     doc = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
     src = F.pmod(F.col("dealt"), F.lit(of.groups)).cast("long").alias("src")
-    return rows.select(src, doc, "text")
+    return rows.select(src, doc, "row", "text")
 
 
 def with_repeated(

@@ -26,10 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+#: Rows go to Python workers in batches of this size (one row may be larger), so that their memory does not
+#: follow the length of texts times the number of rows in a batch.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application."""
+    """Send this package to the Python workers, once for each application, and bound their batches."""
+    spark.conf.set(BATCH_BYTES, "4m")
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from arenalake.llm.window_repeats import Job, Slice, without_repeats
-from arenalake.llm.words import BYTE_CODES, span_hashes, word_spans
+from arenalake.llm.words import word_hashes, word_spans
 
 WINDOW = 50
 GRAM = 10
@@ -30,7 +30,7 @@ class Words(Slice):
         self.raw = data.tobytes()
         self.starts, self.ends = word_spans(data, offsets)
         self.bounds = np.searchsorted(self.starts, offsets)
-        self.codes = span_hashes(BYTE_CODES[data], self.starts, self.ends)
+        self.codes = word_hashes(data, self.starts, self.ends)
 
     def packed(self, start: int, end: int) -> bytes:
         return b" ".join(self.raw[self.starts[start] : self.ends[end - 1]].split())

@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 
 from arenalake.llm.repeated_keys import NO_ID, Repeated, extent, with_repeated
 from arenalake.llm.store import stored
-from arenalake.llm.windows import Sums, sliding_minimum, super_kmers, united
+from arenalake.llm.windows import Sums, blocks, sliding_minimum, super_kmers, united
 from arenalake.llm.words import text_slices
 
 DONE, TEXT, RUN = 0, 1, 2
 #: Different super-k-mers of one smallest gram that one bucket takes; some 100 MB with the heads
 #: of their suffixes.
 HOT_KINDS = 20_000
+#: Super-k-mers of one slice that are looked at together.
+AGAIN_RUNS = 4096
 #: Texts are handled some so many bytes at a time, which keeps the arrays in the processor's cache.
 SLICE_BYTES = 1 << 18
 
@@ -70,16 +72,8 @@ class Job:
 def _keys(job: Job, part: Slice) -> np.ndarray:
     """A key for each place that is the smallest gram of a window, or for each such gram of a document."""
     if job.within:
-        if len(part.codes) < job.width:
-            return np.zeros(0, np.uint64)
-        grams = Sums(part.codes).grams(job.gram)
-        span = job.width - job.gram + 1
-        least = sliding_minimum(grams, span)
-        ends = np.repeat(part.bounds[1:], np.diff(part.bounds))[: len(least)]
-        least[np.arange(len(least)) + job.width > ends] = 0
-        # The largest minimum of all windows around a place, if the gram there is one of these minima.
-        around = np.concatenate([np.full(span - 1, 0, np.uint64), least, np.full(span - 1, 0, np.uint64)])
-        return grams[grams == ~sliding_minimum(~around, span)]
+        found = [_smallest(job, codes, bounds) for _, codes, bounds in blocks(part.codes, part.bounds, job.width)]
+        return np.concatenate(found)
     starts, _, least, _ = super_kmers(part.codes, part.bounds, job.width, job.gram)
     owner = np.searchsorted(part.bounds, starts, "right") - 1
     order = np.lexsort((least, owner))
@@ -88,15 +82,35 @@ def _keys(job: Job, part: Slice) -> np.ndarray:
     return least[new]
 
 
+def _smallest(job: Job, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    if len(codes) < job.width:
+        return np.zeros(0, np.uint64)
+    grams = Sums(codes).grams(job.gram)
+    span = job.width - job.gram + 1
+    least = sliding_minimum(grams, span)
+    ends = np.repeat(bounds[1:], np.diff(bounds))[: len(least)]
+    least[np.arange(len(least)) + job.width > ends] = 0
+    # The largest minimum of all windows around a place, if the gram there is one of these minima.
+    around = np.concatenate([np.full(span - 1, 0, np.uint64), least, np.full(span - 1, 0, np.uint64)])
+    return grams[grams == ~sliding_minimum(~around, span)]
+
+
 def _again(job: Job, part: Slice, starts: np.ndarray, counts: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Whether the smallest gram of a super-k-mer occurs in it more than once."""
-    if not job.within or not len(starts):
-        return np.zeros(len(starts), bool)
-    grams = Sums(part.codes).grams(job.gram)
-    sizes = counts + job.width - job.gram
-    begins = np.cumsum(sizes) - sizes
-    places = np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))
-    return np.add.reduceat((grams[places] == np.repeat(least, sizes)).astype(np.int64), begins) > 1
+    out = np.zeros(len(starts), bool)
+    if not job.within:
+        return out
+    for low in range(0, len(starts), AGAIN_RUNS):
+        few = slice(low, low + AGAIN_RUNS)
+        sizes = counts[few] + job.width - 1
+        first, last = int(starts[few][0]), int((starts[few] + sizes).max())
+        grams = Sums(part.codes[first:last]).grams(job.gram)
+        sizes = sizes - job.gram + 1
+        begins = np.cumsum(sizes) - sizes
+        places = np.repeat(starts[few] - first - begins, sizes) + np.arange(int(sizes.sum()))
+        same = grams[places] == np.repeat(least[few], sizes)
+        out[few] = np.add.reduceat(same.astype(np.int64), begins) > 1
+    return out
 
 
 def _slices(job: Job, table: pa.Table) -> Iterator[tuple[int, int, Slice]]:

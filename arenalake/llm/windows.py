@@ -3,6 +3,10 @@
 A sequence of codes (bytes, or hashes of words) has a window of ``width`` at every
 place, and a gram of ``gram`` codes at every place. Equal windows have equal smallest
 gram hashes, so a window can only equal windows of the same bucket of that hash.
+
+A smallest gram lies in at most ``width - gram + 1`` windows, so a longer run means that it comes
+again and again (a line of blanks). Such a run is cut after that many windows; its pieces are
+equal and count as one, however long the run is. Long texts are taken in blocks of windows.
 """
 
 import numpy as np
@@ -37,12 +41,33 @@ def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+#: Windows that are handled at a time.
+BLOCK = 1 << 20
+
+
+def blocks(codes: np.ndarray, bounds: np.ndarray, width: int, size: int | None = None):
+    """(first window, codes, bounds) of the blocks of a long array; together they hold every window once."""
+    size = size or BLOCK
+    for low in range(0, max(1, len(codes) - width + 1), size):
+        high = min(len(codes), low + size + width - 1)
+        yield low, codes[low:high], np.clip(bounds, low, high) - low
+
+
 def super_kmers(codes: np.ndarray, bounds: np.ndarray, width: int, gram: int):
     """(starts, numbers of windows, smallest gram hash, hash of the whole) of all super-k-mers.
 
     ``bounds``: where each document begins among the codes, and the end. No window
     crosses a document's border.
     """
+    found = [
+        (starts + low, *more)
+        for low, part, inside in blocks(codes, bounds, width)
+        for starts, *more in [_super_kmers(part, inside, width, gram)]
+    ]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _super_kmers(codes: np.ndarray, bounds: np.ndarray, width: int, gram: int):
     none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if len(codes) < width:
         return none
@@ -61,6 +86,13 @@ def super_kmers(codes: np.ndarray, bounds: np.ndarray, width: int, gram: int):
     last = whole.copy()
     last[:-1] &= new[1:] | ~whole[1:]
     counts = np.flatnonzero(last) + 1 - starts
+    most = width - gram + 1
+    if (counts > most).any():
+        pieces = -(-counts // most)
+        number = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        ends = np.repeat(starts + counts, pieces)
+        starts = np.repeat(starts, pieces) + number * most
+        counts = np.minimum(ends - starts, most)
     return starts, counts, least[starts], sums.spans(starts, starts + counts + width - 1)
 
 

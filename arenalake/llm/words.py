@@ -47,7 +47,23 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed((sums[ends] - sums[starts]) * back + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
-def text_slices(texts: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+#: Bytes of a text whose words are hashed at a time.
+HASHED_BYTES = 1 << 20
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word ``data[start:end]``; the words are in order and do not overlap. Long data goes in blocks."""
+    out = np.zeros(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + HASHED_BYTES, "right")))
+        first, last = int(starts[low]), int(ends[high - 1])
+        out[low:high] = span_hashes(BYTE_CODES[data[first:last]], starts[low:high] - first, ends[low:high] - first)
+        low = high
+    return out
+
+
+def text_slices(texts: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, last, data, offsets) of consecutive texts, some ``most_bytes`` at a time.
 
     A single text may be longer; memory is bounded by the longest text.

@@ -179,5 +179,23 @@ def test_stages_keep_columns_and_take_empty_tables(session, folder, with_clashin
 
 def test_stages_keep_odd_rows(session, folder, documents, with_clashing_columns):
     docs = with_clashing_columns(documents([(None, "a b c"), (None, None), (5, ""), (5, "same same"), (5, "same same")]))
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(session, docs, folder).count() == 5
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        # Of two equal rows one stays.
+        assert stage(session, docs, folder).count() == (4 if name == "ngram_jaccard_join" else 5)
+
+
+def test_near_copies_are_decided_by_row(session, folder, documents):
+    """Rows without an id or with one id: one of each component stays, and no text without a copy is lost."""
+    base, other, third = (words(f"row{k}", 60, PLAIN) for k in range(3))
+    near = base.replace(base.split()[30], "changed", 1)
+    docs = documents([(7, base), (7, other), (8, near), (None, near), (None, third), (None, third), (None, words("own", 40, PLAIN))])
+    kept = corpus_pipeline.without_near_copies(session, docs, folder).collect()
+    wanted = [("7", base), ("7", other), ("None", third), ("None", words("own", 40, PLAIN))]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(wanted)
+
+
+def test_contaminated_rows_without_an_id_go(session, folder, documents):
+    item = words("item", 30, PLAIN)
+    docs = documents([(None, f"{item} more"), (3, f"less {item}"), (3, "clean"), (None, "clean too"), (None, None)])
+    kept = corpus_pipeline.without_benchmark(session, docs, folder).collect()
+    assert sorted(str(r.text) for r in kept) == ["None", "clean", "clean too"]

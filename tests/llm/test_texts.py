@@ -318,7 +318,10 @@ def test_items_are_found_again_with_other_values(session, documents):
         f"{before} {QUESTION.upper()} {after}", f"{before}\n{changed}, {after}", f"{before} {inconsistent}",
         f"{before} {after}", f"{BENCHMARK[1][1]}! {before}", QUESTION, f"{before} {' '.join(QUESTION.split()[:9])} {after}",
     ]
-    assert found_in(session, documents, texts) == {(1, 1): (True, True), (4, 2): (False, False), (5, 1): (True, False)}
+    assert found_in(session, documents, texts) == {
+        # In another case, with other values, and with one slot that disagrees.
+        (0, 1): (True, False), (1, 1): (True, True), (2, 1): (True, True), (4, 2): (False, False), (5, 1): (True, False),
+    }
 
 
 def test_template_tokens(session, documents):
@@ -332,10 +335,12 @@ def test_template_tokens(session, documents):
 def test_items_in_odd_tables(session, documents, with_clashing_columns):
     docs = with_clashing_columns(documents([*ODD, (None, QUESTION), (4, QUESTION), (4, "clean")]))
     bench = items(session).withColumn("window", F.lit("own")).withColumn("doc_id", F.lit(7))
-    assert [(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()] == [(4, 1)]
+    found = sorted((str(r.doc_id), r.item_id) for r in contaminated(docs, bench).collect())
+    assert found == [("4", 1), ("None", 1)]
     kept = decontaminated(docs, bench)
     assert kept.schema == docs.schema
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 0, 1, 2, 3, 5, 6, 7] or kept.count() == 8
+    left = [*enumerate(ODD), (4, "clean")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, left))
     assert contaminated(docs, bench.limit(0)).collect() == contaminated(docs.limit(0), bench).collect() == []
 
 
@@ -352,7 +357,7 @@ def test_copies_in_other_case_are_found(session, documents):
     before = words(3, 30, ["xa", "yo", "zu"])
     cases = [QUESTION, QUESTION.upper(), QUESTION.lower(), QUESTION.title()]
     docs = documents([*(f"{before} {x} {before}" for x in cases), QUESTION.upper().replace("120 KM", "99 MI"), before])
-    found = contaminated(docs, items(session), any_case=True).collect()
+    found = contaminated(docs, items(session)).collect()
     assert sorted((r.doc_id, r.item_id, r.n_changed > 0) for r in found) == [*((k, 1, False) for k in range(4)), (4, 1, True)]
     assert [r.doc_id for r in decontaminated(docs, items(session)).collect()] == [5]
 
@@ -363,7 +368,7 @@ def test_one_clashing_slot_drops_only_its_windows(session, documents):
     edited = QUESTION.replace("Alice", "Carol", 1)
     half = QUESTION.replace("of Bob", "of a").replace("runs", "goes")
     docs = documents([edited, apart, half])
-    found = contaminated(docs, items(session, [(1, QUESTION), (2, sums)]), partly=True).collect()
+    found = contaminated(docs, items(session, [(1, QUESTION), (2, sums)])).collect()
     # A slot that disagrees at place 3 of 23 tokens is covered by four of 16 windows.
     assert {(r.doc_id, r.item_id): (r.n_windows, r.item_windows) for r in found} == {(0, 1): (12, 16), (1, 2): (14, 16)}
     assert [r.doc_id for r in decontaminated(docs, items(session, [(1, QUESTION), (2, sums)])).collect()] == [2]
@@ -377,7 +382,6 @@ def test_items_without_a_window_are_found_as_they_are(session, documents):
         f"{before} the CAPITAL of Peru is {before}", f"{before} {figures} {before}", f"capital {before} of Peru",
         before, " ".join(figures.split()[:9]), QUESTION, "of", "",
     ])
-    for more in ({}, {"any_case": True, "partly": True}):
-        found = contaminated(docs, bench, **more).collect()
-        assert {(r.doc_id, r.item_id): r.n_windows for r in found} == {(0, 1): 1, (1, 2): 13, (5, 5): 16}
+    found = contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id): r.n_windows for r in found} == {(0, 1): 1, (1, 2): 13, (5, 5): 16}
     assert sorted(r.doc_id for r in decontaminated(docs, bench).collect()) == [2, 3, 4, 6, 7]
