@@ -5,7 +5,7 @@ Parquet and read again as the next one's ``docs``. All but the last return the c
 of ``documents``. A stage works on all rows that the one before has kept; benchmark
 items and labels come from the tables of ``sf_dir``.
 
-Rows without an id are kept by every stage that decides by id; they are packed like all
+Every stage decides by row, so rows without an id, or of the same id, are treated like all
 others. Columns beyond those of ``documents`` pass through.
 """
 
@@ -22,6 +22,7 @@ from arenalake.llm import decontaminate, secret_scan, toxicity  # noqa: E402
 from arenalake.llm.jaccard_join import similar  # noqa: E402
 from arenalake.llm.packing import pack  # noqa: E402
 from arenalake.llm.queries import table, tokenizer_path  # noqa: E402
+from arenalake.llm.repeated_keys import row_hash  # noqa: E402
 from arenalake.llm.store import ship, stored  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,15 +35,23 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest id.
+    """Of each component of similar documents one row: the smallest id, rows without an id last.
 
-    Rows with equal ids are kept or dropped together; documents without words and
-    documents without an id stay.
+    Documents without words stay. Of rows with equal id and text one stays.
     """
     ship(spark)
-    copies = similar(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    copies = stored(copies)
-    return docs.join(copies, docs["doc_id"].cast("long") == copies["copy_id"], "left_anti")
+    found = stored(similar(docs).where("component is not null").select("component", "doc_id", "row"))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    first = found.groupBy("component").agg(F.min(place).alias("first"))
+    copies = found.join(first, "component").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("copy_row"))
+    copies = stored(copies.distinct())
+    kept = docs.join(copies, row_hash() == copies["copy_row"], "left_anti")
+    twice = stored(found.groupBy("row").count().where("count > 1").select(F.col("row").alias("twice_row")))
+    if twice.isEmpty():
+        return kept
+    equal = row_hash() == twice["twice_row"]
+    several = kept.join(twice, equal, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, equal, "left_anti").unionByName(several)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
