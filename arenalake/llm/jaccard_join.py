@@ -54,7 +54,7 @@ OWN = ("key", "n", "level", "shared", "weight")
 #: Hubs each open document is verified against in a further round.
 HUBS = 4
 #: Rounds go on while more than this share of the tries are links.
-FRUITFUL = 0.1
+FRUITFUL = 0.5
 TOKEN = np.uint64((1 << 48) - 1)
 
 

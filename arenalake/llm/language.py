@@ -6,13 +6,15 @@ longest phrases the automaton accepts; a text in the sample's language needs few
 them. ``phrases * log2(sample length) / text length`` estimates the cross entropy in
 bits, and the language with the least wins.
 
-The sample is bounded: about ``SAMPLE_TEXTS`` labelled texts of each language,
-chosen by a hash of id and text (equal rows count once), of each ``SAMPLE_PART`` code points at most, together
-``SAMPLE_CHARS``. Prediction reads whole texts, in blocks of ``BLOCK`` code points
+The sample is bounded: of each language's labelled texts, some ``SAMPLE_TEXTS`` rows by a
+hash of id and text (equal rows count once), in the order of the hash as many as fit
+into ``SAMPLE_CHARS`` code points, each of them whole; where none fits, the shortest. Prediction reads
+whole texts, in blocks of ``BLOCK`` code points
 that are parsed side by side; a block's end also ends a phrase, for all languages
-alike. All characters of the samples are told apart: the ``CLASSES - 1`` most frequent have
+alike. All characters of the samples are told apart: the most frequent, at most ``CLASSES - 1``, have
 a column each in a table of transitions, those of all others are looked up among sorted
-keys. A character of no sample ends a phrase in every language. Only letters and single blanks between them are parsed, in lower case.
+keys. The table has at most ``TABLE_CELLS`` cells, so with hundreds of languages it has few
+columns, and most transitions are keys: slower, with the same result. A character of no sample ends a phrase in every language. Only letters and single blanks between them are parsed, in lower case.
 
 The score is 1 - least / second least of the estimates (1 with one language).
 Without a letter, or without any labelled text, the prediction is ``und`` and the
@@ -32,9 +34,9 @@ from pyspark.sql import functions as F
 from arenalake.llm.store import texts
 
 SAMPLE_TEXTS = 60
-SAMPLE_PART = 1500
 SAMPLE_CHARS = 30_000
 CLASSES = 128  # columns of the table of transitions; the transitions of rarer characters are sorted keys
+TABLE_CELLS = 48_000_000
 BLOCK = 1024
 LANES = 4096
 NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -101,26 +103,28 @@ class CrossParser:
         # Codes by frequency, from 1; points are sorted.
         self.known, self.code = points, np.empty(len(points), np.int64)
         self.code[np.argsort(-times, kind="stable")] = np.arange(1, len(points) + 1)
-        self.width = width = min(len(points) + 1, CLASSES)
-        tables, roots, at = [], [], 0
+        automata = [suffix_moves(self._classes(_points(samples[x])).tolist()) for x in self.languages]
+        states = sum(map(len, automata))
+        self.width = width = max(1, min(len(points) + 1, CLASSES, TABLE_CELLS // max(1, states)))
+        kind = np.int32 if 2 * states * width < 1 << 31 else np.int64
+        roots, at = [], 0
         keys, targets = [], []
-        for language in self.languages:
-            moves = suffix_moves(self._classes(_points(samples[language])).tolist())
+        self.table = np.zeros(states * width, kind)
+        for moves in automata:
             for state, out in enumerate(moves):
                 for code, target in out.items():
                     if code >= width:
                         keys.append(self._key(at + state, code))
                         targets.append(at + target)
-            table = dense(moves, width)  # class 0: characters of no sample
+            table = dense(moves, width).astype(kind)  # class 0: characters of no sample
             start = table[0].copy()
             # A phrase that cannot go on ends, and the character begins the next one.
             fails = table < 0
             table = np.where(fails, np.where(start < 0, 0, start)[None, :], table)
             # The lowest bit counts the phrase; the rest is where the next state's row begins.
-            tables.append((table + at) * (width * 2) + fails)
+            self.table[at * width : (at + len(table)) * width] = ((table + at) * (width * 2) + fails).ravel()
             roots.append(at * width)
             at += len(table)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int64)
         order = np.argsort(np.array(keys, np.int64))
         self.keys, self.targets = np.array(keys, np.int64)[order], np.array(targets, np.int64)[order]
@@ -217,22 +221,40 @@ def learned(labelled: DataFrame) -> dict[str, str]:
         return {}
     chance = F.pmod("order", F.lit(1_000_000))
     most = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE_TEXTS / n) * 1_000_000)))
-    # Some SAMPLE_TEXTS rows of SAMPLE_PART characters for each language.
-    chosen = (
+    # Some SAMPLE_TEXTS rows of two numbers for each language.
+    ranked = (
         rows.where(chance < F.element_at(most, F.col("lang")))
-        .select("lang", "order", F.substring("text", 1, SAMPLE_PART).alias("part"))
         .groupBy("lang", "order")
-        .agg(F.min("part").alias("part"))
+        .agg(F.min(F.length("text")).alias("size"))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
         .where(F.col("rank") <= 4 * SAMPLE_TEXTS)
     )
-    parts: dict[str, list[str]] = {k: [] for k in counts}
-    for row in sorted(chosen.collect(), key=lambda x: (x.lang, x.order, x.part)):
-        parts[row.lang].append(letters(row.part))
-    samples = {k: " ".join(x)[:SAMPLE_CHARS] for k, x in parts.items()}
+    chosen = _fitting(sorted(map(tuple, ranked.select("lang", "order", "size").collect())))
+    if not chosen:
+        return {}
+    wanted = rows.sparkSession.createDataFrame(chosen, "lang string, order long")
+    found = rows.join(F.broadcast(wanted), ["lang", "order"]).groupBy("lang", "order").agg(F.min("text").alias("text"))
+    parts: dict[str, list[str]] = {}
+    for row in sorted(found.collect()):
+        parts.setdefault(row.lang, []).append(letters(row.text))
+    samples = {k: " ".join(x) for k, x in parts.items()}
     return {k: x for k, x in samples.items() if x}
 
 
+def _fitting(rows: list[tuple[str, int, int]]) -> list[tuple[str, int]]:
+    """Of each language, in order, the (language, order, size) that fit into ``SAMPLE_CHARS``; the shortest if none does."""
+    taken: dict[str, int] = {}
+    out = []
+    for lang, order, size in rows:
+        if taken.get(lang, 0) + size <= SAMPLE_CHARS:
+            taken[lang] = taken.get(lang, 0) + size
+            out.append((lang, order))
+    for lang in {x[0] for x in rows} - set(taken):
+        _, order = min((size, order) for name, order, size in rows if name == lang)
+        out.append((lang, order))
+    return out
+
+
 _parsers: dict[tuple, CrossParser] = {}
 
 

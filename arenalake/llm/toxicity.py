@@ -13,9 +13,10 @@ half form the spans. A logistic function of the number of toxic tokens (the sum
 their probabilities) and of the highest probability, fitted on the sample's
 documents, gives a document's score. Chains begin anew after ``CHAIN`` tokens.
 
-The sample is bounded: some ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN`` other
-labelled documents, by a hash of their id, at most ``FEATURES`` suspect features and
-``TRAIN_CHAINS`` chains. Scoring reads whole texts.
+The sample is bounded: of the labelled documents ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN`` others, those
+with the smallest hashes of id, one text each (the one of the smallest hash); of their chains with a suspect
+feature the first ``TRAIN_CHAINS`` in that order; and at most ``FEATURES`` suspect features, those of the most
+toxic documents. Scoring reads whole texts; a text takes some 100 bytes for each of its own in one task.
 
 Null or empty text: no span, the lowest score. Without labels of both kinds every
 score is 0. Several labels of a document: toxic if one of them says so; a null label
@@ -28,15 +29,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenalake.llm.store import texts
+from arenalake.llm.store import stored, texts
 from arenalake.llm.words import BYTE_CODES, folded, mixed, runs, span_hashes, text_slices
 
 PREFIXES = (4, 5, 6, 7)
 LEAST_ODDS = 20.0
-LEAST_CONTEXTS = 8
+LEAST_CONTEXTS = 5
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
 FEATURES = 20_000
 TRAIN_CHAINS = 12_000
@@ -178,8 +179,8 @@ def _marginals(data: np.ndarray, offsets: np.ndarray, model: Model):
         sums = np.append(0, np.cumsum(suspect))
         busy = sums[begins + lengths] > sums[begins]
         begins, lengths = begins[busy], lengths[busy]
-        for low in range(0, len(begins), 2000):
-            b, n = begins[low : low + 2000], lengths[low : low + 2000]
+        for low in range(0, len(begins), 500):
+            b, n = begins[low : low + 500], lengths[low : low + 500]
             found, _ = _probabilities(_emissions(places, b, n, model), n, model)
             inside = np.arange(found.shape[1])[None, :] < n[:, None]
             toxic[(b[:, None] + np.arange(found.shape[1])[None, :])[inside]] = found[inside]
@@ -203,29 +204,31 @@ def _scores(features: np.ndarray, model: Model) -> np.ndarray:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of a bounded sample of the labelled documents."""
+    """``order, text, toxic`` of a bounded sample of the labelled documents; ``order`` is a hash of the id."""
     rows = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+        .withColumn("order", F.xxhash64("doc_id"))
     )
     counts = {row.toxic: row.n for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    bound = {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}
     chosen = F.lit(False)
-    for label, size in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
-        share = int(min(1.0, size / max(1, counts.get(label, 0))) * 1_000_000)
-        chosen = chosen | ((F.col("toxic") == label) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share))
-    # Bounded by the limit: rows of 16 bytes.
-    sample = rows.where(chosen).limit(2 * (SAMPLE_TOXIC + SAMPLE_CLEAN))
-    return texts(documents).join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    for label, n in counts.items():  # some more than needed, so that the exact choice orders few rows
+        share = int(min(1.0, 2 * bound[label] / n) * 1_000_000)
+        chosen = chosen | ((F.col("toxic") == label) & (F.pmod("order", F.lit(1_000_000)) < share))
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.pmod("order", F.lit(1_000_000)), "order", "doc_id"))
+    most = F.when(F.col("toxic") == 1, SAMPLE_TOXIC).otherwise(SAMPLE_CLEAN)
+    # Rows of 24 bytes, as many as the sample has.
+    few = rows.where(chosen).withColumn("place", place).where(F.col("place") <= most).drop("place")
+    found = texts(documents).join(F.broadcast(few), "doc_id")
+    one = found.groupBy("doc_id", "order", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    return one.select("order", F.col("first.text").alias("text"), "toxic")
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """The model from a bounded sample of ``labels`` (doc_id, toxic) and the texts they belong to."""
-    sample = labelled_sample(documents, labels).cache()
-    try:
-        return _trained(sample)
-    finally:
-        sample.unpersist()
+    return _trained(stored(labelled_sample(documents, labels)))
 
 
 def _trained(sample: DataFrame) -> Model:
@@ -255,7 +258,7 @@ def _trained(sample: DataFrame) -> Model:
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The suspect features of every chain that has one, by token."""
         for batch in batches:
-            toxic = batch.column("toxic").to_pylist()
+            toxic, orders = batch.column("toxic").to_pylist(), batch.column("order").to_pylist()
             for first, _, data, offsets in text_slices(batch.column("text")):
                 starts, _, features = _tokens(data, offsets)
                 places = _suspects(keys, features)
@@ -267,14 +270,15 @@ def _trained(sample: DataFrame) -> Model:
                     at = hits[low[k] : high[k]]
                     pairs = [(int(t - begins[k]), int(f)) for t in at for f in places[:, t] if f >= 0]
                     tokens, found = zip(*pairs, strict=True)
-                    label = toxic[first + int(owner[k])]
-                    out.append({"toxic": label, "size": int(lengths[k]), "tokens": tokens, "found": found})
+                    row = first + int(owner[k])
+                    of = {"order": orders[row], "place": int(begins[k]), "toxic": toxic[row]}
+                    out.append({**of, "size": int(lengths[k]), "tokens": tokens, "found": found})
                 yield pa.RecordBatch.from_pylist(out, schema)
 
-    schema = pa.schema([("toxic", pa.int32()), ("size", pa.int32())])
+    schema = pa.schema([("order", pa.int64()), ("place", pa.int64()), ("toxic", pa.int32()), ("size", pa.int32())])
     schema = schema.append(pa.field("tokens", pa.list_(pa.int32()))).append(pa.field("found", pa.list_(pa.int32())))
-    rows = sample.mapInArrow(chains, "toxic int, size int, tokens array<int>, found array<int>")
-    rows = rows.limit(TRAIN_CHAINS).collect()
+    ddl = "order long, place long, toxic int, size int, tokens array<int>, found array<int>"
+    rows = sample.mapInArrow(chains, ddl).orderBy("order", "place").limit(TRAIN_CHAINS).collect()
     model = _fitted([(x.toxic, x.size, x.tokens, x.found) for x in rows], keys)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +324,9 @@ def _fitted(chains: list[tuple], keys: np.ndarray) -> Model:
     for _ in range(STEPS):
         emission = np.full((len(chains), steps), model.bias)
         np.add.at(emission, (row, token), model.weights[found])
-        p, expected = _probabilities(emission, sizes, model)
+        # Some chains at a time, which bounds the memory of all states and moves.
+        parts = [_probabilities(emission[k : k + 1000], sizes[k : k + 1000], model) for k in range(0, len(chains), 1000)]
+        p, expected = np.concatenate([x for x, _ in parts]), sum(x for _, x in parts)
         wrong = np.where(inside, truth - p, 0.0)
         slopes = [
             np.bincount(found, wrong[row, token], len(keys)) - DECAY * len(chains) * model.weights / len(keys),

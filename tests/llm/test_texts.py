@@ -5,13 +5,14 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from arenalake.llm import toxicity
 from arenalake.llm.decontaminate import contaminated, decontaminated, with_templates
 from arenalake.llm.fingerprints import PrefixHashes, code_points, edited_text, likeness, neighbours
 from arenalake.llm.language import CrossParser, identify, learned, letters, suffix_automaton
-from arenalake.llm.secret_scan import KINDS, find_secrets, redact, train
+from arenalake.llm.secret_scan import KINDS, best_segments, find_secrets, redact, train
 
 ODD = ["", None, "a", "Ünï 👍 cödé", "same", "same", "x" * 30000, " \n\t"]
 
@@ -116,6 +117,62 @@ def test_random_strings_are_added_and_identifiers_are_not(documents):
     assert all(found[k] == [] for k in range(1, len(found)))
 
 
+def test_best_segments_by_brute_force():
+    pick = random.Random(4)
+    for _ in range(200):
+        gain = np.array([pick.uniform(-2, 2) for _ in range(pick.randrange(1, 14))])
+
+        def best(low, high):
+            """The greatest sum's segment and, on both sides of it, the same again."""
+            pairs = [(gain[a:b].sum(), -(b - a), a, b) for a in range(low, high) for b in range(a + 1, high + 1)]
+            total, _, a, b = max(pairs, default=(0, 0, 0, 0))
+            return [] if total <= 0 else [*best(low, a), (a, b), *best(b, high)]
+
+        assert best_segments(gain, 1, 0.0) == best(0, len(gain))
+    assert best_segments(np.full(300_000, -1.0), 1, 0.0) == []
+    assert best_segments(np.tile([1.0, -1.5], 200_000), 1, 0.5)[-1] == (399_998, 399_999)
+
+
+SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_random_keys_are_found_wherever_they_stand(documents):
+    """Bare, behind a hex id in one path, at the end of a long path of words; and few ordinary words are marked."""
+    pick = random.Random(2)
+    parts = ["inter", "nation", "all", "ma", "nage", "ment", "ser", "vice", "con", "fig", "ura", "tion"]
+
+    def key():
+        return "".join(pick.choice(SIGNS) for _ in range(pick.randrange(32, 48)))
+
+    def path(n):
+        return "/".join("".join(pick.choice(parts) for _ in range(pick.randrange(1, 4))) for _ in range(n))
+
+    learn = [f"{words(k, 40, parts)} {path(6)} token={key()}" for k in range(150)]
+    model = train(documents(learn))
+    forms = {
+        "bare": lambda k: f"see {k} here", "hex": lambda k: f"see {'0123456789abcdef' * 2}/{k} here",
+        "path": lambda k: f"see {path(12)}/{k} here",
+    }
+    rows = [(name, k := key(), form(k)) for name, form in forms.items() for _ in range(60)]
+    clean = [f"{path(8)} {words(k + 900, 60, parts)}" for k in range(200)]
+    found = {r.doc_id: [x for x in r.spans if x.kind == "random"] for r in find_secrets(documents([*(x[2] for x in rows), *clean]), model).collect()}
+    for name in forms:
+        hits = []
+        for k, (kind, secret, text) in enumerate(rows):
+            at = text.index(secret)
+            if kind == name:
+                covered = sum(max(0, min(x.end, at + len(secret)) - max(x.start, at)) for x in found[k])
+                hits.append(covered >= 0.8 * len(secret))
+        assert sum(hits) >= 0.9 * len(hits), name
+    assert sum(bool(found[len(rows) + k]) for k in range(len(clean))) <= 0.02 * len(clean)
+
+
+def test_secrets_with_clashing_columns(documents, with_clashing_columns):
+    docs = documents(SECRETS)
+    model = train(docs)
+    assert find_secrets(with_clashing_columns(docs), model).collect() == find_secrets(docs, model).collect()
+
+
 def test_redacted_rows_keep_their_columns(documents, with_clashing_columns):
     docs = with_clashing_columns(documents([(1, SECRETS[0]), (None, None), (3, "clean"), (3, SECRETS[9])]))
     rows = redact(docs, train(docs))
@@ -284,6 +341,52 @@ def test_rare_characters_are_told_apart():
     assert parser.phrases([samples["a"]])[0, 0] == 1
 
 
+@pytest.mark.parametrize("cells", [48_000_000, 100_000, 1])
+def test_hundreds_of_languages(monkeypatch, cells):
+    """With few cells most transitions are keys; with many the places need 64 bits. The counts are the same."""
+    from arenalake.llm import language
+
+    pick = random.Random(7)
+    own = [["".join(pick.choice("abcdefghijklmnop\u0436\u4e2d") for _ in range(3)) for _ in range(9)] for _ in range(300)]
+    samples = {f"l{k:03d}": words(k, 60, x) for k, x in enumerate(own)}
+    monkeypatch.setattr(language, "TABLE_CELLS", cells)
+    parser = CrossParser(samples)
+    assert len(parser.table) <= max(cells, len(parser.table) // parser.width)
+    texts = [words(k + 1000, 40, own[k]) for k in range(0, 300, 7)]
+    assert parser.predict(texts)[0] == [f"l{k:03d}" for k in range(0, 300, 7)]
+
+
+def test_places_beyond_32_bits(monkeypatch):
+    from arenalake.llm import language
+
+    samples = {k: words(1, 50, [k, "ba"]) for k in "xyz"}
+    texts = [words(2, 30, ["x", "ba"]), "zzz", "ba " * 9]
+    wanted = CrossParser(samples).phrases(texts).tolist()
+    monkeypatch.setattr(language.np, "int32", np.int64)
+    assert CrossParser(samples).table.dtype == np.int64
+    assert CrossParser(samples).phrases(texts).tolist() == wanted
+
+
+def test_sampled_texts_are_whole(session, monkeypatch):
+    from arenalake.llm import language
+
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 50)
+    rows = [(k, f"{'ab' * 8} {'ba' * (k % 20)}", "a") for k in range(40)] + [(99, "long " * 40, "b"), (98, "longer " * 40, "b")]
+    samples = learned(session.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert samples["b"] == ("long " * 40).strip()
+    whole = {letters(t) for _, t, _ in rows}
+    assert len(samples["a"]) <= 50 + 3 and {samples["a"]} <= whole | {f"{x} {y}" for x in whole for y in whole}
+
+
+def test_held_out_languages(session):
+    from arenalake.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    langs = {r.doc_id: r.lang for r in session.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    found = QUERIES["op6_language"](session, folder).where("held_out").collect()
+    assert sum(r.lang_pred == langs[r.doc_id] for r in found) >= 0.99 * len(found) > 0
+
+
 def test_rows_without_id_do_not_crowd_out_a_language(session, monkeypatch):
     from arenalake.llm import language
 
