@@ -5,6 +5,7 @@
 
 import argparse
 import sys
+from datetime import timedelta
 from pathlib import Path
 
 if __package__ in (None, ""):
@@ -12,11 +13,13 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession
 
-from arenalake.lake import Lake
+from arenalake.lake import TABLES, Lake
 from arenalake.plans import jobs
 from arenalake.sinks.models import load_model
+from arenalake.sinks.tables import drop_superseded
 from arenalake.sources.messages import kafka_messages
 from arenalake.streaming import ingest
+from arenalake.streaming.joint import start_joint_ingest
 from arenalake.streaming.rate import start_rate_stream
 
 DAY_JOBS = {
@@ -44,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     )
     stream.add_argument("--every", default="1 minute", help="time between micro-batches")
     stream.add_argument("--json", action="store_true", help="write JSON files, no tables")
+    stream.add_argument("--joint", action="store_true", help="one query for both tables, from one read")
+    stream.add_argument("--follow", action="store_true", help="with --joint, score with the last published model")
     stream.add_argument("--salt", help="added to the account before it is hashed")
     stream.add_argument("--legacy-int", action="store_true", help="truncate fractional numbers")
     stream.add_argument("--clear", action="store_true", help="keep refused messages as they came")
@@ -88,6 +93,11 @@ def parser() -> argparse.ArgumentParser:
     refit.add_argument("first", nargs="?")
     refit.add_argument("last", nargs="?")
 
+    refit.add_argument("--publish", action="store_true", help="make it the version that streams follow")
+
+    drop = job.add_parser("drop-superseded", help="delete replaced versions of days")
+    drop.add_argument("--hours", type=float, default=24, help="age from which they are deleted")
+
     archive = job.add_parser("archive", help="the month of a day to Parquet")
     archive.add_argument("day")
     archive.add_argument("--base", help="folder of the JSON day folders")
@@ -104,14 +114,22 @@ def run(spark: SparkSession, arguments: list[str]) -> None:
         messages = kafka_messages(spark, args.servers, args.topic, **option)
         names = ("salt", "legacy_int", "clear", "keep_text", "strict_day")
         options = {name: getattr(args, name) for name in names}
-        ingest.run_all(start(messages, lake, model, {"processingTime": args.every}, **options))
+        every = {"processingTime": args.every}
+        if args.joint:
+            models = lake.models_path if args.follow else None
+            ingest.run_all([start_joint_ingest(messages, lake, models, every, **options)])
+        else:
+            ingest.run_all(start(messages, lake, model, every, **options))
     elif args.job == "message-rate":
         messages = kafka_messages(spark, args.servers, args.topic)
         every = {"processingTime": args.every}
         ingest.run_all([start_rate_stream(messages, lake, "timestamp", args.width, args.late, every)])
     elif args.job == "refit":
-        _, score = jobs.refit(spark, lake, args.first, args.last)
+        _, score = jobs.refit(spark, lake, args.first, args.last, args.publish)
         print(f"silhouette: {score}")
+    elif args.job == "drop-superseded":
+        for table in filter(spark.catalog.tableExists, map(lake.name, TABLES)):
+            print(f"{table}: {drop_superseded(spark, table, timedelta(hours=args.hours))}")
     elif args.job == "archive":
         print(jobs.archive_month(spark, lake, args.day, args.base))
     else:

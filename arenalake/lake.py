@@ -51,6 +51,11 @@ class Lake:
     def model_path(self) -> str:
         return f"{self.root}/model"
 
+    @property
+    def models_path(self) -> str:
+        """The folder of published model versions."""
+        return f"{self.root}/models"
+
     @property
     def archive_path(self) -> str:
         return f"{self.root}/archive"

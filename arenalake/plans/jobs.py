@@ -25,7 +25,7 @@ from arenalake.operators.silver import (
     train_indexed_rows,
 )
 from arenalake.schema import DAY, SCORED_SCHEMA
-from arenalake.sinks.models import save_model
+from arenalake.sinks.models import publish_model, save_model
 from arenalake.sinks.scratch import scratch_of_job
 from arenalake.sinks.tables import append_days, month_to_parquet, replace_days
 from arenalake.sources.archive import json_month, month_text, table_month
@@ -110,14 +110,19 @@ def gold_days(spark: SparkSession, lake: Lake, first: Day, last: Day | None = No
 
 
 def refit(
-    spark: SparkSession, lake: Lake, first: Day | None = None, last: Day | None = None
+    spark: SparkSession, lake: Lake, first: Day | None = None, last: Day | None = None, publish: bool = False
 ) -> tuple[PipelineModel, float]:
-    """Fit on the movement table (all of it, or the given days), evaluate, save."""
+    """Fit on the movement table (all of it, or the given days), evaluate, save.
+
+    ``publish`` also makes it the next version that a running stream takes up.
+    """
     name = lake.name("delta_playerlogs")
     rows = spark.table(name) if first is None else table_days(spark, name, first, last)
     model = fit_clusters(rows)
     score = silhouette(model, rows)
     save_model(model, lake.model_path)
+    if publish:
+        publish_model(spark, model, lake.models_path)
     return model, score
 
 

@@ -17,6 +17,7 @@ from arenalake.registry.prepared import bronze, bronze_table, fitted_model, land
 from arenalake.schema import BRONZE_SCHEMA, DAY
 from arenalake.sinks import tables
 from arenalake.sinks.files import exists, file_names, folder_names, move
+from arenalake.sinks.models import current_model
 from arenalake.sinks.scratch import scratch_path, scratch_root
 from arenalake.sinks.tables import append_days, drop_superseded, finish_archive, month_to_parquet, replace_days
 from arenalake.sources.messages import text_messages
@@ -323,3 +324,28 @@ def test_an_archive_whose_swap_ended_early_is_finished(spark, moved):
     assert [r.v for r in spark.read.parquet(path).collect()] == [1 if moved == "none" else 2]
     root, name = path.rsplit("/", 1)
     assert [x for x in folder_names(spark, root) if x.startswith(name)] == [name]
+
+
+def test_superseded_versions_of_all_tables(spark, lake, capsys):
+    name, path = lake.name("room_end_time"), lake.path("room_end_time")
+    for v in (1, 2):
+        replace_days(days(spark, (v, "2024-01-01")), name, path)
+    run(spark, ["--root", lake.root, "--suffix", lake.suffix, "drop-superseded", "--hours", "0"])
+    assert f"{name}: 1" in capsys.readouterr().out
+    assert content(spark, name) == [(2, "2024-01-01")]
+
+
+def test_options_of_streams_and_refits():
+    args = parser().parse_args(["--root", "r", "ingest", "h", "t", "--joint", "--follow"])
+    assert args.joint and args.follow
+    assert parser().parse_args(["--root", "r", "refit", "--publish"]).publish
+
+
+def test_a_refit_is_published(spark):
+    lake = new_lake(spark, playerlogs=bronze_table(spark, SF))
+    jobs.silver_train_movement(spark, lake, "2024-01-05")
+    for version in (1, 2):
+        model, _ = jobs.refit(spark, lake, publish=True)
+        number, published = current_model(spark, lake.models_path)
+        assert number == version
+        assert published.stages[-1].clusterCenters()[0].tolist() == model.stages[-1].clusterCenters()[0].tolist()
