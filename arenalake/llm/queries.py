@@ -159,6 +159,49 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op8_suffix_dedup"] = r"""
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as b from documents),
+windows as (
+  select doc_id, i, md5(substring(b, 2 * i + 1, 200)) as h
+  from (select doc_id, b, unnest(generate_series(0, length(b) // 2 - 100)) as i from docs where length(b) >= 200)),
+firsts as (select h, min((doc_id, i)) as first_place from windows group by h),
+repeats as (select doc_id, i from windows join firsts using (h) where (doc_id, i) > first_place),
+marked as (
+  select doc_id, i, coalesce(i > lag(i) over (partition by doc_id order by i) + 100, true)::int as new from repeats),
+spans as (
+  select doc_id, min(i) as s, max(i) + 100 as e
+  from (select doc_id, i, sum(new) over (partition by doc_id order by i) as k from marked) group by doc_id, k),
+cuts as (select doc_id, s, e, lag(e, 1, 0) over (partition by doc_id order by s) as p from spans),
+heads as (
+  select doc_id, sum(e - s) as n_removed, count(*) as n_spans, max(e) as last_end,
+    string_agg(substring(b, 2 * p + 1, 2 * (s - p)), '' order by s) as head
+  from cuts join docs using (doc_id) group by doc_id)
+select docs.doc_id, (length(b) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+  coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substring(b, 2 * coalesce(last_end, 0) + 1))) as kept_sha256
+from docs left join heads using (doc_id)
+"""
+
+ORACLES["op9_substring_dedup"] = r"""
+with docs as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as h
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 49)) as i from docs where len(w) >= 50)),
+firsts as (select h, min(doc_id) as first_id from windows group by h),
+gone as (
+  select distinct doc_id, unnest(generate_series(i, i + 49)) as place
+  from windows join firsts using (h) where doc_id > first_id),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from docs),
+kept as (
+  select words.doc_id, count(gone.place) as n_removed,
+    string_agg(word, ' ' order by words.place) filter (where gone.place is null) as text
+  from words left join gone on gone.doc_id = words.doc_id and gone.place = words.place group by words.doc_id)
+select docs.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from docs left join kept on kept.doc_id = docs.doc_id
+"""
+
+
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of 5-word shingles and its component of documents alike to 0.8 and more."""

@@ -163,12 +163,12 @@ def with_repeated(
     tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-of.groups // TASK_GROUPS))
     rows = grouped(documents, of).repartition(tasks, "src")
     bits = min(64, math.ceil(math.log2(n + 2)) + 22)
-    levels = steps(n)
+    levels, single = steps(n), of.groups == 1
     down = np.uint64(64 - bits)
 
     def cut(src: int, range_: int, level: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
         """The sorted keys of one range, cut into the ranges of the next level."""
-        if of.groups == 1:
+        if single:
             return _rows([(0, src, keys, counts)])
         place = np.uint64(bits - RANGE_BITS * (level + 1))
         first = range_ << RANGE_BITS

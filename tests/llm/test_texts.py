@@ -423,7 +423,7 @@ def test_items_are_found_again_with_other_values(session, documents):
     ]
     assert found_in(session, documents, texts) == {
         # In another case, with other values, and with one slot that disagrees.
-        (0, 1): (True, False), (1, 1): (True, True), (2, 1): (True, True), (4, 2): (False, False), (5, 1): (True, False),
+        (0, 1): (True, False), (1, 1): (True, True), (2, 1): (True, False), (4, 2): (False, False), (5, 1): (True, False),
     }
 
 
