@@ -13,7 +13,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from arenalake.llm.words import BYTE_CODES, span_hashes, text_slices
+from arenalake.llm.words import BYTE_CODES, release_memory, span_hashes, text_slices
 
 PLAIN_BLANK = np.zeros(256, bool)
 PLAIN_BLANK[list(b" \t\n\r")] = True
@@ -23,7 +23,7 @@ RARE_BYTE[[0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 RARE_CODES = [0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010)]
 RARE_CODES += [0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
 RARE_BLANK = re.compile("[" + "".join(map(chr, RARE_CODES)) + "]")
-KEPT_IDS = 12_000_000
+KEPT_IDS = 5_000_000
 SPECIAL = "<|"
 
 
@@ -135,6 +135,7 @@ _tokenizers: dict[str, PieceTokenizer] = {}
 def tokenizer(path: str) -> PieceTokenizer:
     """The worker's tokenizer for this file."""
     if path not in _tokenizers:
+        release_memory()
         _tokenizers[path] = PieceTokenizer(path)
     return _tokenizers[path]
 

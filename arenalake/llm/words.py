@@ -1,5 +1,7 @@
 """Words and hashes of a whole batch of texts at once, as numpy arrays."""
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,15 @@ def powers(base: int, count: int) -> np.ndarray:
     return have[:count]
 
 
+def release_memory() -> None:
+    """Give back to the system what earlier work of another kind has left in this worker."""
+    _powers.clear()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
