@@ -2,14 +2,19 @@
 
 A window sorts a whole group in one task. The two operators here do that only
 while every group is small. Rows of larger groups are range-partitioned on
-(group, order): such a *slice* holds a bounded run of neighbouring rows, and a
-group may span many slices. Work inside a slice is an ordinary window; what
-crosses a slice border is one small row per border.
-
-The slice number comes from the range partitioner, whose borders are chosen by
-sampling in the job that writes the shuffle. It is therefore written with the
-rows, next to their position in the order, before anything is derived from it,
-so a lost executor cannot give the same row another number.
+(group, order), and every range is cut into *slices*: a slice holds a bounded run
+of neighbouring rows, and a group may span many slices. Work inside a slice is an
+ordinary window; what crosses a slice border is one small row per border.
+
+A range is a task, and costs the driver a sample of keys and a task's result. So
+small slices share a range: beyond ``RANGES`` there is none with fewer than
+``SLICE_ROWS`` rows on average, and what reaches the driver does not follow the
+number of slices.
+
+The borders of ranges are chosen by sampling in the job that writes the shuffle.
+The slice is therefore written with the rows, next to their position in the
+order, before anything is derived from it, so a lost executor cannot give the
+same row another one.
 """
 
 from functools import reduce
@@ -23,6 +28,10 @@ from arenalake.sinks.scratch import stored
 #: A group above this many rows is sliced: the largest sort one task is to do.
 HOT_GROUP_ROWS = 2_000_000
 SLICE_ROWS = 1_000_000
+#: So many ranges may be smaller than SLICE_ROWS rows.
+RANGES = 200
+#: Bits of the row's number in its partition, in ``monotonically_increasing_id``.
+ROW_BITS = 33
 #: Parts rows that are equal in every column; which of them comes first does not matter.
 TIE = "_tie"
 
@@ -71,7 +80,7 @@ def _lag(rows, group, order, values):
 
 def _lag_in_slices(rows, group, order, values, total, slice_rows, scratch):
     tied = rows.withColumn(TIE, F.monotonically_increasing_id())
-    sliced = _slices(tied, group, [*order, TIE], -(-total // slice_rows), scratch)
+    sliced = _slices(tied, group, [*order, TIE], total, slice_rows, scratch)
     slices = [*group, "_slice"]
     lagged = _lag(sliced, slices, ["_position"], values | {"_before": "_position"})
     ends = sliced.groupBy(*slices).agg(F.max("_position").alias("_position"))
@@ -94,16 +103,17 @@ def _lag_in_slices(rows, group, order, values, total, slice_rows, scratch):
     )
 
 
-def _slices(rows, group, order, n_slices, scratch):
-    """Store the rows with ``_slice`` and ``_position``, which ascends in the order."""
+def _slices(rows, group, order, total, slice_rows, scratch):
+    """Store the rows with ``_slice`` and ``_position``, which ascends in the order.
+
+    ``_slice`` is the position of the slice's first row.
+    """
     keys = [*group, *order]
-    ranged = rows.repartitionByRange(int(n_slices), *keys).sortWithinPartitions(*keys)
-    return stored(
-        ranged.withColumns(
-            {"_slice": F.spark_partition_id(), "_position": F.monotonically_increasing_id()}
-        ),
-        scratch,
-    )
+    n_ranges = min(-(-total // slice_rows), max(RANGES, -(-total // SLICE_ROWS)))
+    ranged = rows.repartitionByRange(int(n_ranges), *keys).sortWithinPartitions(*keys)
+    placed = ranged.withColumn("_position", F.monotonically_increasing_id())
+    row = F.col("_position").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return stored(placed.withColumn("_slice", F.col("_position") - row % slice_rows), scratch)
 
 
 def _carried(per_slice, group):
@@ -138,8 +148,7 @@ def positions(
     if largest <= hot_rows:
         window = Window.partitionBy(*group).orderBy(*order)
         return rows.withColumn(alias, F.row_number().over(window) - 1)
-    n_slices = -(-total // slice_rows)
-    sliced = _slices(rows, group, order, n_slices, scratch)
+    sliced = _slices(rows, group, order, total, slice_rows, scratch)
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1

@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from arenalake.operators.frequency import frequency_index
-from arenalake.operators.slices import positions, previous_values
+from arenalake.operators.slices import RANGES, positions, previous_values
+from arenalake.sinks.files import folder_names
+from arenalake.sinks.scratch import scratch_path
 
 
 def skewed(spark, n=3000):
@@ -61,6 +63,19 @@ def test_sliced_positions(spark):
     assert bag(got) == bag(want)
 
 
+def test_small_slices_share_a_range(spark):
+    """Tasks, and what they send to the driver, do not follow the number of slices."""
+    rows, folder = skewed(spark), scratch_path(spark, "slices")
+    got = previous_values(rows, ["account"], ["room", "t", "x"], {"prev_x": "x"}, 10, 2, folder)
+    assert bag(got) == bag(one_window(rows))
+    stored = [spark.read.parquet(path) for path in (f"{folder}/{x}" for x in folder_names(spark, folder))]
+    sliced = next(x for x in stored if "_slice" in x.columns)
+    ranges, largest = sliced.groupBy("_slice", F.input_file_name().alias("file")).count().agg(
+        F.count_distinct("file"), F.max("count")
+    ).first()
+    assert 1 < ranges <= RANGES and largest <= 2
+
+
 def names(spark):
     rows = [("b", 1), ("b", 1), ("a", 1), ("c", 1), ("c", 2), ("c", 2), ("a", 2)]
     return spark.createDataFrame(rows, "name string, day int")
