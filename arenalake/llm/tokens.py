@@ -4,6 +4,16 @@ A text is cut where the tokenizer's own first step cuts it in any case: before a
 run of blanks that follows other text. A piece then has the same ids wherever it
 stands. Distinct pieces are encoded once and kept by their hash while the Python
 worker lives; texts with unusual white space are encoded whole.
+
+Where the first step is the pattern ``CLASSES``, a match holds characters of one kind,
+letters, a digit or others, or is an apostrophe with letters after it. Pieces are
+then also cut where an ASCII character is of another known kind than the one
+before it, unless that is an apostrophe, and end before their last blanks, which the
+pattern leaves out: "word." and "word" share what is kept.
+No ASCII character composes with one before it, so normalizing parts is the same
+as parting the normalized text. If the tokenizer ends in lower case, pieces that differ
+in A-Z only are one; a capital before a character beyond ASCII is left as it is,
+since both could compose.
 """
 
 import json
@@ -13,7 +23,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from arenalake.llm.words import BYTE_CODES, release_memory, span_hashes, text_slices
+from arenalake.llm.words import BYTE_CODES, lowered, release_memory, span_hashes, text_slices
 
 PLAIN_BLANK = np.zeros(256, bool)
 PLAIN_BLANK[list(b" \t\n\r")] = True
@@ -23,6 +33,18 @@ RARE_BYTE[[0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 RARE_CODES = [0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010)]
 RARE_CODES += [0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
 RARE_BLANK = re.compile("[" + "".join(map(chr, RARE_CODES)) + "]")
+#: What parts a text into words in tokenizers of this family.
+CLASSES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Kinds of ASCII characters: 1 letters, 2 digits, 3 others; 0 blanks and all bytes beyond.
+KIND = np.zeros(256, np.uint8)
+KIND[0x21:0x7F] = 3
+KIND[0x30:0x3A] = 2
+KIND[0x41:0x5B] = KIND[0x61:0x7B] = 1
+#: Second bytes, after 0xC3, of the letters of Latin-1.
+LATIN_LETTER = np.zeros(256, np.uint8)
+LATIN_LETTER[0x80:0xC0] = 1
+LATIN_LETTER[[0x97, 0xB7]] = 0
+APOSTROPHE = ord("'")
 KEPT_IDS = 5_000_000
 SPECIAL = "<|"
 
@@ -38,7 +60,8 @@ class PieceTokenizer:
         self.plain.encode_special_tokens = True
         self.marked = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            self.cut = self._cut_of(json.load(file))
+            config = json.load(file)
+        self.cut, self.by_kind, self.lower = self._cut_of(config), *self._kinds_of(config)
         self.mark = "<|endoftext|>"
         self.mark_id = self.marked.token_to_id(self.mark)
         self.size = self.plain.get_vocab_size()
@@ -55,6 +78,17 @@ class PieceTokenizer:
         pattern = (steps[0].get("pattern") or {}).get("Regex", "")
         return "words" if drops and "[^\\s" in pattern and "\\s" not in pattern.replace("[^\\s", "") else ""
 
+    @staticmethod
+    def _kinds_of(config: dict) -> tuple[bool, bool]:
+        """Whether pieces may be cut between kinds of characters, and whether A-Z are the same as a-z."""
+        first, normal = config.get("pre_tokenizer") or {}, config.get("normalizer") or {}
+        steps = first.get("pretokenizers") or [{}]
+        normals = normal.get("normalizers") or ([normal] if normal else [])
+        blanks = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+        others = [x for x in normals if x not in ({"type": "NFC"}, {"type": "Lowercase"}, blanks)]
+        by_kind = not others and (steps[0].get("pattern") or {}).get("Regex") == CLASSES
+        return by_kind, by_kind and normals[-1:] == [{"type": "Lowercase"}]
+
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.slots = np.zeros(0, np.int64)
@@ -94,6 +128,10 @@ class PieceTokenizer:
         blank = PLAIN_BLANK[data]
         opens = np.zeros(len(data), bool)
         opens[1:] = blank[1:] & ~blank[:-1] if self.cut == "pieces" else ~blank[1:] & blank[:-1]
+        if self.by_kind:
+            kind = KIND[data]
+            kind[1:] |= LATIN_LETTER[data[1:]] * (data[:-1] == 0xC3)
+            opens[1:] |= (kind[1:] != kind[:-1]) & (KIND[data[1:]] > 0) & (kind[:-1] > 0) & (data[:-1] != APOSTROPHE)
         opens[text_starts] = True
         if RARE_BYTE[data].any():
             raw = data.tobytes()
@@ -103,15 +141,24 @@ class PieceTokenizer:
                 if RARE_BLANK.search(raw[low:high].decode()):
                     opens[low + 1 : high] = False
         starts = np.flatnonzero(opens)
-        return starts, np.append(starts[1:], len(data))
+        ends = np.append(starts[1:], len(data))
+        if self.by_kind and blank.any():
+            closes = np.flatnonzero(blank & np.append(True, ~blank[:-1]))
+            ends = np.where(blank[ends - 1], closes[np.searchsorted(closes, ends) - 1], ends)
+            ends = np.maximum(starts, ends)
+        return starts, ends
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in the order of the texts, and for each text where its ids begin (one entry more)."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         starts, ends = self._spans(data, offsets)
+        same = data
+        if self.lower:
+            same = lowered(data)
+            same[:-1] = np.where(data[1:] < 0x80, same[:-1], data[:-1])
         keys, first, inverse = np.unique(
-            span_hashes(BYTE_CODES[data], starts, ends), return_index=True, return_inverse=True
+            span_hashes(BYTE_CODES[same], starts, ends), return_index=True, return_inverse=True
         )
         if len(self.ids) > KEPT_IDS:
             self._forget()

@@ -39,6 +39,35 @@ def test_pieces_give_the_library_s_ids(name, cut):
             assert ids[begins[k] : begins[k + 1]].tolist() == ids_by_library(name, t)[:-1].tolist(), t
 
 
+ODD = [*"aeJHTY 's.,-|<>19\n\t", "'t", "'ll", "'", "''", "<|", "J\u030c", "\u0308", "\u0331", "é", "É", "×", "÷", "ª", "ß", "İ", "Σ", "ﬁ"]
+ODD += ["日本", "\u0345", "\u1100\u1161", "\u212a", "²", "½", "\u00a0", "\u200b", "👍", "word", "Word", "<|endoftext|>"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_of_odd_neighbours_give_the_library_s_ids(name):
+    """Kinds of characters, capitals and marks next to each other in any order."""
+    coder, random = PieceTokenizer(tokenizer_path(name)), np.random.default_rng(7)
+    texts = ["".join(ODD[k] for k in random.integers(0, len(ODD), random.integers(0, 12))) for _ in range(4000)]
+    texts += [a + b for a in ODD for b in ODD]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    ids, begins = coder.encode(data, offsets)
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path(name))
+    plain.encode_special_tokens = True
+    for k, want in enumerate(plain.encode_batch_fast(texts, add_special_tokens=False)):
+        assert ids[begins[k] : begins[k + 1]].tolist() == want.ids, texts[k]
+
+
+def test_words_share_what_is_kept():
+    """A word is encoded once, whatever stands after it and in either case."""
+    coder, raw = PieceTokenizer(tokenizer_path("word_bpe_49k.json")), b"word. Word word,\nWORD"
+    ids, _ = coder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert ids.tolist() == ids_by_library("word_bpe_49k.json", raw.decode())[:-1].tolist()
+    assert len(coder.keys) == 3
+
+
 def test_pieces_tile_documents_and_sequences(documents):
     pieces = pack(documents(TEXTS), tokenizer_path("byte_bpe_50k.json"), length=64).collect()
     whole = {}
