@@ -78,8 +78,12 @@ def separated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of one file of landed messages. A compressed file is read by one task, so it stays small.
+LANDED_ROWS = 25_000
+
+
 def landed_messages(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with the JSON message of every event, one per line."""
+    """Folder with the JSON message of every event, one per line, in compressed files."""
     return _landed_messages(_application(spark), sf_dir)
 
 
@@ -87,7 +91,8 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> str:
 def _landed_messages(application: str, sf_dir: str) -> str:
     spark = _SESSIONS[application]
     path = scratch_path(spark, "messages")
-    to_messages(raw_playerlogs(spark, sf_dir)).write.text(path)
+    files = to_messages(raw_playerlogs(spark, sf_dir)).write.option("maxRecordsPerFile", LANDED_ROWS)
+    files.text(path, compression="gzip")
     return path
 
 

@@ -29,6 +29,19 @@ def start(spark, lake, path=None, starter=ingest.start_table_ingest, **options):
     ingest.run_all(starter(messages, lake, trigger=DRAIN, **options), poll_seconds=1)
 
 
+def test_landed_messages_are_small_compressed_files(spark):
+    """All messages, in a fifth of their length at most, and no file with too many for a task."""
+    sf = "/root/testdata/sf0.1"
+    landed = spark.read.text(landed_messages(spark, sf))
+    sums = [F.count("*"), F.sum(F.length("value")), F.sum(F.crc32("value"))]
+    want = to_messages(raw(spark, sf)).agg(*sums).first()
+    assert landed.agg(*sums).first() == want
+    files = landed.select("value", "_metadata.file_path", "_metadata.file_size").groupBy("file_path")
+    sizes = files.agg(F.count("*").alias("n"), F.first("file_size").alias("size"))
+    largest, size = sizes.agg(F.max("n"), F.sum("size")).first()
+    assert largest <= 25_000 and size * 5 < want[1]
+
+
 def test_tables_equal_the_batch_and_a_restart_adds_nothing(spark, lake):
     valid, refused = split_rows(raw(spark, SF))
     for _ in range(2):
